@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import as_list
 
-WORD = r"(?U)\w"  # (?U): letters of every script, not ASCII only
+WORD = r"[\p{L}\p{N}_]"  # letters and digits of every script, as `\w` means in Python; Java's own \w is ASCII
 
 
 def mask_word_chars(column: Column | str, mark: str) -> Column:

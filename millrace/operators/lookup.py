@@ -24,7 +24,7 @@ def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills:
     """Nulls of the `fills` columns get the value of the lookup row with the same key.
 
     `keys` and `fills` map source column -> lookup column. "left" keeps each source row once: the
-    lookup is reduced to one row per key (the smallest values). "inner" drops rows without a match
+    lookup is reduced to one row per key (the smallest value of each column). "inner" drops rows without a match
     and repeats rows whose key occurs several times in the lookup.
     A lookup too big to broadcast joins only the rows that have something to fill; the others do
     not move. A hot key is split by AQE on the source side.
@@ -38,8 +38,7 @@ def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills:
         *[F.col(l).alias(fill_names[s]) for s, l in fills.items()],
     )
     if how == "left":
-        row = F.struct(*fill_names.values())
-        right = right.groupBy(*key_names.values()).agg(F.min(row).alias("_row")).select(*key_names.values(), "_row.*")
+        right = right.groupBy(*key_names.values()).agg(*[F.min(c).alias(c) for c in fill_names.values()])
     filled = [
         F.coalesce(F.col(c), F.col(fill_names[c])).alias(c) if c in fills else F.col(c) for c in df.columns
     ]

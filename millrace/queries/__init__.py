@@ -1,0 +1,6 @@
+"""Every operator as a query over the given tables."""
+
+from millrace.queries import checks  # noqa: F401
+from millrace.queries.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
