@@ -100,7 +100,7 @@ class CheckRun:
             m, u = F.col(f"m{i}"), F.col(f"u{i}")
             success = u == 0
             if rule.mostly is not None:
-                success = success | (_percent(u, n, m) <= (1 - rule.mostly) * 100)
+                success = success | F.coalesce((n - m - u) / F.nullif(n - m, F.lit(0)) >= rule.mostly, F.lit(True))
             facts.append(_fact(row, rule.column, n, m, u, success, None, by_row=True))
         for row, rule in self._of(R.TotalRule):
             i = row.seq_no

@@ -170,7 +170,7 @@ def _file_target(file_type):
     def make(spark, t, connection):
         options = {}
         if file_type == "csv":
-            options = {k: v for k, v in (("sep", t.get("delimiter")), ("encoding", t.get("encoding"))) if v}
+            options = {k: v for k, v in (("sep", t.get("delimiter")), ("encoding", src.charset(t.get("encoding")))) if v}
         path = fill_date_placeholders(_path(t))
         return FileTarget(spark, t, file_type, path, t.get("operation") == "append", options)
 

@@ -12,9 +12,12 @@ from millrace.operators.mutate import delete_where, update_where
 from millrace.sinks.tables import overwrite_in_place
 
 # UPDATE and DELETE go to our operators, everything else to spark.sql as it is.
-DELETE = re.compile(r"^\s*DELETE\s+FROM\s+(\S+)(?:\s+WHERE\s+(.*))?$", re.I | re.S)
-UPDATE = re.compile(r"^\s*UPDATE\s+(\S+)\s+SET\s+(.*?)(?:\s+WHERE\s+(.*))?$", re.I | re.S)
-NEXT_CHANGE = re.compile(r",\s*(?=`?\w+`?\s*=)")
+OUTSIDE_TEXT = r"(?=(?:[^']*'[^']*')*[^']*$)"  # an even number of quotes follows
+WHERE = rf"(?:\s+WHERE\s+{OUTSIDE_TEXT}(.*))?$"
+DELETE = re.compile(rf"^\s*DELETE\s+FROM\s+(\S+){WHERE}", re.I | re.S)
+UPDATE = re.compile(rf"^\s*UPDATE\s+(\S+)\s+SET\s+(.*?){WHERE}", re.I | re.S)
+NEXT_CHANGE = re.compile(rf",\s*(?=`?\w+`?\s*=){OUTSIDE_TEXT}")
+NEXT_STATEMENT = re.compile(rf";\s*(?:\n|$){OUTSIDE_TEXT}")
 MODES = ("begin", "normal", "skip")
 
 
@@ -30,7 +33,7 @@ def statements_in_order(sql_list: list[dict]) -> list[tuple[int, str]]:
     """(seq_no, text) sorted, without trailing semicolons. One entry may hold several statements."""
     out = []
     for item in sorted(sql_list, key=lambda s: int(s["seq_no"])):
-        for text in re.split(r";\s*(?:\n|$)", item["sql_query"].strip()):
+        for text in NEXT_STATEMENT.split(item["sql_query"].strip()):
             if text.strip(" ;\n"):
                 out.append((int(item["seq_no"]), text.strip(" ;\n")))
     return out

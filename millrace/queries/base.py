@@ -97,7 +97,7 @@ class Case:
         missing = "cast(null as bigint)" if self.missing_null else f"count(*) filter (where {self.missing})"
         if self.bad is not None:
             within = f"floor(p) <= {self.threshold}" if self.threshold is not None else "false"
-            share = f"p <= (1 - {self.mostly}) * 100" if self.mostly is not None else "false"
+            share = f"(n - m - u) / (n - m) >= {self.mostly}" if self.mostly is not None else "false"
             spoiled = f"(not (u = 0 or {share}) and '{self.ignore}' = 'Y')"
             over = f"p > {self.threshold}" if self.threshold is not None else "false"
             return f"""SELECT {head}, {column} as "column", n as element_count, m as missing_count, u as unexpected_count,

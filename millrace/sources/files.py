@@ -11,9 +11,19 @@ from millrace.functions.columns import default_names, project
 
 # File extension looked for per file type.
 EXTENSIONS = {"csv": ".csv", "json": ".json", "parquet": ".parquet", "xml": ".xml", "orc": ".orc"}
+# Common spellings -> character sets that Spark reads.
+CHARSETS = {
+    "utf8": "utf-8", "latin-1": "iso-8859-1", "latin1": "iso-8859-1", "latin_1": "iso-8859-1", "iso8859-1": "iso-8859-1",
+    "ascii": "us-ascii", "utf_8": "utf-8", "utf16": "utf-16", "utf_16": "utf-16", "utf32": "utf-32",
+}
 DROP_IDS = 200_000
 
 
+def charset(encoding: str | None) -> str:
+    name = (encoding or "utf-8").lower()
+    return CHARSETS.get(name, name)
+
+
 class SourceNotFound(Exception):
     """No file matches the source path."""
 
@@ -58,7 +68,7 @@ def read_csv(
         "sep": _char(delimiter, ","),
         "quote": _char(quote_char, '"'),
         "escape": _char(escape_char, '"'),
-        "encoding": encoding or "utf-8",
+        "encoding": charset(encoding),
     }
     if skip_header or skip_footer:
         if multi_line:
@@ -81,7 +91,12 @@ def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> D
     """
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
-    lines = _load(spark.read.format("text").option("encoding", encoding), path)
+    if charset(encoding) == "utf-8":
+        lines = _load(spark.read.format("text"), path)
+    else:
+        # The text source knows UTF-8 only; CSV with one column and no quotes yields lines of any encoding.
+        reader = spark.read.format("csv").options(sep="\u0001", quote="", encoding=charset(encoding))
+        lines = _load(reader.schema("value string"), path)
     return (
         lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
         .where(F.trim("value") != "")
@@ -162,7 +177,7 @@ def read_json(spark: SparkSession, path: str, encoding: str | None = None, lines
     """A JSON array of records per file, or JSON lines (splittable; use it for large files)."""
     reader = spark.read.format("json").option("multiLine", not lines)
     if encoding:
-        reader = reader.option("encoding", encoding)
+        reader = reader.option("encoding", charset(encoding))
     if schema:
         reader = reader.schema(schema)
     return project(_load(reader, path), select, alias)
@@ -171,7 +186,7 @@ def read_json(spark: SparkSession, path: str, encoding: str | None = None, lines
 def read_xml(spark: SparkSession, path: str, row_tag: str = "row", encoding: str | None = None, schema: str | None = None, select=None, alias=None) -> DataFrame:
     reader = spark.read.format("xml").option("rowTag", row_tag)
     if encoding:
-        reader = reader.option("charset", encoding)
+        reader = reader.option("charset", charset(encoding))
     if schema:
         reader = reader.schema(schema)
     return project(_load(reader, path), select, alias)
