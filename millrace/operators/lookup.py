@@ -7,27 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; from file sizes for a scan, so an upper bound after filters."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimate says it fits; else leave the choice to AQE."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+from millrace.operators.skew import broadcast_if_small, fits_broadcast, join_unique
 
 
 def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills: dict[str, str], how: str = "left") -> DataFrame:
     """Nulls of the `fills` columns get the value of the lookup row with the same key.
 
     `keys` and `fills` map source column -> lookup column. "left" keeps each source row once: the
-    lookup is reduced to one row per key (the smallest value of each column). "inner" drops rows without a match
-    and repeats rows whose key occurs several times in the lookup.
-    A lookup too big to broadcast joins only the rows that have something to fill; the others do
-    not move. A hot key is split by AQE on the source side.
+    lookup is reduced to one row per key (the smallest value of each column). "inner" drops rows
+    without a match and repeats rows whose key occurs several times in the lookup.
+    With "left" and a lookup too big to broadcast, only rows that have something to fill are joined.
     """
     if how not in {"left", "inner"}:
         raise ValueError("how must be left or inner")
@@ -37,22 +26,16 @@ def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills:
         *[F.col(l).alias(key_names[s]) for s, l in keys.items()],
         *[F.col(l).alias(fill_names[s]) for s, l in fills.items()],
     )
-    if how == "left":
-        right = right.groupBy(*key_names.values()).agg(*[F.min(c).alias(c) for c in fill_names.values()])
     filled = [
         F.coalesce(F.col(c), F.col(fill_names[c])).alias(c) if c in fills else F.col(c) for c in df.columns
     ]
-
-    def joined(left):
-        on = reduce(lambda a, b: a & b, [left[s] == right_side[k] for s, k in key_names.items()])
-        return left.join(right_side, on, how).select(*filled)
-
-    if plan_bytes(lookup) <= BROADCAST_BYTES:
-        right_side = F.broadcast(right)
-        return joined(df)
-    right_side = right
     if how == "inner":
-        return joined(df)
+        on = reduce(lambda a, b: a & b, [df[s] == right[k] for s, k in key_names.items()])
+        return df.join(broadcast_if_small(right), on).select(*filled)
+    right = right.groupBy(*key_names.values()).agg(*[F.min(c).alias(c) for c in fill_names.values()])
+    if fits_broadcast(lookup):
+        return join_unique(df, right, key_names, small=True).select(*filled)
     gaps = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in fills])
     usable = reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s in keys])
-    return df.where(~(gaps & usable)).unionByName(joined(df.where(gaps & usable)))
+    joined = join_unique(df.where(gaps & usable), right, key_names, small=False).select(*filled)
+    return df.where(~(gaps & usable)).unionByName(joined)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import fits_broadcast, hot_keys, join_unique
+
 
 def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").dropDuplicates(["a", "b"])
@@ -29,25 +31,35 @@ def one_to_one_summary(df: DataFrame, a: str, b: str) -> DataFrame:
 def one_to_one_violations(df: DataFrame, a: str, b: str) -> DataFrame:
     """Distinct pairs (a, b) whose a has several b, or whose b has several a.
 
-    A key with several partners has min <> max, which needs no list of partners. The joins are left
-    outer on a table with one row per bad key; AQE splits a hot key on the pair side.
+    A key with several partners has min <> max, which needs no list of partners. The bad keys, one row
+    each, are joined to the distinct pairs with hot keys apart.
     """
     here = df.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    bad_a = here.groupBy("a").agg((F.min("b") != F.max("b")).alias("bad")).where("bad").select("a", F.lit(True).alias("bad_a"))
-    bad_b = here.groupBy("b").agg((F.min("a") != F.max("a")).alias("bad")).where("bad").select("b", F.lit(True).alias("bad_b"))
-    flagged = _pairs(df, a, b).join(bad_a, "a", "left").join(bad_b, "b", "left")
+    flagged = _pairs(df, a, b)
+    for own, other in (("a", "b"), ("b", "a")):
+        bad = here.groupBy(own).agg((F.min(other) != F.max(other)).alias("_several")).where("_several")
+        bad = bad.select(F.col(own).alias("_" + own), F.lit(True).alias("bad_" + own))
+        small = fits_broadcast(here)
+        hot = None if small else hot_keys(here, [own])
+        flagged = join_unique(flagged, bad, {own: "_" + own}, small=small, hot=hot).drop("_" + own)
     return flagged.where("bad_a or bad_b").select(F.col("a").alias(a), F.col("b").alias(b))
 
 
 def _blank(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Nulls count as the empty text here."""
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((a, "a"), (b, "b"))])
+    """Nulls count as the empty text; a column of another type has no empty text, so its null stays."""
+    types = dict(df.dtypes)
+    return df.select(*[
+        (F.coalesce(F.col(c), F.lit("")) if types[c] == "string" else F.col(c)).alias(n) for c, n in ((a, "a"), (b, "b"))
+    ])
+
+
+def _pair_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    return _blank(df, a, b).groupBy("a", "b").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def many_to_one_summary(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: rows, distinct pairs, distinct a. Pairs are counted first, keys from the pair counts."""
-    pairs = _blank(df, a, b).groupBy("a", "b").agg(F.count(F.lit(1)).alias("rows"))
-    keys = pairs.groupBy("a").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("pairs"))
+    keys = _pair_counts(df, a, b).groupBy("a").agg(F.sum("occurrences").alias("rows"), F.count(F.lit(1)).alias("pairs"))
     return keys.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("pairs"), F.lit(0)).alias("distinct_pairs"),
@@ -61,11 +73,12 @@ def many_to_one_violations(df: DataFrame, a: str, b: str) -> DataFrame:
     Repeated pairs if there are any; otherwise the pairs of a repeated a.
     """
     summary = many_to_one_summary(df, a, b).first()
-    pairs = _blank(df, a, b).groupBy("a", "b").agg(F.count(F.lit(1)).alias("occurrences"))
     if summary["row_count"] > summary["distinct_pairs"]:
-        bad = pairs.where("occurrences > 1")
+        bad = _pair_counts(df, a, b).where("occurrences > 1")
     else:
-        # Here every pair occurs once, so a repeated a is one with min <> max.
-        repeated = _blank(df, a, b).groupBy("a").agg((F.min("b") != F.max("b")).alias("bad")).where("bad").select("a")
-        bad = pairs.join(repeated, "a", "left_semi")
-    return bad.select(F.col("a").alias(a), F.col("b").alias(b), "occurrences")
+        # Every row is a pair of its own here, so the rows themselves are the pairs.
+        rows = _blank(df, a, b).withColumn("occurrences", F.lit(1).cast("long"))
+        counts = rows.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("a").alias("_a"))
+        bad = join_unique(rows, counts, {"a": "_a"}, "left_semi", null_safe=True, small=fits_broadcast(rows))
+    text = [F.coalesce(F.col(n).cast("string"), F.lit("")).alias(c) for n, c in (("a", a), ("b", b))]
+    return bad.select(*text, "occurrences")

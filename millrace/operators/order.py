@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import add_bucket
+from millrace.operators.ranges import add_bucket, bucket_of, range_cuts
 
 
 def row_index(df: DataFrame, order_by: list[str], name: str = "index", rows_per_bucket: int | None = None) -> DataFrame:
@@ -37,6 +37,7 @@ def flag_out_of_order(
     decreasing: bool = False,
     strictly: bool = False,
     rows_per_bucket: int | None = None,
+    cuts: list[tuple] | None = None,
 ) -> DataFrame:
     """Adds a boolean: the row breaks the order against the last non-null value before it.
 
@@ -45,7 +46,9 @@ def flag_out_of_order(
     """
     parts = partition_by or []
     keys = [*parts, *order_by]
-    bucketed, cuts = add_bucket(df, keys, "_bucket", rows_per_bucket)
+    if cuts is None:
+        cuts = range_cuts(df, keys, rows_per_bucket)
+    bucketed = df.withColumn("_bucket", bucket_of(df, keys, cuts))
     window = Window.partitionBy("_bucket", *parts).orderBy(*order_by)
     before = F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
     seen = bucketed.withColumn("_before", before)

@@ -18,7 +18,9 @@ from millrace.operators import rules as R
 from millrace.operators.mapping import many_to_one_summary, one_to_one_summary
 from millrace.operators.order import flag_out_of_order
 from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.ranges import range_cuts
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile_totals
+from millrace.operators.skew import HOT_KEYS, join_unique
 from millrace.session import reliable_checkpoint
 
 REPORT_COLUMNS = [
@@ -28,7 +30,6 @@ REPORT_COLUMNS = [
 ]
 CUSTOM = {"reconciliation", "column_count_comparison", "schema_comparison", "one_to_one_mapping", "multi_to_one_mapping"}
 BROADCAST_KEYS = 500_000
-HOT_SHARE = 1000
 
 
 def _fact(row: CheckRow, column: str, n, missing, unexpected, success, details, by_row=False) -> Column:
@@ -66,6 +67,7 @@ class CheckRun:
     source: DataFrame | None = None
     audit_columns: bool = True
     rules: dict[int, object] = field(default_factory=dict)
+    _cuts: dict[tuple, list] = field(default_factory=dict)
 
     def __post_init__(self):
         seen = [c.seq_no for c in self.checks]
@@ -206,10 +208,14 @@ class CheckRun:
             frames.append(one.select(F.inline(F.array(fact))))
         return frames
 
-    @staticmethod
-    def _order_flag(df: DataFrame, rule: R.OrderRule, flag: str) -> DataFrame:
+    def _order_flag(self, df: DataFrame, rule: R.OrderRule, flag: str) -> DataFrame:
+        """Checks along the same order share their cut points."""
+        keys = (*rule.partition_by, *rule.order_by)
+        at = (keys, rule.rows_per_bucket)
+        if at not in self._cuts:
+            self._cuts[at] = range_cuts(self.df, list(keys), rule.rows_per_bucket)
         return flag_out_of_order(
-            df, rule.column, rule.order_by, rule.partition_by, flag, rule.decreasing, rule.strictly, rule.rows_per_bucket
+            df, rule.column, rule.order_by, rule.partition_by, flag, rule.decreasing, rule.strictly, cuts=self._cuts[at]
         )
 
     def _other(self, row: CheckRow) -> DataFrame:
@@ -312,29 +318,19 @@ class CheckRun:
     def _flag_repeated(self, df: DataFrame, rule: R.KeyRule, mark: str) -> DataFrame:
         """Mark rows whose key occurs more than once.
 
-        Few repeated keys: broadcast them, the rows do not move. Many: the hot ones (at most
-        HOT_SHARE by count) are still broadcast and only the others go through a shuffle join, so
-        no task receives a hot key.
+        The repeated keys are counted once and kept in the shared folder. Few: they are broadcast and
+        the rows do not move. Many: hot ones are broadcast and only the others are shuffled.
         """
-        counts = reliable_checkpoint(self._counts(rule).where("cnt > 1 and not _skip"))
-        n_keys, n_rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("cnt"), F.lit(0))).first()
-        names = [f"_k{i}" for i in range(len(rule.columns))]
-
-        def keys(table):
-            return table.select(*[F.col(c).alias(k) for c, k in zip(rule.columns, names)])
-
-        def on(table):
-            return reduce(lambda x, y: x & y, [df[c].eqNullSafe(table[k]) for c, k in zip(rule.columns, names)])
-
-        if n_keys <= BROADCAST_KEYS:
-            table = F.broadcast(keys(counts).withColumn(mark, F.lit(True)))
-            return df.join(table, on(table), "left").drop(*names)
-        hot_at = max(2, n_rows // HOT_SHARE)
-        hot = F.broadcast(keys(counts.where(F.col("cnt") >= hot_at)))
-        hot_rows = df.join(hot, on(hot), "left_semi").withColumn(mark, F.lit(True))
-        rest = df.join(hot, on(hot), "left_anti")
-        cold = keys(counts.where(F.col("cnt") < hot_at)).withColumn(mark, F.lit(True))
-        return hot_rows.unionByName(rest.join(cold, on(cold), "left").drop(*names))
+        names = {c: f"_k{i}" for i, c in enumerate(rule.columns)}
+        repeated = self._counts(rule).where("cnt > 1 and not _skip").select(*[F.col(c).alias(k) for c, k in names.items()], "cnt")
+        repeated = reliable_checkpoint(repeated)
+        n_keys, n_rows = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("cnt"), F.lit(0))).first()
+        small, hot = n_keys <= BROADCAST_KEYS, None
+        if not small:
+            # At most HOT_KEYS keys can hold that share of the rows each.
+            hot = repeated.where(F.col("cnt") >= max(2, n_rows // HOT_KEYS)).select(*[F.col(k).alias(c) for c, k in names.items()])
+        marked = repeated.drop("cnt").withColumn(mark, F.lit(True))
+        return join_unique(df, marked, names, null_safe=True, small=small, hot=hot).drop(*names.values())
 
     @cached_property
     def rejecting(self) -> list[int]:

@@ -14,6 +14,8 @@ from millrace.operators.report import CheckRun, run_checks
 from millrace.plans.endpoints import open_target, read_source
 from millrace.plans.features import apply_features
 from millrace.plans.runstate import EventLog
+from millrace.session import scratch_dir
+from millrace.sinks.files import discard
 
 
 @dataclass
@@ -32,6 +34,14 @@ class TaskResult:
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
 
 
+# Sources that are parsed row by row or queried again on every pass, and whose rows may change between
+# passes. When checks will read them several times they are landed once as Parquet.
+ROW_SOURCES = {
+    "csv_read", "csvfile_read", "json_read", "xml_read", "rest_api_read", "mysql_read", "postgres_read", "mssql_read",
+    "snowflake_read", "oracle_read",
+}
+
+
 class GateClosed(Exception):
     """A check failed, so the task stops."""
 
@@ -62,7 +72,11 @@ def run_task(
     key=None,
     user: str = "millrace",
 ) -> TaskResult:
-    """Run a task dictionary. At most two passes over the source: check metrics, then the write."""
+    """Run a task dictionary.
+
+    A columnar source is scanned for the check metrics and once more for the write; key, order and
+    quantile checks add scans of their columns. A row source is read once and landed.
+    """
     task = load_task(raw)
     body = task["task"]
     events = EventLog(task.get("pipeline_id"), task.get("task_name") or "task", run_id or uuid.uuid4().hex, iteration)
@@ -93,6 +107,21 @@ def _run(spark, body, connections, events, result, lookup, key, user) -> None:
         sink.drop()
         return
     read = read_source(spark, source, _connection(connections, source))
+    checked = is_yes(how.get("pre_check_enable")) or is_yes(how.get("post_check_enable"))
+    landed = None
+    if checked and source["source_type"] in ROW_SOURCES:
+        landed = scratch_dir(spark, "landed")
+        read.write.parquet(landed)
+        read = spark.read.parquet(landed)
+    try:
+        _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user)
+    finally:
+        if landed:
+            discard(spark, landed)
+
+
+def _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user) -> None:
+    target = body["target"]
     df = apply_features(read, body.get("data_quality_features"), lookup, key)
 
     if is_yes(how.get("pre_check_enable")):

@@ -99,7 +99,7 @@ def test_split_needs_a_failing_check(df):
 def test_repeated_keys_by_both_joins(spark, monkeypatch, limit):
     """Broadcast of the repeated keys, and hot keys broadcast with the rest shuffled."""
     monkeypatch.setattr(report_module, "BROADCAST_KEYS", limit)
-    monkeypatch.setattr(report_module, "HOT_SHARE", 3)
+    monkeypatch.setattr(report_module, "HOT_KEYS", 3)
     df = spark.range(300).selectExpr(
         "id", "case when id < 100 then 7 when id < 200 then id div 2 when id < 210 then null else id end as k", "id % 2 as j"
     )

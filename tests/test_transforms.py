@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from millrace.config import CheckRow, as_list, fill_date_placeholders, load_task, secret
 from millrace.functions.crypto import decrypt_columns, derived_key, encrypt, encrypt_columns, key_from_hex
 from millrace.functions.mask import mask_alpha, mask_date, mask_from_config, mask_numeric
-from millrace.operators import lookup as lookup_module
-from millrace.operators.lookup import auto_correct, broadcast_if_small
+from millrace.operators import skew
+from millrace.operators.lookup import auto_correct
 from millrace.operators.mapping import many_to_one_violations, one_to_one_summary, one_to_one_violations
+from millrace.operators.skew import broadcast_if_small, hot_keys, join_unique
 from millrace.operators.mutate import delete_where, update_where
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile
 from millrace.sinks.tables import TargetError, jdbc_write_plan, operation_name, write_table
@@ -19,10 +20,43 @@ from millrace.sources.jdbc import connection_options, hash_slices, table_name
 KEY = "000102030405060708090a0b0c0d0e0f"
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_auto_correct_both_plans(spark, monkeypatch, as_rows, limit):
-    """Lookup broadcast, and lookup shuffled with only the rows that need it."""
-    monkeypatch.setattr(lookup_module, "BROADCAST_BYTES", limit)
+@pytest.fixture(params=["broadcast", "shuffle", "hot"])
+def plan(request, monkeypatch):
+    """The three ways to join a table with one row per key."""
+    if request.param != "broadcast":
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    if request.param == "hot":
+        monkeypatch.setattr(skew, "HOT_SAMPLE", 0.9)
+        monkeypatch.setattr(skew, "HOT_SEEN", 2)
+    return request.param
+
+
+def test_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_SAMPLE", 0.5)
+    df = spark.range(1000).selectExpr("case when id < 400 then 1 when id < 700 then null else id end as k")
+    assert sorted(((r["k"] for r in hot_keys(df, ["k"]).collect())), key=repr) == [1, None]
+    assert hot_keys(spark.range(100), ["id"]) is None
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_join_unique(spark, plan, how, null_safe):
+    data = [(i, [None, "hot", "hot", "a", "b", str(i)][i % 6]) for i in range(120)]
+    table = {None: 0, "hot": 1, "a": 2, "z": 3, "5": 4}
+    left = spark.createDataFrame(data, "i int, k string").repartition(3)
+    right = spark.createDataFrame(list(table.items()), "key string, v int")
+    got = sorted(tuple(r) for r in join_unique(left, right, {"k": "key"}, how, null_safe).drop("key").collect())
+    known = {k: v for k, v in table.items() if null_safe or k is not None}
+    want = {
+        "left": [(i, k, known.get(k)) for i, k in data],
+        "inner": [(i, k, known[k]) for i, k in data if k in known],
+        "left_semi": [(i, k) for i, k in data if k in known],
+        "left_anti": [(i, k) for i, k in data if k not in known],
+    }[how]
+    assert got == sorted(want)
+
+
+def test_auto_correct_all_plans(spark, plan, as_rows):
     df = spark.createDataFrame([(1, 1, None), (2, 1, "own"), (3, 9, None), (4, None, None), (5, 2, None)], "id int, k int, v string")
     lkp = spark.createDataFrame([(1, "one"), (1, "uno"), (2, None), (2, "two"), (None, "null")], "key int, val string")
     left = auto_correct(df, lkp, {"k": "key"}, {"v": "val"})
@@ -76,7 +110,7 @@ def test_update_and_delete(spark, as_rows):
         update_where(df, {"c": "1"})
 
 
-def test_mappings(spark, as_rows):
+def test_mappings(spark, plan, as_rows):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("b", 3), ("c", 4), ("d", 4), ("e", None), (None, 9)], "x string, y int")
     assert tuple(one_to_one_summary(df, "x", "y").first()) == (2, 2)
     assert as_rows(one_to_one_violations(df, "x", "y")) == [("b", 2), ("b", 3), ("c", 4), ("d", 4)]
