@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import add_bucket, bucket_of, range_cuts
+from millrace.operators.ranges import MAX_BUCKETS, bucket_of, range_cuts, sort_form
+from millrace.operators.skew import plan_bytes
+from millrace.session import store
+
+BUCKET_BYTES = 128 * 1024 * 1024
+
 
+PART_BITS = 33  # monotonically_increasing_id: partition number above, place in the partition below
 
-def row_index(df: DataFrame, order_by: list[str], name: str = "index", rows_per_bucket: int | None = None) -> DataFrame:
+
+def row_index(df: DataFrame, order_by: list[str], name: str = "index", buckets: int | None = None) -> DataFrame:
     """0, 1, 2, ... along `order_by` (which should identify a row, else ties are in any order).
 
-    One shuffle of the rows, by bucket; the bucket sizes are at most MAX_BUCKETS numbers.
+    One range shuffle along the whole key, so a hot leading value is spread, and a sort inside each
+    partition. The sorted rows are stored: partition sizes and rows then come from one and the same
+    partitioning, whatever happens to executors. No window.
     """
-    bucketed, cuts = add_bucket(df, order_by, "_bucket", rows_per_bucket)
-    within = Window.partitionBy("_bucket").orderBy(*order_by)
-    numbered = bucketed.withColumn(name, F.row_number().over(within).cast("long") - 1)
-    if cuts:
-        sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")).collect()
-        rows_of = {r["_bucket"]: r["_rows"] for r in sizes}
-        starts, offset = [], 0
-        for bucket in range(len(cuts) + 1):
-            starts.append(offset)
-            offset += rows_of.get(bucket, 0)
-        start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("_bucket"))
-        numbered = numbered.withColumn(name, F.col(name) + start)
-    return numbered.drop("_bucket")
+    if buckets is None:
+        parallel = df.sparkSession.sparkContext.defaultParallelism
+        buckets = min(MAX_BUCKETS, max(parallel, plan_bytes(df) // BUCKET_BYTES))
+    placed = df.repartitionByRange(buckets, *order_by).sortWithinPartitions(*order_by)
+    stored = store(placed.withColumn("_at", F.monotonically_increasing_id()), "indexed")
+    part = F.shiftright("_at", PART_BITS).cast("int")
+    sizes = {r["part"]: r["count"] for r in stored.groupBy(part.alias("part")).count().collect()}
+    starts, offset = [], 0
+    for p in range(buckets):
+        starts.append(offset)
+        offset += sizes.get(p, 0)
+    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), part)
+    return stored.withColumn(name, start + F.col("_at").bitwiseAND((1 << PART_BITS) - 1)).drop("_at")
 
 
 def flag_out_of_order(
@@ -68,11 +79,12 @@ def _carry(bucketed, seen, column, order_by, parts, cuts):
     spanning = bucketed.where(F.col(column).isNotNull())
     if parts:
         # Only a partition that a cut point lies in can cross a bucket edge.
-        heads = F.array(*[
-            F.struct(*[F.lit(v).cast(types[p]).alias(p) for p, v in zip(parts, cut)])
-            for cut in dict.fromkeys(c[: len(parts)] for c in cuts)
-        ])
-        spanning = spanning.where(F.array_contains(heads, F.struct(*[F.col(p) for p in parts])))
+        form = [c.alias(f"_h{i}") for i, c in enumerate(sort_form(bucketed, parts))]
+        kinds = bucketed.select(*form).schema
+        heads = list(dict.fromkeys(c[: len(form)] for c in cuts))
+        table = F.broadcast(bucketed.sparkSession.createDataFrame(heads, kinds))
+        on = reduce(lambda x, y: x & y, [f.eqNullSafe(table[k]) for f, k in zip(form, kinds.names)])
+        spanning = spanning.join(table, on, "left_semi")
     ends = spanning.groupBy("_bucket", *parts).agg(
         F.max_by(column, F.struct(*order_by)).alias("_last")
     ).collect()

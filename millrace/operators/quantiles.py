@@ -38,20 +38,27 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], fetch_rows:
 
 def _narrow(x: DataFrame, state: dict) -> dict:
     v = F.col("v")
-    proposals = []
+    # Ranks in the same bracket share one sketch: all of them, in the first pass.
+    brackets: dict[tuple, list] = {}
     for r, (lo, hi, below, inside) in state.items():
         place, slack = (r - below) / inside, 4 / ACCURACY
-        marks = [max(0.0, place - slack), min(1.0, place + slack)]
-        proposals.append(F.percentile_approx(F.when(v.between(lo, hi), v), marks, ACCURACY).alias(str(r)))
-    proposed = x.agg(*proposals).first()
+        brackets.setdefault((lo, hi), []).append((r, [max(0.0, place - slack), min(1.0, place + slack)]))
+    sketches = []
+    for i, ((lo, hi), members) in enumerate(brackets.items()):
+        marks = [m for _, pair in members for m in pair]
+        sketches.append(F.percentile_approx(F.when(v.between(lo, hi), v), marks, ACCURACY).alias(f"s{i}"))
+    row = x.agg(*sketches).first()
+    proposed = {
+        r: row[f"s{i}"][2 * j : 2 * j + 2] for i, members in enumerate(brackets.values()) for j, (r, _) in enumerate(members)
+    }
     counts = []
     for r in state:
-        lo, hi = proposed[str(r)]
+        lo, hi = proposed[r]
         counts += [F.count_if(v < lo).alias(f"b{r}"), F.count_if(v.between(lo, hi)).alias(f"i{r}")]
     row = x.agg(*counts).first()
     out = {}
     for r, (lo, hi, below, inside) in state.items():
-        new_lo, new_hi = proposed[str(r)]
+        new_lo, new_hi = proposed[r]
         b, i = row[f"b{r}"], row[f"i{r}"]
         if b <= r < b + i:
             # A bracket that no longer shrinks has its ends as good as equal: halve it by value.

@@ -21,7 +21,7 @@ from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.ranges import range_cuts
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile_totals
 from millrace.operators.skew import HOT_KEYS, join_unique
-from millrace.session import reliable_checkpoint
+from millrace.session import store
 
 REPORT_COLUMNS = [
     "seq_no", "check", "type", "column", "element_count", "missing_count", "unexpected_count",
@@ -323,7 +323,7 @@ class CheckRun:
         """
         names = {c: f"_k{i}" for i, c in enumerate(rule.columns)}
         repeated = self._counts(rule).where("cnt > 1 and not _skip").select(*[F.col(c).alias(k) for c, k in names.items()], "cnt")
-        repeated = reliable_checkpoint(repeated)
+        repeated = store(repeated, "repeated")
         n_keys, n_rows = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("cnt"), F.lit(0))).first()
         small, hot = n_keys <= BROADCAST_KEYS, None
         if not small:

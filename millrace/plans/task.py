@@ -14,8 +14,7 @@ from millrace.operators.report import CheckRun, run_checks
 from millrace.plans.endpoints import open_target, read_source
 from millrace.plans.features import apply_features
 from millrace.plans.runstate import EventLog
-from millrace.session import scratch_dir
-from millrace.sinks.files import discard
+from millrace.session import store
 
 
 @dataclass
@@ -108,16 +107,9 @@ def _run(spark, body, connections, events, result, lookup, key, user) -> None:
         return
     read = read_source(spark, source, _connection(connections, source))
     checked = is_yes(how.get("pre_check_enable")) or is_yes(how.get("post_check_enable"))
-    landed = None
     if checked and source["source_type"] in ROW_SOURCES:
-        landed = scratch_dir(spark, "landed")
-        read.write.parquet(landed)
-        read = spark.read.parquet(landed)
-    try:
-        _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user)
-    finally:
-        if landed:
-            discard(spark, landed)
+        read = store(read, "landed")
+    _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user)
 
 
 def _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user) -> None:

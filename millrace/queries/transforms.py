@@ -111,10 +111,10 @@ def encrypt_random_nonce(spark, sf_dir):
 def encrypt_join_stable(spark, sf_dir):
     """Equal values keep equal ciphertexts, so encrypted keys still join."""
     key, nonce = _check_key(), derived_key(_check_key(), "nonce")
-    orders = table(spark, sf_dir, "orders").select(encrypt("o_custkey", key, nonce).alias("k"))
+    # Count per key before anything else: a hot customer is encrypted once and crosses the join as one row.
+    per_key = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_key.select(encrypt("o_custkey", key, nonce).alias("k"), "n")
     customers = table(spark, sf_dir, "customer").select(encrypt("c_custkey", key, nonce).alias("k"), "c_mktsegment")
-    # Count per key first: a hot customer crosses the join as one row.
-    per_key = orders.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     return per_key.join(customers, "k").groupBy("c_mktsegment").agg(F.sum("n").alias("orders"), F.count(F.lit(1)).alias("customers"))
 
 

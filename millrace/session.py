@@ -52,10 +52,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared folder, so that lost executors cost nothing downstream."""
-    spark = df.sparkSession
-    root = _shared_root(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once into the shared folder and go on from there.
+
+    Cuts lineage, so that lost executors cost nothing downstream and every later pass sees the same
+    rows; as Parquet, so that it reads only the columns it needs.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from millrace.functions.columns import nan_to_null
 from millrace.operators.order import row_index
 
 
-def payload_batches(df: DataFrame, batch_rows: int, order_by: list[str] | None = None, rows_per_bucket: int | None = None) -> DataFrame:
+def payload_batches(df: DataFrame, batch_rows: int, order_by: list[str] | None = None) -> DataFrame:
     """(batch_no, rows, payload): a JSON array of at most `batch_rows` records per row.
 
     With `order_by` batches are cut along a dense row index. Without it along the place of a row in
@@ -18,7 +18,7 @@ def payload_batches(df: DataFrame, batch_rows: int, order_by: list[str] | None =
     clean = nan_to_null(df)
     record = F.to_json(F.struct(*clean.columns), {"ignoreNullFields": "false"})
     if order_by:
-        numbered = row_index(clean, order_by, "_i", rows_per_bucket)
+        numbered = row_index(clean, order_by, "_i")
         batch = F.floor(F.col("_i") / batch_rows).cast("long")
     else:
         numbered = clean.withColumn("_i", F.monotonically_increasing_id())

@@ -129,7 +129,7 @@ def test_publish_replaces_or_adds(spark, tmp_path):
 def test_payload_batches_are_bounded(spark, order):
     # All rows but the key are copies.
     df = spark.range(1005).selectExpr("id", "'same' as v", "double('NaN') as x").repartition(3)
-    got = payload_batches(df, 100, order, rows_per_bucket=150).collect()
+    got = payload_batches(df, 100, order).collect()
     assert max(r["rows"] for r in got) <= 100 and sum(r["rows"] for r in got) == 1005
     import json
 

@@ -7,18 +7,34 @@ import pytest
 
 from millrace.operators import quantiles as Q
 from millrace.operators.order import flag_out_of_order, row_index
-from millrace.operators.ranges import add_bucket, range_cuts
+from millrace.operators.ranges import bucket_of, range_cuts
 
 
 def test_buckets_follow_the_key(spark):
-    df = spark.range(10_000).selectExpr("id % 3 as a", "cast(id * 7919 % 10007 as string) as b")
-    out, cuts = add_bucket(df, ["a", "b"], "bucket", rows_per_bucket=100)
-    got = sorted((r["a"], r["b"], r["bucket"]) for r in out.collect())
-    buckets = [g[2] for g in got]
+    """Any types, nulls first, and balance inside a hot leading value."""
+    df = spark.range(10_000).selectExpr(
+        "case id % 4 when 0 then null when 1 then 'x' else 'é' end as a", "id % 2 = 0 as b", "cast(id * 7919 % 10007 as double) / 7 as c"
+    )
+    cuts = range_cuts(df, ["a", "b", "c"], rows_per_bucket=100)
+    out = df.withColumn("bucket", bucket_of(df, ["a", "b", "c"], cuts)).orderBy("a", "b", "c").collect()
+    buckets = [r["bucket"] for r in out]
     assert buckets == sorted(buckets)
     assert 50 < len(cuts) < 110
-    sizes = np.bincount(buckets)
-    assert sizes.max() < 400  # three values in the leading column, still balanced
+    assert np.bincount(buckets).max() < 400
+
+
+@pytest.mark.parametrize("kind", [
+    "cast(id as bigint)", "cast(id - 500 as smallint)", "cast(id as decimal(20,3)) / 7", "date_add(date'1969-12-01', cast(id as int))",
+    "timestamp_micros(id * 123456789 - 10000000000)", "timestamp_ntz'1969-12-31 23:00:00.5' + make_interval(0,0,0,0,0,0,id * 7.25)",
+    "cast(id as string)", "case when id % 10 = 0 then double('NaN') when id % 10 = 1 then double('Infinity') else id div 5 - 100 end", "id % 2 = 0", "cast(id as float)",
+    "cast(id div 3 as decimal(12,2)) / 8", "cast(id div 3 as decimal(38,10))", "timestamp_ntz'2024-03-31 02:59:59' + make_interval(0,0,0,0,0,0,id div 2 / 1000)",
+])
+def test_bucket_order_by_type(spark, kind):
+    df = spark.range(1000).selectExpr(f"case when id % 9 = 0 then null else {kind} end as k", "id")
+    cuts = range_cuts(df, ["k", "id"], rows_per_bucket=25)
+    out = df.withColumn("bucket", bucket_of(df, ["k", "id"], cuts)).orderBy("k", "id").collect()
+    buckets = [r["bucket"] for r in out]
+    assert buckets == sorted(buckets) and max(buckets) > 20
 
 
 def test_no_cuts_for_few_rows(spark):
@@ -26,12 +42,12 @@ def test_no_cuts_for_few_rows(spark):
     assert range_cuts(spark.range(0), ["id"], 5) == []
 
 
-@pytest.mark.parametrize("per_bucket", [None, 7, 100])
-def test_row_index_is_dense(spark, per_bucket):
+@pytest.mark.parametrize("buckets", [None, 1, 37])
+def test_row_index_is_dense(spark, buckets):
     rnd = random.Random(1)
     data = [(rnd.choice([None, "a", "b", "b", "b"]), i, rnd.random()) for i in range(1000)]
     df = spark.createDataFrame(data, "k string, i long, x double").repartition(5)
-    got = row_index(df, ["k", "i"], "n", per_bucket).collect()
+    got = row_index(df, ["k", "i"], "n", buckets).collect()
     want = sorted(data, key=lambda t: (t[0] is not None, t[0] or "", t[1]))
     assert [(r["k"], r["i"], r["x"]) for r in sorted(got, key=lambda r: r["n"])] == want
     assert sorted(r["n"] for r in got) == list(range(1000))
