@@ -20,7 +20,7 @@ from millrace.operators.order import flag_out_of_order
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.ranges import range_cuts
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile_totals
-from millrace.operators.skew import HOT_KEYS, join_unique
+from millrace.operators.skew import HOT_KEYS, fits_broadcast, join_unique
 from millrace.session import store
 
 REPORT_COLUMNS = [
@@ -325,7 +325,7 @@ class CheckRun:
         repeated = self._counts(rule).where("cnt > 1 and not _skip").select(*[F.col(c).alias(k) for c, k in names.items()], "cnt")
         repeated = store(repeated, "repeated")
         n_keys, n_rows = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("cnt"), F.lit(0))).first()
-        small, hot = n_keys <= BROADCAST_KEYS, None
+        small, hot = n_keys <= BROADCAST_KEYS and fits_broadcast(repeated), None  # keys may be long texts
         if not small:
             # At most HOT_KEYS keys can hold that share of the rows each.
             hot = repeated.where(F.col("cnt") >= max(2, n_rows // HOT_KEYS)).select(*[F.col(k).alias(c) for c, k in names.items()])

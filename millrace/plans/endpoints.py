@@ -80,16 +80,13 @@ class FileTarget:
 
     def stage(self, df: DataFrame) -> int:
         df = all_strings(df) if self.strings else df
+        self.schema = df.schema
         return sink.write_files(df, self.stage_path, self.file_type, "errorifexists", self.options)
 
     def staged(self) -> DataFrame:
-        read = {
-            "csv": lambda: src.read_csv(self.spark, self.stage_path, self.options.get("sep")),
-            "json": lambda: src.read_json(self.spark, self.stage_path, lines=True),
-        }.get(self.file_type)
-        if read:
-            return read()
-        return self.spark.read.options(**({"rowTag": "row"} if self.file_type == "xml" else {})).format(self.file_type).load(self.stage_path)
+        """Read back with the written schema: text formats do not keep types, and guessing them costs a pass."""
+        extra = {"csv": {"header": True, "escape": '"', **self.options}, "xml": {"rowTag": "row"}}.get(self.file_type, {})
+        return self.spark.read.schema(self.schema).options(**extra).format(self.file_type).load(self.stage_path)
 
     def publish(self) -> None:
         sink.publish(self.spark, self.stage_path, self.path, self.append)

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = get_session(
-        "millrace-tests", "local[4]",
+        "millrace-tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(root / "checkpoints"),
