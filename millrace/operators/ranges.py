@@ -81,67 +81,59 @@ def range_cuts(df: DataFrame, keys: list[str], rows_per_bucket: int | None = Non
     return list(dict.fromkeys(picked))
 
 
-class CutFinder:
-    """Number of cut points at or before a row, for batches of rows.
+def cut_search(cuts: list[tuple]):
+    """A function of Arrow columns: the number of cut points at or before each row.
 
     Each column is replaced by its place among the cut points' values (0 for null, odd between two
     values, even at a value). Places of the columns so far are folded into one place among the cut
     points' prefixes, so numbers stay small however many columns there are.
+
+    All parts are local functions, so that they travel to executors by value: these need numpy and
+    pyarrow but not this package.
     """
 
-    def __init__(self, cuts: list[tuple]):
-        self.values, self.prefixes = [], []
-        place = None
-        for column in zip(*cuts):
-            known = sorted({v for v in column if v is not None})
-            self.values.append(np.array(known, dtype=object if known and isinstance(known[0], str) else None))
-            place = self._fold(place, self._code(list(column), len(self.values) - 1), len(self.values) - 1)
-            self.prefixes.append(np.unique(place))
-            place = self._among(self.prefixes[-1], place)
-        self.ends = np.sort(place)
-
-    @staticmethod
-    def _among(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    def among(known, values):
         at = np.searchsorted(known, values)
         hit = np.zeros(len(values), dtype=bool)
         inside = at < len(known)
         hit[inside] = known[at[inside]] == values[inside]
         return 2 * at.astype(np.int64) + 1 + hit
 
-    def _code(self, column, j: int) -> np.ndarray:
-        if not isinstance(column, pa.Array):
-            column = pa.array(column)
-        known = self.values[j]
-        if pa.types.is_null(column.type) or not len(known):
-            return np.where(np.asarray(column.is_null()), 0, 1).astype(np.int64)
+    def code(known, column):
+        nulls = np.asarray(column.is_null())
+        if not len(known):
+            return np.where(nulls, 0, 1).astype(np.int64)
         if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
             encoded = column.dictionary_encode()  # search each distinct text of a batch once
-            found = self._among(known, encoded.dictionary.to_numpy(zero_copy_only=False))
+            found = among(known, encoded.dictionary.to_numpy(zero_copy_only=False))
             places = np.concatenate([found, [0]])
             return places[encoded.indices.fill_null(len(found)).to_numpy(zero_copy_only=False)]
-        code = self._among(known, column.fill_null(0).to_numpy(zero_copy_only=False))
-        if column.null_count:
-            code[np.asarray(column.is_null())] = 0
-        return code
-
-    def _fold(self, place, code: np.ndarray, j: int) -> np.ndarray:
-        return code if place is None else place * (2 * len(self.values[j]) + 2) + code
-
-    def __call__(self, *columns: pa.Array) -> pa.Array:
-        place = None
+        return np.where(nulls, 0, among(known, column.fill_null(0).to_numpy(zero_copy_only=False)))
+
+    def fold(place, column, j):
+        places = code(values[j], column)
+        return places if place is None else place * (2 * len(values[j]) + 2) + places
+
+    values, prefixes, place = [], [], None
+    for j, column in enumerate(zip(*cuts)):
+        known = sorted({v for v in column if v is not None})
+        values.append(np.array(known, dtype=object if known and isinstance(known[0], str) else None))
+        place = fold(place, pa.array(column), j)
+        prefixes.append(np.unique(place))
+        place = among(prefixes[j], place)
+    ends = np.sort(place)
+
+    def search(*columns):
+        at = None
         for j, column in enumerate(columns):
-            place = self._among(self.prefixes[j], self._fold(place, self._code(column, j), j))
-        return pa.array(np.searchsorted(self.ends, place, side="right").astype(np.int32))
+            at = among(prefixes[j], fold(at, column, j))
+        return pa.array(np.searchsorted(ends, at, side="right").astype(np.int32))
+
+    return search
 
 
 def bucket_of(df: DataFrame, keys: list[str], cuts: list[tuple]) -> Column:
     """Index of the range that a row falls in."""
     if not cuts:
         return F.lit(0)
-    finder = CutFinder(cuts)
-
-    @F.arrow_udf("int")
-    def find(*columns: pa.Array) -> pa.Array:
-        return finder(*columns)
-
-    return find(*sort_form(df, keys))
+    return F.arrow_udf(cut_search(cuts), "int")(*sort_form(df, keys))

@@ -1,13 +1,16 @@
 """Range buckets, dense index, order checks and quantiles against brute force."""
 
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from millrace.operators import quantiles as Q
 from millrace.operators.order import flag_out_of_order, row_index
-from millrace.operators.ranges import bucket_of, range_cuts
+from millrace.operators.ranges import bucket_of, cut_search, range_cuts
 
 
 def test_buckets_follow_the_key(spark):
@@ -37,6 +40,17 @@ def test_bucket_order_by_type(spark, kind):
     assert buckets == sorted(buckets) and max(buckets) > 20
 
 
+def test_search_needs_no_package_on_executors():
+    """Executors may have numpy and pyarrow only."""
+    code = (
+        "import sys, pickle, pyarrow as pa; f = pickle.loads(sys.stdin.buffer.read());"
+        "print(f(pa.array([0, 5, None, 9]), pa.array(['a', 'b', 'c', None])).to_pylist()); assert 'millrace' not in sys.modules"
+    )
+    search = cloudpickle.dumps(cut_search([(None, "d"), (5, "a"), (5, "b"), (7, None)]))
+    done = subprocess.run([sys.executable, "-c", code], input=search, capture_output=True, cwd="/", env={"PATH": "/usr/bin:/bin"})
+    assert done.stdout.decode().strip() == "[1, 3, 0, 4]", done.stderr.decode()
+
+
 def test_no_cuts_for_few_rows(spark):
     assert range_cuts(spark.range(10), ["id"]) == []
     assert range_cuts(spark.range(0), ["id"], 5) == []

@@ -65,6 +65,6 @@ def test_no_cross_join_anywhere(spark, sf):
 
 def test_no_single_partition_window(spark, sf):
     df = spark.read.parquet(f"{sf}/events.parquet").withColumn("v", F.col("value"))
-    run = run_checks(df, [{"seq_no": 1, "check": "column_values_to_be_increasing", "parameters": {"column": "v", "order_by": "event_id"}}])
+    run = run_checks(df, [{"seq_no": 1, "check": "column_values_to_be_increasing", "parameters": {"column": "v", "order_by": "event_id", "rows_per_bucket": 100}}])
     windows = [line for line in plan(run.flagged()).splitlines() if "Window [" in line]
     assert windows and all("_bucket" in line for line in windows)
