@@ -44,10 +44,8 @@ def add_audit_columns(df: DataFrame, user: str, stamp: Column | None = None) ->
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """A payload has no NaN."""
-    return df.withColumns({
-        c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in {"double", "float"}
-    })
+    floats = {c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in {"double", "float"}}
+    return df.withColumns(floats) if floats else df
 
 
 def all_strings(df: DataFrame) -> DataFrame:

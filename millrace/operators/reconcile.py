@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import AUDIT_COLUMNS
+from millrace.functions.columns import nan_to_null
 
 DECIMAL = "decimal(28,6)"
 RECON_KINDS = ("sum", "avg", "min", "max", "count")
@@ -27,17 +28,24 @@ def _is_number(df: DataFrame, column: str) -> bool:
     return name in {"byte", "short", "integer", "long", "float", "double"} or name.startswith("decimal")
 
 
-def _total(kind: str, column: str, number: bool) -> Column:
-    """One side's total as text. Decimals make sums independent of the partitioning."""
-    value = F.col(column).try_cast(DECIMAL) if number else F.col(column)
+def _exact(df: DataFrame, column: str) -> Column:
+    """As a decimal: a sum of doubles depends on the partitioning. Text that is no number counts as
+    missing; a number that does not fit raises."""
+    text = df.schema[column].dataType.typeName() == "string"
+    return F.col(column).try_cast(DECIMAL) if text else F.col(column).cast(DECIMAL)
+
+
+def _total(df: DataFrame, kind: str, column: str, number: bool) -> Column:
+    """One side's total as text."""
     if kind == "count":
         return F.count(F.col(column)).cast("string")
     if kind == "sum":
-        return F.coalesce(F.sum(F.col(column).try_cast(DECIMAL)), F.lit(0).cast(DECIMAL)).cast("decimal(38,6)").cast("string")
+        return F.coalesce(F.sum(_exact(df, column)), F.lit(0).cast(DECIMAL)).cast("decimal(38,6)").cast("string")
     if kind == "avg":
-        x = F.col(column).try_cast(DECIMAL)
+        x = _exact(df, column)
         return F.try_divide(F.sum(x), F.count(x)).cast("decimal(38,6)").cast("string")
     if kind in {"min", "max"}:
+        value = _exact(df, column) if number else F.col(column)
         return (F.min if kind == "min" else F.max)(value).cast("string")
     raise ValueError(f"reconciliation kind must be one of {', '.join(RECON_KINDS)}")
 
@@ -48,12 +56,12 @@ def reconcile_totals(source: DataFrame, target: DataFrame, recons: list[Recon])
     Each side is aggregated to one row; the two rows are put together by a union, not a join.
     """
     sides = []
-    for tag, df in (("s", source), ("t", target)):
+    for tag, df in (("s", nan_to_null(source)), ("t", nan_to_null(target))):
         totals = []
         for r in recons:
             number = _is_number(source, r.source_column) or _is_number(target, r.target_column)
             column = r.source_column if tag == "s" else r.target_column
-            totals.append(_total(r.kind, column, number).alias(f"v{r.seq_no}"))
+            totals.append(_total(df, r.kind, column, number).alias(f"v{r.seq_no}"))
         sides.append(df.agg(*totals).withColumn("side", F.lit(tag)))
     picked = [
         F.max(F.when(F.col("side") == tag, F.col(f"v{r.seq_no}"))).alias(f"{tag}{r.seq_no}")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import CheckRow
+from millrace.functions.columns import nan_to_null
 from millrace.operators import rules as R
 from millrace.operators.mapping import many_to_one_summary, one_to_one_summary
 from millrace.operators.order import flag_out_of_order
@@ -351,8 +352,11 @@ class CheckRun:
 
 
 def run_checks(df: DataFrame, checks: list, source: DataFrame | None = None, type: str | None = None, audit_columns: bool = True) -> CheckRun:
-    """Bind a check list to a frame. Lazy, but for exact quantiles and range cut points."""
+    """Bind a check list to a frame. Lazy, but for exact quantiles and range cut points.
+
+    NaN counts as missing, as it does in pandas, so it is null from here on.
+    """
     rows = [CheckRow.of(c) for c in checks]
     if type is not None:
         rows = [r for r in rows if r.type == type]
-    return CheckRun(df, rows, source, audit_columns)
+    return CheckRun(nan_to_null(df), rows, source, audit_columns)

@@ -113,6 +113,17 @@ def test_repeated_keys_by_both_joins(spark, monkeypatch, limit):
     assert run.bad().count() == 210
 
 
+def test_nan_is_missing(df):
+    run = run_checks(df, [
+        control(1, "column_values_to_not_be_null", column="x"), control(2, "column_max_to_be_between", column="x", max_value=50),
+        control(3, "column_sum_to_be_between", column="x", min_value=53, max_value=53), control(4, "column_values_to_be_between", column="x", max_value=49),
+        control(5, "reconciliation", aggregation="count", source_column="x", target_column="x"),
+        control(6, "column_median_to_be_between", column="x", min_value=2, max_value=2),
+    ], source=df.where("not isnan(x)"))
+    got = {r["seq_no"]: (r["result"], r["missing_count"], r["unexpected_count"]) for r in run.results}
+    assert got == {1: ("FAIL", 0, 2), 2: ("PASS", 2, None), 3: ("PASS", 2, None), 4: ("FAIL", 2, 1), 5: ("PASS", None, None), 6: ("PASS", 2, None)}
+
+
 def test_mostly(df):
     assert one(df, "column_values_to_not_be_null", column="s", mostly=0.8)["result"] == "PASS"
     assert one(df, "column_values_to_not_be_null", column="s", mostly=0.9)["result"] == "FAIL"

@@ -15,7 +15,7 @@ from millrace.operators.skew import broadcast_if_small, hot_keys, join_unique
 from millrace.operators.mutate import delete_where, update_where
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile
 from millrace.sinks.tables import TargetError, jdbc_write_plan, operation_name, write_table
-from millrace.sources.jdbc import connection_options, hash_slices, table_name
+from millrace.sources.jdbc import connection_options, hash_slices, read_jdbc, table_name
 
 KEY = "000102030405060708090a0b0c0d0e0f"
 
@@ -189,6 +189,45 @@ def test_jdbc_plans(monkeypatch):
     assert len(slices) == 3 and "IS NULL" in slices[0] and "IS NULL" not in slices[1]
 
 
+class Recorder:
+    """Stands for spark.read: keeps the options, returns a small frame."""
+
+    def __init__(self, spark, answer):
+        self.spark, self.answer, self.calls = spark, answer, []
+        self.read = self
+
+    def format(self, name):
+        self.calls.append({"format": name})
+        return self
+
+    def options(self, **options):
+        self.calls[-1].update(options)
+        return self
+
+    def load(self):
+        return self.answer
+
+    def jdbc(self, url, table, predicates, properties):
+        self.calls.append({"url": url, "table": table, "predicates": predicates, **properties})
+        return self.answer
+
+
+def test_jdbc_reads(spark):
+    connection = {"url": "jdbc:x", "driver": "d"}
+    rec = Recorder(spark, spark.sql("select 1 as lo, 90 as hi"))
+    read_jdbc(rec, "mysql", {"query": "select a from t; ", "table_name": "t", "chunk_size": 1000}, connection)
+    assert rec.calls == [{"format": "jdbc", "url": "jdbc:x", "driver": "d", "fetchsize": "1000", "query": "select a from t"}]
+    rec.calls.clear()
+    df = read_jdbc(rec, "mysql", {"query": " ", "schema": "s", "table_name": "t", "select_columns": "hi"}, connection)
+    assert df.columns == ["hi"] and rec.calls[-1]["dbtable"] == "s.t" and "numPartitions" not in rec.calls[-1]
+    read_jdbc(rec, "mysql", {"table_name": "t", "partition_column": "k", "partitions": 8}, connection)
+    assert rec.calls[-2]["query"] == "SELECT MIN(k) AS lo, MAX(k) AS hi FROM t"
+    assert {k: rec.calls[-1][k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
+        "partitionColumn": "k", "lowerBound": "1", "upperBound": "90", "numPartitions": "8"}
+    read_jdbc(rec, "mysql", {"table_name": "t", "partition_column": "k", "partition_by_hash": True, "partitions": 4}, connection)
+    assert len(rec.calls[-1]["predicates"]) == 4 and rec.calls[-1]["table"] == "t"
+
+
 def test_hash_slices_cover_every_row_once(spark):
     df = spark.sql("select explode(array(-5, -1, 0, 1, 2, 7, null)) as k")
     assert sum(df.where(p).count() for p in hash_slices("k", 3)) == 7
