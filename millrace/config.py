@@ -8,7 +8,9 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
+# Spellings of "not given".
 BLANKS = {"", "None", "none", "null"}
+# The audit columns of a target.
 AUDIT_COLUMNS = ("CRTD_BY", "CRTD_DTTM", "UPDT_BY", "UPDT_DTTM")
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import MAX_BUCKETS, bucket_of, range_cuts, sort_form
+from millrace.operators.ranges import bucket_of, range_cuts, sort_form
 from millrace.operators.skew import plan_bytes
 from millrace.session import store
 
-BUCKET_BYTES = 128 * 1024 * 1024
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 65_536
 
 
 PART_BITS = 33  # monotonically_increasing_id: partition number above, place in the partition below
@@ -26,17 +28,16 @@ def row_index(df: DataFrame, order_by: list[str], name: str = "index", buckets:
     """
     if buckets is None:
         parallel = df.sparkSession.sparkContext.defaultParallelism
-        buckets = min(MAX_BUCKETS, max(parallel, plan_bytes(df) // BUCKET_BYTES))
+        buckets = min(MAX_PARTITIONS, max(parallel, plan_bytes(df) // PARTITION_BYTES))
     placed = df.repartitionByRange(buckets, *order_by).sortWithinPartitions(*order_by)
     stored = store(placed.withColumn("_at", F.monotonically_increasing_id()), "indexed")
     part = F.shiftright("_at", PART_BITS).cast("int")
-    sizes = {r["part"]: r["count"] for r in stored.groupBy(part.alias("part")).count().collect()}
-    starts, offset = [], 0
-    for p in range(buckets):
-        starts.append(offset)
-        offset += sizes.get(p, 0)
-    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), part)
-    return stored.withColumn(name, start + F.col("_at").bitwiseAND((1 << PART_BITS) - 1)).drop("_at")
+    sizes = sorted(tuple(r) for r in stored.groupBy(part.alias("part")).count().collect())
+    starts = itertools.accumulate((rows for _, rows in sizes), initial=0)
+    table = df.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "_part int, _start long")
+    placed = stored.join(F.broadcast(table), part == F.col("_part"))  # at most MAX_PARTITIONS rows
+    within = F.col("_at").bitwiseAND((1 << PART_BITS) - 1)
+    return placed.withColumn(name, F.col("_start") + within).drop("_at", "_part", "_start")
 
 
 def flag_out_of_order(

@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 40
+ROWS_PER_BUCKET = 500_000
+MAX_BUCKETS = 16_384
+SAMPLE_PER_BUCKET = 20
 
 
 def sort_form(df: DataFrame, keys: list[str]) -> list[Column]:
@@ -63,12 +63,7 @@ def sort_form(df: DataFrame, keys: list[str]) -> list[Column]:
 def range_cuts(df: DataFrame, keys: list[str], rows_per_bucket: int | None = None) -> list[tuple]:
     """Cut points along the sort form of `keys`, at most MAX_BUCKETS - 1."""
     rows = df.count()
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    if rows_per_bucket is None:
-        wanted = max(math.ceil(rows / ROWS_PER_BUCKET), min(parallel, rows // 1000))
-    else:
-        wanted = math.ceil(rows / rows_per_bucket)
-    buckets = min(MAX_BUCKETS, wanted)
+    buckets = min(MAX_BUCKETS, math.ceil(rows / (rows_per_bucket or ROWS_PER_BUCKET)))
     if buckets <= 1:
         return []
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)

@@ -126,7 +126,7 @@ check_query(
          "value < before", threshold=50, base=EVENTS_PREV),
     Case("column_values_to_be_increasing", {"column": "ts", "order_by": "event_id", "partition_by": "user_id", "strictly": True},
          "ts", "ts is null", "ts <= ts_before", base=EVENTS_PREV),
-    Case("column_values_to_be_decreasing", {"column": "value", "order_by": ["event_id"], "partition_by": ["user_id"]}, "value",
+    Case("column_values_to_be_decreasing", {"column": "value", "order_by": ["event_id"], "partition_by": ["user_id"], "rows_per_bucket": 2000}, "value",
          "value is null", "value > user_before", base=EVENTS_PREV),
 )
 CONV = Shape("conversations", "conv_id", "role", "case when conv_id % 7 = 0 and turn = 2 then 0 else turn end as turn", "turn as place")

@@ -121,7 +121,7 @@ def src_rest_wrapped(spark, sf_dir):
 def skip_header_footer(spark, sf_dir):
     """Files with a header, two lines to skip after it and one at the end, each file on its own."""
     path = scratch_dir(spark, "edges")
-    df = table(spark, sf_dir, "customer").repartition(6)
+    df = table(spark, sf_dir, "customer").repartition(spark.sparkContext.defaultParallelism)
     header = ",".join(df.columns)
     lines = df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
 
@@ -141,7 +141,7 @@ def skip_header_footer(spark, sf_dir):
 def skip_header_footer_inferred(spark, sf_dir):
     """The same, with the types found after the edges are gone."""
     path = scratch_dir(spark, "edges")
-    df = table(spark, sf_dir, "customer").repartition(3)
+    df = table(spark, sf_dir, "customer").repartition(spark.sparkContext.defaultParallelism)
     lines = df.select(F.to_csv(F.struct(*df.columns)).alias("value"))
 
     def with_edges(batches):
