@@ -69,6 +69,7 @@ class CheckRun:
     audit_columns: bool = True
     rules: dict[int, object] = field(default_factory=dict)
     _cuts: dict[tuple, list] = field(default_factory=dict)
+    _repeated: dict[tuple, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self):
         seen = [c.seq_no for c in self.checks]
@@ -323,8 +324,11 @@ class CheckRun:
         the rows do not move. Many: hot ones are broadcast and only the others are shuffled.
         """
         names = {c: f"_k{i}" for i, c in enumerate(rule.columns)}
-        repeated = self._counts(rule).where("cnt > 1 and not _skip").select(*[F.col(c).alias(k) for c, k in names.items()], "cnt")
-        repeated = store(repeated, "repeated")
+        at = (tuple(rule.columns), str(rule.skip))
+        if at not in self._repeated:
+            counts = self._counts(rule).where("cnt > 1 and not _skip")
+            self._repeated[at] = store(counts.select(*[F.col(c).alias(k) for c, k in names.items()], "cnt"), "repeated")
+        repeated = self._repeated[at]
         n_keys, n_rows = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("cnt"), F.lit(0))).first()
         small, hot = n_keys <= BROADCAST_KEYS and fits_broadcast(repeated), None  # keys may be long texts
         if not small:

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.mutate import delete_where, update_where
-from millrace.sinks.tables import overwrite_in_place
+from millrace.sinks.tables import rewrite_where
 
 # UPDATE and DELETE go to our operators, everything else to spark.sql as it is.
-OUTSIDE_TEXT = r"(?=(?:[^']*'[^']*')*[^']*$)"  # an even number of quotes follows
+OUTSIDE_TEXT = r"""(?=(?:[^'"]|'[^']*'|"[^"]*")*$)"""  # only whole texts follow
 WHERE = rf"(?:\s+WHERE\s+{OUTSIDE_TEXT}(.*))?$"
 DELETE = re.compile(rf"^\s*DELETE\s+FROM\s+(\S+){WHERE}", re.I | re.S)
 UPDATE = re.compile(rf"^\s*UPDATE\s+(\S+)\s+SET\s+(.*?){WHERE}", re.I | re.S)
@@ -42,12 +42,13 @@ def statements_in_order(sql_list: list[dict]) -> list[tuple[int, str]]:
 def run_statement(spark: SparkSession, text: str) -> DataFrame:
     if m := DELETE.match(text):
         table, where = m.groups()
-        overwrite_in_place(delete_where(spark.table(table), where), table)
+        rewrite_where(spark, table, where, lambda df: delete_where(df, where))
         return spark.table(table).limit(0)
     if m := UPDATE.match(text):
         table, changes, where = m.groups()
         pairs = [c.split("=", 1) for c in NEXT_CHANGE.split(changes)]
-        overwrite_in_place(update_where(spark.table(table), {k.strip(" `\n"): v for k, v in pairs}, where), table)
+        values = {k.strip(" `\n"): v for k, v in pairs}
+        rewrite_where(spark, table, where, lambda df: update_where(df, values, where), list(values))
         return spark.table(table).limit(0)
     return spark.sql(text)
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.sources.jdbc import connection_options, table_name
 
@@ -58,15 +60,53 @@ def write_table(df: DataFrame | None, table: str, operation: str, file_format: s
         df.select(*columns).write.insertInto(table, overwrite=operation == "truncate")
 
 
-def overwrite_in_place(df: DataFrame, table: str) -> None:
+def overwrite_in_place(df: DataFrame, table: str, dynamic: bool = False) -> None:
     """Replace the rows of a table by a frame that reads it: the frame is written out first."""
     spark = df.sparkSession
     stage = f"{table}__{uuid.uuid4().hex[:8]}"
     df.write.format("parquet").saveAsTable(stage)
-    spark.table(stage).write.insertInto(table, overwrite=True)
+    # insertInto takes the mode from the session only.
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic" if dynamic else "static")
+    try:
+        spark.table(stage).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
     spark.sql(f"DROP TABLE {stage}")
 
 
+def rewrite_where(spark: SparkSession, table: str, where: str | None, change, changed: list[str] = ()) -> None:
+    """Copy-on-write of `change(rows)`. In a partitioned table only partitions that hold a matching row are
+    read again and rewritten; one that ends up empty is dropped. `changed` names the columns that change."""
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not parts or where is None or set(parts) & set(changed):
+        overwrite_in_place(change(spark.table(table)), table)
+        return
+    df = spark.table(table)
+    # As many rows as the table has partitions; the join prunes the scan at run time.
+    found = df.where(where).select(*parts).distinct().collect()
+    if not found:
+        return
+    touched = spark.createDataFrame(found, df.select(*parts).schema)
+    same = [df[p].eqNullSafe(touched[p]) for p in parts]
+    after = change(df.join(F.broadcast(touched), reduce(lambda a, b: a & b, same), "left_semi"))
+    emptied = []
+    if not changed:
+        kept = {tuple(r) for r in after.select(*parts).distinct().collect()}
+        emptied = [r for r in found if tuple(r) not in kept]
+    overwrite_in_place(after, table, dynamic=True)
+    for row in emptied:
+        spec = ", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, row))
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 # ---------------------------------------------------------------- databases
 
 

@@ -171,6 +171,33 @@ def test_sql_task(spark):
     assert [r.seq_no for r in again] == [5] and again[0].frame.count() == 1
 
 
+def test_update_and_delete_touch_matching_partitions_only(spark, tmp_path, as_rows):
+    path = tmp_path / "pt"
+    df = spark.range(40).selectExpr("id", "id * 2 as v", "case id % 4 when 0 then 'a' when 1 then \"o'b\" when 2 then 'c' end as p")
+    df.coalesce(1).write.partitionBy("p").option("path", str(path)).saveAsTable("pt")
+
+    def files():
+        return {(f.parent.name, f.name) for f in path.rglob("*.parquet")}
+
+    def run(text):
+        (result,) = run_sql_task(spark, {"sql_list": [{"seq_no": 1, "sql_query": text}]})
+        assert result.error is None, result.error
+
+    before = files()
+    run("DELETE FROM pt WHERE v >= 60 AND p = 'a'")
+    after = files()
+    assert {d for d, _ in before - after} == {"p=a"} and len(after) == 4
+    run("UPDATE pt SET v = -1 WHERE id < 3")
+    run("DELETE FROM pt WHERE id > 1000")
+    assert files() != after
+    run("DELETE FROM pt WHERE p = \"o'b\" AND id >= 0")
+    run("DELETE FROM pt WHERE p IS NULL")
+    run("UPDATE pt SET p = 'z' WHERE id = 2")
+    got = {tuple(r) for r in spark.table("pt").collect()}
+    want = {(i, -1 if i < 3 else i * 2, "z" if i == 2 else "a" if i % 4 == 0 else "c") for i in range(40) if i % 2 == 0 and not (i % 4 == 0 and i >= 30)}
+    assert got == want
+
+
 def test_dependencies(spark, as_rows):
     flat = R.dependencies_of(spark, 1, {"a": 0, "b": 0, "c": ["a", "b"], "d": ["c"], "e": ["b"]})
     assert as_rows(flat)[:2] == [(1, "a", "0"), (1, "b", "0")] and flat.count() == 6
