@@ -61,7 +61,10 @@ def sort_form(df: DataFrame, keys: list[str]) -> list[Column]:
 
 
 def range_cuts(df: DataFrame, keys: list[str], rows_per_bucket: int | None = None) -> list[tuple]:
-    """Cut points along the sort form of `keys`, at most MAX_BUCKETS - 1."""
+    """Cut points along the sort form of `keys`, at most MAX_BUCKETS - 1.
+
+    None for fewer rows than ROWS_PER_BUCKET: one task takes that many.
+    """
     rows = df.count()
     buckets = min(MAX_BUCKETS, math.ceil(rows / (rows_per_bucket or ROWS_PER_BUCKET)))
     if buckets <= 1:
