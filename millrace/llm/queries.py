@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, lines, quality, urls, warc
+from millrace.llm import chat, lines, quality, simhash, urls, warc
 from millrace.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found = lines.remove_spread_lines(docs)
     return found.select("doc.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op10_simhash_near_dedup")
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
