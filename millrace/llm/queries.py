@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, lines, quality, simhash, suffixes, urls, warc
+from millrace.llm import chat, decontaminate, lines, packing, quality, simhash, suffixes, urls, warc
 from millrace.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +166,12 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_decontaminate")
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
