@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, lines, packing, quality, simhash, suffixes, urls, warc
+from millrace.llm import chat, decontaminate, lines, materialise, packing, quality, simhash, suffixes, urls, warc
+from millrace.llm.tokens import token_ids
 from millrace.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +176,12 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op5_training_order")
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards and reads every slot back."""
+    folder = scratch_dir(spark, "training-order")
+    manifest = materialise.materialise(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    read = materialise.read_slots(manifest, folder, token_ids(TOKENIZER).dtype)
+    return read.select("slot", "shard", "sequence", "n_tokens", F.crc32("ids").alias("ids_crc32"))
