@@ -31,10 +31,12 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -208,12 +210,19 @@ def find_leaks(
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
     def pairs(held: Broadcast) -> DataFrame:
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                out = [(i, *x) for i, t in zip(pdf["id"], pdf["text"]) for x in held.value.search(t)]
-                yield pd.DataFrame(out, columns=["id", "item", "similarity", "start", "n_words"]).convert_dtypes()
-
-        return rows.mapInPandas(search, f"id {kind.simpleString()}, item {of.simpleString()}, similarity double, start long, n_words long")
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [(i, held.value.search(t.as_py())) for i, t in enumerate(batch.column("text"))]
+                at = [i for i, some in found for _ in some]
+                columns = list(zip(*(x for _, some in found for x in some))) or [[]] * 4
+                kinds = [from_arrow, pa.float64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                    ["id", "item", "similarity", "start", "n_words"],
+                )
+
+        from_arrow = to_arrow_type(of)
+        return rows.mapInArrow(search, f"id {kind.simpleString()}, item {of.simpleString()}, similarity double, start long, n_words long")
 
     found = reduce(DataFrame.unionByName, map(pairs, _in_blocks(items, item, item_text, threshold, item_bytes)))
     return found.select(F.col("id").alias(key), F.col("item").alias(item), "similarity", "start", "n_words")
