@@ -7,6 +7,9 @@ payload of an unwanted record is neither inflated nor decoded: its length is ski
 size kept in the gzip extra field of our own files, or by Content-Length in plain ones. `decode`
 names the record types whose payload is wanted (default all; empty: none).
 
+Load the archive anew for each set of predicates: Spark 4.1 keeps the reader that was last given some, so
+a second query on the same DataFrame may be answered with the predicates of the first.
+
 Writing. One gzip member per record, files of at most `file_bytes`. Tasks write under names of their
 own in `_temporary`; the commit, which Spark runs once, moves the files of the tasks that won, so a
 lost or repeated task leaves nothing behind in the archive.
