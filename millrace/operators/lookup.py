@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import broadcast_if_small, fits_broadcast, join_unique
+from millrace.operators.skew import fits_broadcast, join_unique
 
 
 def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills: dict[str, str], how: str = "left") -> DataFrame:
     """Nulls of the `fills` columns get the value of the lookup row with the same key.
 
     `keys` and `fills` map source column -> lookup column. "left" keeps each source row once: the
-    lookup is reduced to one row per key (the smallest value of each column). "inner" drops rows
+    lookup is reduced to one whole row per key: of those with the fewest nulls, the smallest. "inner" drops rows
     without a match and repeats rows whose key occurs several times in the lookup.
     With "left" and a lookup too big to broadcast, only rows that have something to fill are joined.
     """
@@ -29,10 +29,14 @@ def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills:
     filled = [
         F.coalesce(F.col(c), F.col(fill_names[c])).alias(c) if c in fills else F.col(c) for c in df.columns
     ]
-    if how == "inner":
-        on = reduce(lambda a, b: a & b, [df[s] == right[k] for s, k in key_names.items()])
-        return df.join(broadcast_if_small(right), on).select(*filled)
-    right = right.groupBy(*key_names.values()).agg(*[F.min(c).alias(c) for c in fill_names.values()])
+    row = F.struct(*fill_names.values())
+    if how == "inner":  # a key of the lookup is one row of the join, however often it occurs
+        right = right.groupBy(*key_names.values()).agg(F.collect_list(row).alias("_rows"))
+        joined = join_unique(df, right, key_names, how="inner")
+        return joined.select(*df.columns, F.inline("_rows")).select(*filled)
+    gaps = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in fill_names.values()])
+    right = right.groupBy(*key_names.values()).agg(F.min(F.struct(gaps.alias("gaps"), row.alias("row"))).alias("_best"))
+    right = right.select(*key_names.values(), "_best.row.*")
     if fits_broadcast(lookup):
         return join_unique(df, right, key_names, small=True).select(*filled)
     gaps = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in fills])

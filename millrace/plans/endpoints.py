@@ -163,13 +163,23 @@ class JdbcTarget:
         write_jdbc(None, self.database, {**self.stage_spec, "operation": "drop"}, self.connection)
 
 
+def _appends(spark, t, path) -> bool:
+    """Whether a file target keeps what is there. Unknown words are refused, not taken for `replace`."""
+    operation = operation_name(t.get("operation") or "replace")
+    if operation == "drop":
+        raise TargetError("a file target cannot be dropped")
+    if operation == "create":
+        require_state(operation, sink.exists(spark, path), path)
+    return operation in {"append", "create_if_not_exists"}
+
+
 def _file_target(file_type):
     def make(spark, t, connection):
         options = {}
         if file_type == "csv":
             options = {k: v for k, v in (("sep", t.get("delimiter")), ("encoding", src.charset(t.get("encoding")))) if v}
         path = fill_date_placeholders(_path(t))
-        return FileTarget(spark, t, file_type, path, t.get("operation") == "append", options)
+        return FileTarget(spark, t, file_type, path, _appends(spark, t, path), options)
 
     return make
 
@@ -179,7 +189,7 @@ def _dated_target(spark, t, connection):
     base = (connection or {}).get("base_url", "")
     day = fill_date_placeholders("%YYYYMMDD%")
     path = f"{base}{t.get('file_path') or ''}{day}/{fill_date_placeholders(t['file_name'])}"
-    return FileTarget(spark, t, t["file_type"], path, t.get("operation") == "append", strings=t["file_type"] == "parquet")
+    return FileTarget(spark, t, t["file_type"], path, _appends(spark, t, path), strings=t["file_type"] == "parquet")
 
 
 def _jdbc_target(database):

@@ -16,7 +16,9 @@ AUDIT_SCHEMA = (
     "pipeline_id long, name string, run_id string, sequence int, iteration int, "
     "audit_type string, audit_value string, process_dttm timestamp_ntz"
 )
-DONE = ("COMPLETED", "SUCCESS")
+DONE = ("COMPLETED", "SUCCESS", "SKIPPED")  # SKIPPED: carried over by a restart, so it had succeeded
+NOT_STARTED = "NOT STARTED"
+PIPELINE_STATUS = "PIPELINE_STATUS"  # the audit type of a pipeline's own status; STATUS is a task's
 TASK = ["pipeline_id", "run_id", "name"]
 
 
@@ -59,23 +61,27 @@ def task_status(events: DataFrame) -> DataFrame:
 
 
 def latest_run(events: DataFrame) -> DataFrame:
-    """Per pipeline: its newest run, that run's iteration and the mode a restart would use."""
+    """Per pipeline: its newest run, that run's iteration and the mode a restart would use.
+
+    The status is the pipeline's own last one; a run that has none (it was broken off, or the log is
+    older) is COMPLETED if all tasks with a status succeeded, else FAILED.
+    """
+    own = F.col("audit_type") == PIPELINE_STATUS
     runs = events.groupBy("pipeline_id", "run_id").agg(
         F.max("process_dttm").alias("last_dttm"),
         F.max("iteration").alias("iteration"),
-        F.max_by(
-            F.when(F.col("audit_type") == "STATUS", F.col("audit_value")),
-            F.when(F.col("audit_type") == "STATUS", F.struct("process_dttm", "audit_value")),
-        ).alias("status"),
+        F.max_by(F.when(own, F.col("audit_value")), F.when(own, F.struct("process_dttm", "audit_value"))).alias("own"),
     )
-    newest = F.max(F.struct("last_dttm", "run_id", "iteration", "status")).alias("r")
-    per = runs.groupBy("pipeline_id").agg(newest)
-    done = F.coalesce(_done(F.col("r.status")), F.lit(False))
+    newest = F.max(F.struct("last_dttm", "run_id", "iteration", "own")).alias("r")
+    per = runs.groupBy("pipeline_id").agg(newest).select("pipeline_id", "r.*")
+    tasks = task_status(events).groupBy("pipeline_id", "run_id").agg(F.every(_done(F.col("status"))).alias("fine"))
+    per = per.join(tasks, ["pipeline_id", "run_id"], "left")
+    status = F.coalesce("own", F.when(F.col("fine"), "COMPLETED").otherwise("FAILED"))
+    done = _done(status)
     return per.select(
-        "pipeline_id", F.col("r.run_id").alias("run_id"), F.col("r.last_dttm").alias("last_dttm"),
-        F.col("r.status").alias("status"),
+        "pipeline_id", "run_id", "last_dttm", status.alias("status"),
         F.when(done, "NORMAL").otherwise("RESTART").alias("next_mode"),
-        F.when(done, F.col("r.iteration")).otherwise(F.col("r.iteration") + 1).alias("next_iteration"),
+        F.when(done, F.col("iteration")).otherwise(F.col("iteration") + 1).alias("next_iteration"),
     )
 
 
@@ -98,21 +104,36 @@ def skipped_events(tasks: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_rollup(events: DataFrame) -> DataFrame:
-    """A run is COMPLETED if every task of it succeeded, else FAILED."""
-    return task_status(events).groupBy("pipeline_id", "run_id").agg(
-        F.count(F.lit(1)).alias("tasks"),
-        F.count_if(~_done(F.col("status"))).alias("not_successful"),
-        F.when(F.every(_done(F.col("status"))), "COMPLETED").otherwise("FAILED").alias("status"),
+def pipeline_rollup(events: DataFrame, tasks: DataFrame) -> DataFrame:
+    """A run is COMPLETED if every task of it succeeded, those that are declared but never started included."""
+    declared = tasks.select("pipeline_id", "name").distinct()
+    seen = task_status(events).join(declared.withColumn("_declared", F.lit(True)), ["pipeline_id", "name"], "left")
+    known, done = F.col("_declared").isNotNull(), _done(F.col("status"))
+    by_run = seen.groupBy("pipeline_id", "run_id").agg(
+        F.count_if(known & done).alias("_done"), F.count_if(~known).alias("_other"), F.count_if(~known & ~done).alias("_other_bad")
+    )
+    runs = events.select("pipeline_id", "run_id").distinct().join(by_run, ["pipeline_id", "run_id"], "left")
+    runs = runs.join(declared.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("_all")), "pipeline_id", "left").na.fill(0)
+    bad = F.col("_all") - F.col("_done") + F.col("_other_bad")
+    return runs.select(
+        "pipeline_id", "run_id", (F.col("_all") + F.col("_other")).alias("tasks"), bad.alias("not_successful"),
+        F.when(bad == 0, "COMPLETED").otherwise("FAILED").alias("status"),
     )
 
 
 def not_started(tasks: DataFrame, events: DataFrame) -> DataFrame:
-    """Tasks without any STATUS event in the newest run of their pipeline."""
-    started = _latest_status(events).select("pipeline_id", "name")
+    """Tasks without a STATUS event in the newest run of their pipeline, or with NOT STARTED as the last one."""
+    started = _latest_status(events).where(F.col("status") != NOT_STARTED).select("pipeline_id", "name")
     return tasks.select("pipeline_id", "name").distinct().join(started, ["pipeline_id", "name"], "left_anti")
 
 
+def not_started_events(tasks: DataFrame, events: DataFrame) -> DataFrame:
+    """What a run that failed logs for the tasks it never reached."""
+    return not_started(tasks, events).select(
+        "pipeline_id", "name", F.lit("STATUS").alias("audit_type"), F.lit(NOT_STARTED).alias("audit_value")
+    )
+
+
 def flatten_dependencies(pipelines: DataFrame) -> DataFrame:
     """(pipeline_id, name, parents array) -> one row per parent; '0' for a task without parents."""
     return pipelines.select(
@@ -148,14 +169,17 @@ def ready_tasks(flat: DataFrame, status: DataFrame) -> DataFrame:
 
     `status` holds (pipeline_id, name, status).
     """
-    own = status.select("pipeline_id", F.col("name").alias("task_name"))
-    parent = status.select("pipeline_id", F.col("name").alias("task_depended_on"), F.col("status").alias("_status"))
+    begun = status.where(F.col("status") != NOT_STARTED)
+    own = begun.select("pipeline_id", F.col("name").alias("task_name"))
+    parent = begun.select("pipeline_id", F.col("name").alias("task_depended_on"), F.col("status").alias("_status"))
     open_tasks = flat.join(own, ["pipeline_id", "task_name"], "left_anti")
-    seen = open_tasks.join(parent, ["pipeline_id", "task_depended_on"], "left")
-    fine = (F.col("task_depended_on") == "0") | F.coalesce(_done(F.col("_status")), F.lit(False))
-    failed = F.coalesce(F.col("_status") == "FAILED", F.lit(False))
-    return seen.groupBy("pipeline_id", "task_name").agg(
-        F.when(F.some(failed), "BLOCKED").when(F.every(fine), "READY").otherwise("WAITING").alias("state")
+    root = F.col("task_depended_on") == "0"  # all roots share this key, and it has no status to look up
+    seen = open_tasks.where(~root).join(parent, ["pipeline_id", "task_depended_on"], "left")
+    seen = seen.select("pipeline_id", "task_name", F.coalesce(_done(F.col("_status")), F.lit(False)).alias("_fine"),
+                       F.coalesce(F.col("_status") == "FAILED", F.lit(False)).alias("_failed"))
+    roots = open_tasks.where(root).select("pipeline_id", "task_name", F.lit(True).alias("_fine"), F.lit(False).alias("_failed"))
+    return seen.unionByName(roots).groupBy("pipeline_id", "task_name").agg(
+        F.when(F.some("_failed"), "BLOCKED").when(F.every("_fine"), "READY").otherwise("WAITING").alias("state")
     )
 
 

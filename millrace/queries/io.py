@@ -449,5 +449,17 @@ def stream_ingest(spark, sf_dir):
         {"seq_no": 2, "check": "column_values_to_not_be_in_set", "parameters": {"column": "event_type", "value_set": ["error"]}},
     ]
     ingest_stream(stream, checks, f"{root}/out", f"{root}/checkpoint", "replace").awaitTermination()
-    back = read_ingested(spark, f"{root}/out", f"{EVENT_SCHEMA}, dq_failed string, batch int, dq_status string")
+    back = read_ingested(spark, f"{root}/out", f"{EVENT_SCHEMA}, dq_failed string, batch string, dq_status string")
     return back.select("event_id", "user_id", "event_type", "value", "dq_status", "dq_failed")
+
+
+@query("stream_append_twice", "SELECT event_id, user_id, event_type, value, ts, case when value < 1 or value > 100 then 'bad' else 'good' end as dq_status FROM (SELECT * FROM events UNION ALL SELECT * FROM events) x")
+def stream_append_twice(spark, sf_dir):
+    """Two streams with checkpoints of their own into one target: the second adds to the first."""
+    root = scratch_dir(spark, "stream")
+    checks = [{"seq_no": 1, "check": "column_values_to_be_between", "parameters": {"column": "value", "min_value": 1, "max_value": 100}}]
+    for name in ("first", "second"):
+        stream = spark.readStream.schema(EVENT_SCHEMA).parquet(f"{sf_dir}/event[s].parquet")
+        ingest_stream(stream, checks, f"{root}/out", f"{root}/{name}", "append").awaitTermination()
+    back = read_ingested(spark, f"{root}/out", f"{EVENT_SCHEMA}, dq_failed string, batch string, dq_status string")
+    return back.select("event_id", "user_id", "event_type", "value", "ts", "dq_status")

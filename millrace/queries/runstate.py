@@ -17,22 +17,26 @@ AUDIT = Shape(
     "'run_' || cast(cast(ts as date) as string) as run_id",
     "cast(event_id % 5 as int) as sequence",
     "cast(1 + event_id % 3 as int) as iteration",
-    """case event_type when 'signup' then 'STATUS' when 'error' then 'STATUS' when 'view' then 'SRC_RECORD_COUNT'
+    """case event_type when 'signup' then 'STATUS' when 'error' then 'STATUS'
+       when 'view' then (case when event_id % 50 = 0 then 'PIPELINE_STATUS' else 'SRC_RECORD_COUNT' end)
        when 'click' then 'TRGT_RECORD_COUNT' else 'RESULT' end as audit_type""",
-    """case event_type when 'signup' then (case when event_id % 11 = 0 then 'SKIPPED' else 'COMPLETED' end)
+    """case event_type when 'signup' then (case when event_id % 11 = 0 then 'SKIPPED' when event_id % 13 = 0 then 'NOT STARTED' else 'COMPLETED' end)
        when 'error' then (case when event_id % 4 = 0 then 'FAILED' else 'COMPLETED' end)
        when 'purchase' then (case when value > 5 then 'PASS' else 'FAIL' end)
+       when 'view' then (case when event_id % 50 <> 0 then cast(cast(floor(value) as bigint) as string) when event_id % 100 = 0 then 'COMPLETED' else 'FAILED' end)
        else cast(cast(floor(value) as bigint) as string) end as audit_value""",
     "ts as process_dttm",
 )
 # Customers stand for the tasks that pipelines declare.
 TASKS = Shape("customer", "c_custkey % 25 as pipeline_id", "'task_' || cast(c_custkey as string) as name")
-DONE = "('COMPLETED','SUCCESS')"
+DONE = "('COMPLETED','SUCCESS','SKIPPED')"  # a task that a restart carries over had succeeded
 
 _STATUS = f"""SELECT pipeline_id, run_id, name, arg_max(audit_value, (process_dttm, sequence, audit_value)) as status,
     max(process_dttm) as status_dttm FROM ({AUDIT.sql}) e WHERE audit_type = 'STATUS' GROUP BY 1, 2, 3"""
 _RUNS = f"""SELECT pipeline_id, run_id, max(process_dttm) as last_dttm, max(iteration) as iteration,
-    arg_max(audit_value, process_dttm) filter (where audit_type = 'STATUS') as status FROM ({AUDIT.sql}) e GROUP BY 1, 2"""
+    arg_max(audit_value, process_dttm) filter (where audit_type = 'PIPELINE_STATUS') as own FROM ({AUDIT.sql}) e GROUP BY 1, 2"""
+_RUNS = f"""SELECT r.pipeline_id, r.run_id, last_dttm, iteration, coalesce(own, case when fine then 'COMPLETED' else 'FAILED' end) as status FROM ({_RUNS}) r
+    LEFT JOIN (SELECT pipeline_id, run_id, bool_and(status in {DONE}) as fine FROM ({_STATUS}) s GROUP BY 1, 2) f USING (pipeline_id, run_id)"""
 _LATEST = f"SELECT * FROM (SELECT *, row_number() over (partition by pipeline_id order by last_dttm desc, run_id desc) as rn FROM ({_RUNS}) r) x WHERE rn = 1"
 _LATEST_STATUS = f"SELECT s.* FROM ({_STATUS}) s JOIN ({_LATEST}) l USING (pipeline_id, run_id)"
 
@@ -73,17 +77,40 @@ def restart_skipped(spark, sf_dir):
     return R.skipped_events(TASKS.frame(spark, sf_dir), _events(spark, sf_dir))
 
 
-@query("pipeline_rollup", f"""SELECT pipeline_id, run_id, count(*) as tasks, count(*) filter (where status not in {DONE}) as not_successful,
-    case when bool_and(status in {DONE}) then 'COMPLETED' else 'FAILED' end as status FROM ({_STATUS}) s GROUP BY 1, 2""")
+_DECLARED = f"SELECT DISTINCT pipeline_id, name FROM ({TASKS.sql}) t"
+_EXPECTED = f"""SELECT pipeline_id, run_id, name FROM (SELECT DISTINCT pipeline_id, run_id FROM ({AUDIT.sql}) e) r JOIN ({_DECLARED}) d USING (pipeline_id)
+    UNION SELECT pipeline_id, run_id, name FROM ({_STATUS}) s"""
+
+
+@query("pipeline_rollup", f"""SELECT pipeline_id, run_id, count(*) as tasks, count(*) filter (where not fine) as not_successful,
+    case when bool_and(fine) then 'COMPLETED' else 'FAILED' end as status FROM
+    (SELECT x.*, coalesce(status in {DONE}, false) as fine FROM ({_EXPECTED}) x LEFT JOIN ({_STATUS}) s USING (pipeline_id, run_id, name)) y GROUP BY 1, 2""")
 def pipeline_rollup(spark, sf_dir):
-    return R.pipeline_rollup(_events(spark, sf_dir))
+    """Declared tasks that a run never reached count."""
+    return R.pipeline_rollup(_events(spark, sf_dir), TASKS.frame(spark, sf_dir))
+
+
+@query("pipeline_rollup_seen", f"""SELECT pipeline_id, run_id, count(name) as tasks, count(*) filter (where name is not null and status not in {DONE}) as not_successful,
+    case when bool_and(coalesce(status in {DONE}, true)) then 'COMPLETED' else 'FAILED' end as status FROM
+    (SELECT DISTINCT pipeline_id, run_id FROM ({AUDIT.sql}) e) r LEFT JOIN ({_STATUS}) s USING (pipeline_id, run_id) GROUP BY 1, 2""")
+def pipeline_rollup_seen(spark, sf_dir):
+    """The same where no task is declared: those with a status decide."""
+    return R.pipeline_rollup(_events(spark, sf_dir), TASKS.frame(spark, sf_dir).where("false"))
 
 
-@query("not_started", f"SELECT DISTINCT pipeline_id, name FROM ({TASKS.sql}) t WHERE (pipeline_id, name) NOT IN (SELECT (pipeline_id, name) FROM ({_LATEST_STATUS}) s)")
+_STARTED = f"SELECT (pipeline_id, name) FROM ({_LATEST_STATUS}) s WHERE status <> 'NOT STARTED'"
+
+
+@query("not_started", f"SELECT * FROM ({_DECLARED}) t WHERE (pipeline_id, name) NOT IN ({_STARTED})")
 def not_started(spark, sf_dir):
     return R.not_started(TASKS.frame(spark, sf_dir), _events(spark, sf_dir))
 
 
+@query("not_started_events", f"SELECT *, 'STATUS' as audit_type, 'NOT STARTED' as audit_value FROM ({_DECLARED}) t WHERE (pipeline_id, name) NOT IN ({_STARTED})")
+def not_started_events(spark, sf_dir):
+    return R.not_started_events(TASKS.frame(spark, sf_dir), _events(spark, sf_dir))
+
+
 _SUMMARY = f"""SELECT pipeline_id, run_id, name,
     cast(sum(try_cast(audit_value as bigint)) filter (where audit_type = 'SRC_RECORD_COUNT') as bigint) as src_count,
     cast(sum(try_cast(audit_value as bigint)) filter (where audit_type = 'TRGT_RECORD_COUNT') as bigint) as trgt_count,
@@ -115,8 +142,10 @@ _GRAPH = """SELECT DISTINCT l_orderkey as pipeline_id, l_linenumber as k FROM li
 _FLAT = f"""SELECT pipeline_id, 'l' || cast(k as string) as task_name, case when k = 1 then '0' else 'l' || cast(k - 1 as string) end as task_depended_on FROM ({_GRAPH}) g
     UNION ALL SELECT pipeline_id, 'l' || cast(k as string), 'l' || cast(k - 2 as string) FROM ({_GRAPH}) g WHERE k > 1 and k % 3 = 0"""
 _ORPHANS = f"SELECT * FROM ({_FLAT}) f WHERE task_depended_on <> '0' and (pipeline_id, task_depended_on) NOT IN (SELECT (pipeline_id, task_name) FROM ({_FLAT}) t)"
-_STATE = """SELECT l_orderkey as pipeline_id, 'l' || cast(l_linenumber as string) as name,
-    case min(l_returnflag) when 'R' then 'COMPLETED' when 'N' then 'FAILED' end as status FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+_CODE = "min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) * 10 + min(l_suppkey) % 3"
+_STATE_OF = "case when c >= 30 then (case c when 30 then 'SKIPPED' else 'COMPLETED' end) when c = 20 then 'NOT STARTED' when c > 20 then 'FAILED' end"
+_STATE = f"""SELECT l_orderkey as pipeline_id, 'l' || cast(l_linenumber as string) as name, {_STATE_OF} as status
+    FROM (SELECT l_orderkey, l_linenumber, {_CODE} as c FROM lineitem GROUP BY 1, 2) x"""
 
 
 def _pipelines(spark, sf_dir):
@@ -130,9 +159,8 @@ def _flat(spark, sf_dir):
 
 
 def _states(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy(
-        F.col("l_orderkey").alias("pipeline_id"), F.expr("'l' || cast(l_linenumber as string)").alias("name")
-    ).agg(F.expr("case min(l_returnflag) when 'R' then 'COMPLETED' when 'N' then 'FAILED' end").alias("status")).where("status is not null")
+    coded = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.expr(_CODE).alias("c"))
+    return coded.selectExpr("l_orderkey as pipeline_id", "'l' || cast(l_linenumber as string) as name", f"{_STATE_OF} as status").where("status is not null")
 
 
 @query("dep_flatten", _FLAT)
@@ -154,9 +182,9 @@ def dep_validate(spark, sf_dir):
 
 
 @query("ready_tasks", f"""SELECT pipeline_id, task_name, case when bool_or(coalesce(p.status = 'FAILED', false)) then 'BLOCKED'
-    when bool_and(task_depended_on = '0' or coalesce(p.status = 'COMPLETED', false)) then 'READY' else 'WAITING' end as state
+    when bool_and(task_depended_on = '0' or coalesce(p.status in ('COMPLETED', 'SKIPPED'), false)) then 'READY' else 'WAITING' end as state
     FROM ({_FLAT}) f LEFT JOIN (SELECT pipeline_id, name as task_depended_on, status FROM ({_STATE}) s) p USING (pipeline_id, task_depended_on)
-    WHERE (pipeline_id, task_name) NOT IN (SELECT (pipeline_id, name) FROM ({_STATE}) s WHERE status is not null) GROUP BY 1, 2""")
+    WHERE (pipeline_id, task_name) NOT IN (SELECT (pipeline_id, name) FROM ({_STATE}) s WHERE status <> 'NOT STARTED') GROUP BY 1, 2""")
 def ready_tasks(spark, sf_dir):
     return R.ready_tasks(_flat(spark, sf_dir), _states(spark, sf_dir))
 

@@ -60,6 +60,20 @@ def auto_correct_two_keys(spark, sf_dir):
     return auto_correct(source, lookup, {"l_partkey": "p", "l_suppkey": "s"}, {"price": "l_extendedprice"})
 
 
+@query("auto_correct_two_fills", """SELECT c_custkey, c_nationkey, coalesce(case when c_custkey % 2 = 0 then null else c_name end, r.f.name) as c_name,
+    coalesce(case when c_custkey % 3 = 0 then null else c_phone_code end, r.f.code) as code
+    FROM (SELECT *, c_custkey % 7 as c_phone_code FROM customer) c
+    LEFT JOIN (SELECT s_nationkey, min({'name': s_name, 'code': 1000 - s_suppkey}) as f FROM supplier GROUP BY 1) r ON c_nationkey = s_nationkey""")
+def auto_correct_two_fills(spark, sf_dir):
+    """Many lookup rows with one key: both columns are filled from the same row."""
+    source = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_nationkey", "case when c_custkey % 2 = 0 then null else c_name end as c_name",
+        "case when c_custkey % 3 = 0 then null else c_custkey % 7 end as code",
+    )
+    lookup = table(spark, sf_dir, "supplier").selectExpr("s_nationkey", "s_name", "1000 - s_suppkey as s_code")
+    return auto_correct(source, lookup, {"c_nationkey": "s_nationkey"}, {"c_name": "s_name", "code": "s_code"})
+
+
 @query("mask_alpha", r"SELECT c_custkey, regexp_replace(c_name, '\w', '*', 'g') as c_name, regexp_replace(c_mktsegment, '\w', '*', 'g') as c_mktsegment FROM customer")
 def q_mask_alpha(spark, sf_dir):
     return mask_alpha(table(spark, sf_dir, "customer"), ["c_name", "c_mktsegment", "c_acctbal"]).select("c_custkey", "c_name", "c_mktsegment")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,33 +51,61 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+class PublishError(Exception):
+    """The target could not be put in place; it is as it was before."""
+
+
 def discard(spark: SparkSession, stage: str) -> None:
     fs, p = file_system(spark, stage)
-    fs.delete(p, True)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise PublishError(f"could not delete {stage}")
+
+
+def _moved(fs, source, target) -> None:
+    """A rename that did what it says: file systems report some failures by False, others by raising."""
+    try:
+        done = fs.rename(source, target)
+    except Py4JJavaError as error:
+        raise PublishError(f"could not rename {source} to {target}: {error.java_exception}") from error
+    if not done:
+        raise PublishError(f"could not rename {source} to {target}")
 
 
 def publish(spark: SparkSession, stage: str, path: str, append: bool = False) -> None:
     """Put a checked stage in place of the target, or add its part files to it.
 
-    The data is not copied on a file system; on an object store a rename copies and is not atomic.
-    The stage must be on the same file system as the target.
+    If a rename fails, what was moved goes back, so the target and the stage are as before, and
+    PublishError is raised. The data is not copied on a file system; on an object store a rename
+    copies and is not atomic. The stage must be on the same file system as the target.
     """
     fs, source = file_system(spark, stage)
     _, target = file_system(spark, path)
     make = spark._jvm.org.apache.hadoop.fs.Path
-    if append and fs.exists(target):
-        for item in fs.listStatus(source):
-            name = item.getPath().getName()
-            if not name.startswith(("_", ".")):
-                fs.rename(item.getPath(), make(target, name))  # part names carry a unique id
-        fs.delete(source, True)
-        return
-    if fs.exists(target):
-        old = make(path.rstrip("/") + "__old")
-        fs.delete(old, True)
-        fs.rename(target, old)
-        fs.rename(source, target)
-        fs.delete(old, True)
-    else:
+    if not fs.exists(source):
+        raise PublishError(f"there is no stage {stage}")
+    if not fs.exists(target):
         fs.mkdirs(target.getParent())
-        fs.rename(source, target)
+        _moved(fs, source, target)
+        return
+    if append:
+        done = []
+        try:
+            for item in fs.listStatus(source):
+                name = item.getPath().getName()
+                if not name.startswith(("_", ".")):
+                    _moved(fs, item.getPath(), make(target, name))  # part names carry a unique id
+                    done.append((item.getPath(), make(target, name)))
+        except PublishError:
+            for was, now in done:
+                _moved(fs, now, was)
+            raise
+        discard(spark, stage)
+        return
+    old = make(f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+    _moved(fs, target, old)
+    try:
+        _moved(fs, source, target)
+    except PublishError:
+        _moved(fs, old, target)
+        raise
+    discard(spark, old.toString())

@@ -7,7 +7,8 @@ import os
 import pytest
 
 from millrace.functions.columns import default_names, project
-from millrace.sinks.files import publish, write_dated, write_files
+from millrace.sinks import files as sink
+from millrace.sinks.files import PublishError, publish, write_dated, write_files
 from millrace.sinks.payload import payload_batches
 from millrace.sources import files as src
 from millrace.sources.manifest import file_manifest, manifest_of_subtask
@@ -160,3 +161,42 @@ def test_manifest(spark, tmp_path, as_rows):
         ("icpnoext", 1, "move", "/out/t_icpnoext_9"), ("sub/icp2.csv", 1, "move", "/out/sub/t_icp2_9.csv"),
     ]
     assert file_manifest(spark, f"{tmp_path}/in", "*.csv").count() == 2
+
+
+@pytest.mark.parametrize("append", [False, True])
+def test_failed_rename_leaves_the_target(spark, tmp_path, monkeypatch, append):
+    target, stage = f"{tmp_path}/t", f"{tmp_path}/s"
+    spark.range(10).coalesce(1).write.parquet(target)
+    spark.range(7).repartition(3).write.parquet(stage)
+    real, calls = sink._moved, []
+
+    def failing(fs, a, b):
+        calls.append((a, b))
+        if len(calls) == 2:
+            raise PublishError("disk is full")
+        real(fs, a, b)
+
+    monkeypatch.setattr(sink, "_moved", failing)
+    with pytest.raises(PublishError):
+        publish(spark, stage, target, append)
+    assert spark.read.parquet(target).count() == 10 and spark.read.parquet(stage).count() == 7
+    assert sorted(os.listdir(tmp_path)) == ["s", "t"]
+    monkeypatch.undo()
+    publish(spark, stage, target, append)
+    assert spark.read.parquet(target).count() == (17 if append else 7) and os.listdir(tmp_path) == ["t"]
+
+
+def test_missing_stage_leaves_the_target(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    with pytest.raises(PublishError):
+        publish(spark, f"{tmp_path}/none", f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 10
+
+
+def test_rename_that_answers_false_is_noticed(spark, tmp_path):
+    class Fs:
+        def rename(self, a, b):
+            return False
+
+    with pytest.raises(PublishError):
+        sink._moved(Fs(), "a", "b")

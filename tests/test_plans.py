@@ -7,8 +7,10 @@ import pytest
 
 from millrace.plans import runstate as R
 from millrace.plans.bulk import run_bulk
+from millrace.plans.endpoints import open_target
 from millrace.plans.sqltask import restart_plan, run_sql_task, statements_in_order
 from millrace.plans.task import run_task
+from millrace.sinks.tables import TargetError
 from millrace.sources.files import SourceNotFound
 from millrace.streaming.ingest import ingest_stream, read_ingested
 
@@ -223,10 +225,77 @@ def test_restart(spark, as_rows):
     assert as_rows(R.restart_set(tasks, events)) == [(1, "b"), (1, "c")]
     assert as_rows(R.not_started(tasks, events)) == [(1, "c")]
     assert as_rows(R.latest_run(events).select("pipeline_id", "run_id", "next_mode", "next_iteration")) == [(1, "r2", "RESTART", 2), (2, "r9", "NORMAL", 4)]
-    assert as_rows(R.pipeline_rollup(events)) == [(1, "r1", 2, 1, "FAILED"), (1, "r2", 2, 1, "FAILED"), (2, "r9", 1, 0, "COMPLETED")]
+    assert as_rows(R.pipeline_rollup(events, tasks)) == [(1, "r1", 3, 2, "FAILED"), (1, "r2", 3, 2, "FAILED"), (2, "r9", 1, 0, "COMPLETED")]
     assert as_rows(R.skipped_events(tasks, events)) == [(1, "a", "STATUS", "SKIPPED"), (2, "z", "STATUS", "SKIPPED")]
 
 
+EVENTS = "pipeline_id long, name string, run_id string, sequence int, iteration int, audit_type string, audit_value string, t int"
+
+
+def _history(spark, rows):
+    events = spark.createDataFrame([(1, n, r, None, i, k, v, t) for t, (n, r, i, k, v) in enumerate(rows)], EVENTS)
+    return events.selectExpr("* except (t)", "cast(timestamp_seconds(t) as timestamp_ntz) as process_dttm")
+
+
+def test_three_runs_with_carried_over_tasks(spark, as_rows):
+    """b fails twice; a is carried over each time and must not run again."""
+    tasks = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c")], "pipeline_id long, name string")
+    first = [("a", "r1", 1, "STATUS", "COMPLETED"), ("b", "r1", 1, "STATUS", "FAILED"), ("c", "r1", 1, "STATUS", "NOT STARTED"),
+             ("p", "r1", 1, R.PIPELINE_STATUS, "FAILED")]
+    second = [("a", "r2", 2, "STATUS", "SKIPPED"), ("b", "r2", 2, "STATUS", "FAILED"), ("c", "r2", 2, "STATUS", "COMPLETED"),
+              ("p", "r2", 2, R.PIPELINE_STATUS, "FAILED")]
+    third = [("a", "r3", 3, "STATUS", "SKIPPED"), ("c", "r3", 3, "STATUS", "SKIPPED"), ("b", "r3", 3, "STATUS", "COMPLETED"),
+             ("p", "r3", 3, R.PIPELINE_STATUS, "COMPLETED")]
+    mode = lambda e: as_rows(R.latest_run(e).select("run_id", "status", "next_mode", "next_iteration"))
+    one, two, three = _history(spark, first), _history(spark, first + second), _history(spark, first + second + third)
+    assert as_rows(R.restart_set(tasks, one)) == [(1, "b"), (1, "c")] and as_rows(R.not_started(tasks, one)) == [(1, "c")]
+    assert as_rows(R.restart_set(tasks, two)) == [(1, "b")] and R.restart_set(tasks, three).isEmpty()
+    assert mode(two) == [("r2", "FAILED", "RESTART", 3)] and mode(three) == [("r3", "COMPLETED", "NORMAL", 3)]
+    assert as_rows(R.pipeline_rollup(three, tasks)) == [(1, "r1", 3, 2, "FAILED"), (1, "r2", 3, 1, "FAILED"), (1, "r3", 3, 0, "COMPLETED")]
+    flat = R.dependencies_of(spark, 1, {"a": 0, "b": ["a"], "c": ["a"]})
+    status = spark.createDataFrame([(1, "a", "SKIPPED"), (1, "b", "NOT STARTED")], "pipeline_id long, name string, status string")
+    assert as_rows(R.ready_tasks(flat, status)) == [(1, "b", "READY"), (1, "c", "READY")]
+
+
+def test_a_late_success_hides_no_failure(spark, as_rows):
+    events = _history(spark, [("a", "r1", 1, "STATUS", "FAILED"), ("b", "r1", 1, "STATUS", "COMPLETED")])
+    assert as_rows(R.latest_run(events).select("status", "next_mode")) == [("FAILED", "RESTART")]
+    tasks = spark.createDataFrame([(1, "b"), (1, "c"), (1, "d")], "pipeline_id long, name string")
+    only = events.where("name = 'b'")
+    assert as_rows(R.pipeline_rollup(only, tasks)) == [(1, "r1", 3, 2, "FAILED")]
+
+
+def test_second_stream_adds_to_the_target(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/in")
+    checks = [{"seq_no": 1, "check": "column_values_to_not_be_null", "parameters": {"column": "id"}}]
+
+    def ingest(name, operation):
+        stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+        ingest_stream(stream, checks, f"{tmp_path}/out", f"{tmp_path}/{name}", operation).awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/out").count()
+
+    assert [ingest("a", "append"), ingest("b", "Append"), ingest("a", "append"), ingest("c", "replace"), ingest("c", "replace")] == [10, 20, 20, 10, 10]
+    with pytest.raises(TargetError):
+        ingest("d", "apend")
+
+
+@pytest.mark.parametrize("word, rows", [("append", 15), ("Append", 15), ("APPEND ", 15), ("replace", 5), ("truncate", 5), (None, 5)])
+def test_file_operations(spark, tmp_path, word, rows):
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    target = open_target(spark, {"target_type": "parquet_write", "file_path": f"{tmp_path}/", "file_name": "t", "operation": word})
+    target.stage(spark.range(5).toDF("id"))
+    target.publish()
+    assert spark.read.parquet(f"{tmp_path}/t").count() == rows
+
+
+def test_unknown_file_operations_are_refused(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/t")
+    for word in ("apend", "overwrite", "drop", "create"):
+        with pytest.raises(TargetError):
+            open_target(spark, {"target_type": "parquet_write", "file_path": f"{tmp_path}/", "file_name": "t", "operation": word})
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 10 and os.listdir(tmp_path) == ["t"]
+
+
 def test_bulk(spark, tmp_path):
     (tmp_path / "a").mkdir()
     for i in range(2):
@@ -247,7 +316,7 @@ def test_stream_is_incremental_and_replays_once(spark, tmp_path):
     def ingest():
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
         ingest_stream(stream, checks, f"{tmp_path}/out", f"{tmp_path}/ck", "replace").awaitTermination()
-        got = read_ingested(spark, f"{tmp_path}/out", f"{schema}, dq_failed string, batch int, dq_status string")
+        got = read_ingested(spark, f"{tmp_path}/out", f"{schema}, dq_failed string, batch string, dq_status string")
         return sorted((r["id"], r["dq_status"]) for r in got.collect())
 
     def want(n):

@@ -249,3 +249,15 @@ def test_config(monkeypatch):
     monkeypatch.delenv("MILLRACE_SECRET_NOPE", raising=False)
     with pytest.raises(KeyError):
         secret("nope")
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_both_fills_come_from_one_lookup_row(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+    df = spark.createDataFrame([(1, None, None), (2, "x", None)], "k int, city string, zip int")
+    lookup = spark.createDataFrame([(1, "Aachen", 99), (1, "Zwolle", 11), (2, "Bonn", 5), (2, None, 1)], "k2 int, c string, z int")
+    got = {tuple(r) for r in auto_correct(df, lookup, {"k": "k2"}, {"city": "c", "zip": "z"}).collect()}
+    assert got == {(1, "Aachen", 99), (2, "x", 5)}
+    every = sorted(tuple(r) for r in auto_correct(df, lookup, {"k": "k2"}, {"city": "c", "zip": "z"}, "inner").collect())
+    assert every == [(1, "Aachen", 99), (1, "Zwolle", 11), (2, "x", 1), (2, "x", 5)]
