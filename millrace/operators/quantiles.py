@@ -8,6 +8,7 @@ Once few values are left they are fetched and the rank is read off.
 from __future__ import annotations
 
 import math
+from decimal import Decimal, localcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,43 @@ FETCH_ROWS = 50_000
 ACCURACY = 10_000
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float], fetch_rows: int = FETCH_ROWS) -> tuple[int, list[float | None]]:
-    """(non-null rows, linearly interpolated quantiles)."""
-    x = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+class _Kind:
+    """Steps between neighbouring values of a type: whole numbers and decimals keep theirs, all else is double."""
+
+    def __init__(self, df: DataFrame, column: str):
+        name = df.schema[column].dataType
+        if name.typeName() in {"byte", "short", "integer", "long"}:
+            self.type, self.unit = "long", 1
+        elif name.typeName().startswith("decimal"):
+            self.type, self.unit = name.simpleString(), Decimal(1).scaleb(-name.scale)
+        else:
+            self.type, self.unit = "double", None
+
+    def before(self, x):
+        return math.nextafter(x, -math.inf) if self.unit is None else x - self.unit
+
+    def after(self, x):
+        return math.nextafter(x, math.inf) if self.unit is None else x + self.unit
+
+    def middle(self, lo, hi):
+        return lo + (hi - lo) / 2 if self.unit is None else lo + (hi - lo) // (2 * self.unit) * self.unit
+
+    def between(self, lo, hi, share: float):
+        if lo == hi:
+            return lo
+        if self.unit is None:
+            return lo + (hi - lo) * share
+        with localcontext() as wide:
+            wide.prec = 60
+            return Decimal(lo) + Decimal(hi - lo) * Decimal(share)
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: list[float], fetch_rows: int = FETCH_ROWS) -> tuple[int, list]:
+    """(non-null rows, linearly interpolated quantiles); those of whole numbers and decimals are exact decimals."""
+    kind = _Kind(df, column)
+    x = df.select(F.col(column).cast(kind.type).alias("v")).where("v is not null")
+    if kind.unit is None:
+        x = x.where(~F.isnan("v"))
     n, low, high = x.agg(F.count("v"), F.min("v"), F.max("v")).first()
     if not n:
         return 0, [None] * len(probs)
@@ -27,16 +62,12 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], fetch_rows:
     # rank -> (lowest value, highest value, rows below the lowest, rows inside)
     state = {r: (low, high, 0, n) for r in ranks}
     while wide := [r for r in ranks if state[r][3] > fetch_rows and state[r][0] < state[r][1]]:
-        state.update(_narrow(x, {r: state[r] for r in wide}))
+        state.update(_narrow(x, {r: state[r] for r in wide}, kind))
     found = _fetch(x, state)
-    out = []
-    for spot in spots:
-        lo, hi = found[math.floor(spot)], found[math.ceil(spot)]
-        out.append(lo + (hi - lo) * (spot - math.floor(spot)))
-    return n, out
+    return n, [kind.between(found[math.floor(s)], found[math.ceil(s)], s - math.floor(s)) for s in spots]
 
 
-def _narrow(x: DataFrame, state: dict) -> dict:
+def _narrow(x: DataFrame, state: dict, kind: _Kind) -> dict:
     v = F.col("v")
     # Ranks in the same bracket share one sketch: all of them, in the first pass.
     brackets: dict[tuple, list] = {}
@@ -60,13 +91,10 @@ def _narrow(x: DataFrame, state: dict) -> dict:
     for r, (lo, hi, below, inside) in state.items():
         new_lo, new_hi = proposed[r]
         b, i = row[f"b{r}"], row[f"i{r}"]
-        if b <= r < b + i:
-            # A bracket that no longer shrinks has its ends as good as equal: halve it by value.
-            out[r] = (new_lo, new_hi, b, i) if i < inside else _halve(x, r, new_lo, new_hi, b, i)
-        elif r < b:
-            out[r] = _count(x, lo, math.nextafter(new_lo, -math.inf))
-        else:
-            out[r] = _count(x, math.nextafter(new_hi, math.inf), hi)
+        if b <= r < b + i and i < inside:
+            out[r] = (new_lo, new_hi, b, i)
+        else:  # the sketch, which counts in doubles, missed the rank or did not narrow: halve by value
+            out[r] = _halve(x, r, lo, hi, kind)
     return out
 
 
@@ -76,10 +104,10 @@ def _count(x, lo, hi):
     return lo, hi, below, inside
 
 
-def _halve(x, r, lo, hi, below, inside):
-    mid = lo + (hi - lo) / 2
+def _halve(x, r, lo, hi, kind):
+    mid = kind.middle(lo, hi)
     left = _count(x, lo, mid)
-    return left if r < left[2] + left[3] else _count(x, math.nextafter(mid, math.inf), hi)
+    return left if r < left[2] + left[3] else _count(x, kind.after(mid), hi)
 
 
 def _fetch(x: DataFrame, state: dict) -> dict:

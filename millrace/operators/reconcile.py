@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.config import AUDIT_COLUMNS
 from millrace.functions.columns import nan_to_null
+from millrace.functions.exact import FINE, mean_text, number_text, same_number, sum_text
 
-DECIMAL = "decimal(28,6)"
 RECON_KINDS = ("sum", "avg", "min", "max", "count")
 
 
@@ -28,25 +28,23 @@ def _is_number(df: DataFrame, column: str) -> bool:
     return name in {"byte", "short", "integer", "long", "float", "double"} or name.startswith("decimal")
 
 
-def _exact(df: DataFrame, column: str) -> Column:
-    """As a decimal: a sum of doubles depends on the partitioning. Text that is no number counts as
-    missing; a number that does not fit raises."""
+def _value(df: DataFrame, column: str) -> Column:
+    """Text that is no number counts as missing in sums and means."""
     text = df.schema[column].dataType.typeName() == "string"
-    return F.col(column).try_cast(DECIMAL) if text else F.col(column).cast(DECIMAL)
+    return F.col(column).try_cast(FINE) if text else F.col(column)
 
 
 def _total(df: DataFrame, kind: str, column: str, number: bool) -> Column:
-    """One side's total as text."""
+    """One side's total as text; smallest and largest values are found in the column's own type."""
     if kind == "count":
         return F.count(F.col(column)).cast("string")
     if kind == "sum":
-        return F.coalesce(F.sum(_exact(df, column)), F.lit(0).cast(DECIMAL)).cast("decimal(38,6)").cast("string")
+        return F.coalesce(sum_text(_value(df, column)), F.lit("0.000000"))
     if kind == "avg":
-        x = _exact(df, column)
-        return F.try_divide(F.sum(x), F.count(x)).cast("decimal(38,6)").cast("string")
+        return mean_text(_value(df, column))
     if kind in {"min", "max"}:
-        value = _exact(df, column) if number else F.col(column)
-        return (F.min if kind == "min" else F.max)(value).cast("string")
+        value = (F.min if kind == "min" else F.max)(_value(df, column) if number else F.col(column))
+        return number_text(value) if number else value.cast("string")
     raise ValueError(f"reconciliation kind must be one of {', '.join(RECON_KINDS)}")
 
 
@@ -73,10 +71,14 @@ def reconcile_totals(source: DataFrame, target: DataFrame, recons: list[Recon])
 
 def _same(r: Recon) -> Column:
     s, t = F.col(f"s{r.seq_no}"), F.col(f"t{r.seq_no}")
-    if r.tolerance is None:
-        return s.eqNullSafe(t)
-    gap = F.abs(s.try_cast("decimal(38,6)") - t.try_cast("decimal(38,6)"))
-    return s.eqNullSafe(t) | F.coalesce(gap <= F.lit(str(r.tolerance)).cast("decimal(38,6)"), F.lit(False))
+    return same_number(s, t, r.tolerance) if r.kind in {"sum", "avg"} or r.tolerance is not None else s.eqNullSafe(t)
+
+
+def _shown(r: Recon, column: str) -> Column:
+    """A mean is compared to twenty digits and shown to six, unless it is very small."""
+    text = F.col(column)
+    six = F.when(F.abs(text.try_cast("double")) >= 0.001, text.try_cast("decimal(38,6)").cast("string"))
+    return F.coalesce(six, text) if r.kind == "avg" else text
 
 
 def reconcile(source: DataFrame, target: DataFrame, recons: list[Recon]) -> DataFrame:
@@ -85,8 +87,8 @@ def reconcile(source: DataFrame, target: DataFrame, recons: list[Recon]) -> Data
         F.struct(
             F.lit(r.seq_no).alias("seq_no"),
             F.lit(r.kind).alias("aggregation"),
-            F.col(f"s{r.seq_no}").alias("source_value"),
-            F.col(f"t{r.seq_no}").alias("target_value"),
+            _shown(r, f"s{r.seq_no}").alias("source_value"),
+            _shown(r, f"t{r.seq_no}").alias("target_value"),
             F.when(F.col(f"ok{r.seq_no}"), "PASS").otherwise("FAIL").alias("result"),
         )
         for r in recons

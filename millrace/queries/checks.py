@@ -225,6 +225,32 @@ check_query(
     "chk_sum", DIRTY_ORDERS,
     Case("column_sum_to_be_between", {"column": "o_totalprice", "min_value": 0}, "o_totalprice", PRICE, ok=f"{DEC_SUM} >= 0", details=dec(DEC_SUM)),
 )
+TINY = Shape(
+    "orders", "o_orderkey", "case when o_orderkey % 3 = 0 then cast(0.0000001 as double) else cast(-0.0000001 as double) end as a",
+    "cast(0.0000001 as double) as b", "case when o_orderkey % 7 = 0 then cast('1.5e23' as double) else cast(0.0000004 as double) end as big",
+)
+SMALL_SUM = "sum(cast(cast(b as varchar) as decimal(38,20)))"
+check_query(
+    "chk_sum_small", TINY,
+    Case("column_sum_to_be_between", {"column": "b", "min_value": 0.0000001}, "b", "b is null", ok=f"{SMALL_SUM} >= 0.0000001", details=dec(SMALL_SUM)),
+    Case("column_sum_to_be_between", {"column": "b", "max_value": 0.00000009}, "b", "b is null", ok="false", details=dec(SMALL_SUM)),
+    Case("column_sum_to_be_between", {"column": "big", "max_value": 1e24}, "big", "big is null", ok="count(*) filter (where big > 1) <= 6",
+         details="cast(sum(cast(big / 1e15 as hugeint)) * cast(1000000000000000 as hugeint) as varchar) || '.0000'"),
+)
+check_query(
+    "chk_multicol_sum_small", TINY,
+    Case("multicolumn_sum_to_equal", {"column_list": ["a", "b"], "sum_total": 0}, "a,b", "a is null and b is null", "o_orderkey % 3 = 0", threshold=50),
+    Case("multicolumn_sum_to_equal", {"column_list": ["big", "b"], "sum_total": 0.0000005}, "big,b", "b is null", "o_orderkey % 7 = 0", threshold=50),
+)
+BIG_KEYS = Shape("orders", "9007199254740993 + 2 * o_orderkey as k", "cast(o_orderkey as decimal(30,10)) / 7 as d")
+_MIDDLE = """(SELECT sum(cast(k as hugeint)) FROM (SELECT k, row_number() over (order by k) as r, count(*) over () as n FROM (SELECT 9007199254740993 + 2 * o_orderkey as k FROM orders) x) y
+    WHERE r in ((n + 1) // 2, n // 2 + 1))"""
+_TWICE = "(SELECT case when count(*) % 2 = 1 then 1 else 2 end FROM orders)"
+check_query(
+    "chk_median_bigint", BIG_KEYS,
+    Case("column_median_to_be_between", {"column": "k", "min_value": 9007199254740994}, "k", "k is null", ok="true",
+         details=f"cast(any_value({_MIDDLE} // {_TWICE}) as varchar) || case when any_value({_MIDDLE} % {_TWICE}) = 1 then '.5000' else '.0000' end"),
+)
 check_query(
     "chk_stdev", DIRTY_ORDERS,
     Case("column_stdev_to_be_between", {"column": "o_totalprice", "min_value": 0, "max_value": 10**9, "strict_min": True}, "o_totalprice",

@@ -56,6 +56,41 @@ for _kind in RECON_KINDS:
     query(f"recon_{_kind}", _recon_sql(_kind))(_recon(_kind))
 
 
+# The target differs by 3e-7 in one row of fifty, where the source has 1e-7; prices are made tiny or huge.
+_TINY = Shape("orders", "o_orderkey", "case when o_orderkey % 50 = 0 then cast(0.0000001 as double) else cast(0.000002 as double) end as v")
+_TINY_OFF = Shape("orders", "o_orderkey", "case when o_orderkey % 50 = 0 then cast(0.0000004 as double) else cast(0.000002 as double) end as v")
+_HUGE = Shape("orders", "o_orderkey", "cast('1.5e23' as double) as v")
+_HUGE_OFF = Shape("orders", "o_orderkey", "case when o_orderkey % 50 = 0 then cast('2.5e23' as double) else cast('1.5e23' as double) end as v")
+_PLAIN = r"regexp_replace({x}, '(\.\d{{6}}\d*?)0+$', '\1')"
+
+
+def _size_sql(source: Shape, target: Shape, totals: dict[str, str], rows: list[tuple[int, str, Shape]]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT cast({i} as integer) as seq_no, '{kind}' as aggregation, s as source_value, t as target_value,
+        case when s = t then 'PASS' else 'FAIL' end as result FROM (SELECT (SELECT {totals[kind]} FROM ({source.sql}) a) as s,
+        (SELECT {totals[kind]} FROM ({other.sql}) b) as t)""" for i, kind, other in rows)
+
+
+_KINDS = ("sum", "min", "max")
+_SMALL = {k: _PLAIN.format(x=f"cast({k}(cast(cast(v as varchar) as decimal(38,20))) as varchar)") for k in _KINDS}
+_LARGE = {k: f"cast({k}(cast(v / 1e15 as hugeint)) * cast(1000000000000000 as hugeint) as varchar) || '.000000'" for k in _KINDS}
+_ROWS = [(i + 3 * j, k, j) for j in (0, 1) for i, k in enumerate(_KINDS, 1)]
+
+
+def _sized(source: Shape, target: Shape):
+    def run(spark, sf_dir):
+        """Against itself, then against the target that differs."""
+        one = source.frame(spark, sf_dir)
+        same = reconcile(one, one, [Recon(i, k, "v", "v") for i, k, j in _ROWS if not j])
+        return same.unionByName(reconcile(one, target.frame(spark, sf_dir), [Recon(i, k, "v", "v") for i, k, j in _ROWS if j]))
+
+    return run
+
+
+query("recon_small_values", _size_sql(_TINY, _TINY_OFF, _SMALL, [(i, k, _TINY_OFF if j else _TINY) for i, k, j in _ROWS]))(_sized(_TINY, _TINY_OFF))
+query("recon_large_values", _size_sql(_HUGE, _HUGE_OFF, _LARGE, [(i, k, _HUGE_OFF if j else _HUGE) for i, k, j in _ROWS]))(_sized(_HUGE, _HUGE_OFF))
+
+
 @query("record_counts_recon", f"""SELECT (SELECT count(*) FROM orders) as source_rows, (SELECT count(*) FROM ({DRIFTED.sql}) d) as target_rows""")
 def record_counts_recon(spark, sf_dir):
     """Rows on both sides."""

@@ -1,6 +1,7 @@
 """Edge cases of checks, the report and the split."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import report as report_module
 from millrace.operators.report import run_checks
@@ -184,3 +185,51 @@ def test_one_scan_for_fused_checks(df):
         control(9, "column_mean_to_be_between", column="x"), control(10, "table_row_count_to_equal", value=5)])
     plan = run.report._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 1
+
+
+@pytest.mark.parametrize("values", [[1e-7, 4e-7], [1e23, -1e23, 0.25], [0.1] * 10, [-1.75, 0.5], [-0.25], [-0.5, -0.5], [], [None], [1e300, 1e300], [5, 7]])
+def test_exact_sums(spark, values):
+    from fractions import Fraction
+
+    from millrace.functions.exact import mean_text, sum_number, sum_text
+
+    kind = "long" if values == [5, 7] else "double"
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(3)
+    text, number, mean = df.agg(sum_text(F.col("v")), sum_number(F.col("v")), mean_text(F.col("v"))).first()
+    known = [v for v in values if v is not None]
+    if not known:
+        assert text is None and number is None and mean is None
+        return
+    exact = sum((Fraction(repr(v)) for v in known), Fraction(0))
+    if abs(exact) < 10**30:
+        assert abs(Fraction(text) - exact) <= Fraction(1, 10**6) * abs(exact) and abs(number - float(exact)) <= 1e-9 * abs(float(exact))
+        if values != [1e23, -1e23, 0.25]:
+            assert Fraction(text) == exact
+    assert abs(Fraction(mean) - exact / len(known)) <= abs(exact) / 10**9
+
+
+def test_large_value_does_not_stop_the_report(spark):
+    df = spark.createDataFrame([(1, 1e23), (2, 1e300)], "id int, v double")
+    got = [r.result for r in run_checks(df, [
+        {"seq_no": 1, "check": "column_sum_to_be_between", "parameters": {"column": "v", "min_value": 0}},
+        {"seq_no": 2, "check": "multicolumn_sum_to_equal", "parameters": {"column_list": ["v", "id"], "sum_total": 0}},
+        {"seq_no": 3, "check": "column_max_to_be_between", "parameters": {"column": "v", "max_value": 1e301}},
+        {"seq_no": 4, "check": "column_values_to_not_be_null", "parameters": {"column": "id"}},
+    ]).report.orderBy("seq_no").collect()]
+    assert got == ["PASS", "FAIL", "PASS", "PASS"]
+
+
+@pytest.mark.parametrize("fetch", [50_000, 3])
+def test_quantiles_keep_their_type(spark, fetch):
+    from decimal import Decimal
+
+    from millrace.operators.quantiles import exact_quantiles
+
+    big = 9007199254740993
+    df = spark.createDataFrame([(big + 2 * (i % 40), Decimal(i) / 1000) for i in range(201)], "k long, d decimal(20,3)").repartition(4)
+    ks, ds = sorted(big + 2 * (i % 40) for i in range(201)), [Decimal(i) / 1000 for i in range(201)]
+    assert exact_quantiles(df, "k", [0.0, 0.5, 1.0], fetch) == (201, [ks[0], ks[100], ks[200]])
+    assert exact_quantiles(df, "d", [0.25, 0.5], fetch) == (201, [ds[50], ds[100]])
+    assert exact_quantiles(df.limit(2).selectExpr("k"), "k", [0.5], fetch)[0] == 2
+    two = spark.createDataFrame([(big,), (big + 1,)], "k long")
+    assert exact_quantiles(two, "k", [0.5])[1] == [Decimal(big) + Decimal("0.5")]
