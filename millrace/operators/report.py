@@ -168,7 +168,11 @@ class CheckRun:
                     totals += [v.alias(f"t{row.seq_no}_{k}") for k, v in rule.summary.items()]
                     got = {k: F.col(f"t{row.seq_no}_{k}") for k in rule.summary}
                     if rule.repeated_is_bad:
-                        facts.append(_fact(row, rule.column, F.col("_n"), F.col("_m"), F.col("_u"), F.col("_u") == 0, None, by_row=True))
+                        fine = F.col("_u") == 0
+                        if rule.mostly is not None:
+                            known = F.nullif(F.col("_n") - F.col("_m"), F.lit(0))
+                            fine = fine | ((known - F.col("_u")) / known >= rule.mostly)
+                        facts.append(_fact(row, rule.column, F.col("_n"), F.col("_m"), F.col("_u"), fine, None, by_row=True))
                     else:
                         ok = F.coalesce(rule.success(got), F.lit(True))
                         facts.append(_fact(row, rule.column, F.col("_n"), F.col("_m"), None, ok, rule.details(got)))

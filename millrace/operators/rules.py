@@ -79,6 +79,7 @@ class KeyRule:
     success: Callable[[dict[str, Column]], Column] | None = None
     details: Callable[[dict[str, Column]], Column] | None = None
     repeated_is_bad: bool = False
+    mostly: float | None = None
     by_count: Column | None = None
 
     @property
@@ -403,17 +404,17 @@ def _multicol_sum(df, column_list, sum_total, ignore_row_if="all_values_are_miss
 
 @check("column_values_to_be_unique")
 def _unique(df, column, mostly=None):
-    return _unique_key(df, [column])
+    return _unique_key(df, [column], mostly=mostly)
 
 
 @check("compound_columns_to_be_unique")
-def _compound_unique(df, column_list, ignore_row_if="all_values_are_missing"):
-    return _unique_key(df, column_list, ignore_row_if)
+def _compound_unique(df, column_list, ignore_row_if="all_values_are_missing", mostly=None):
+    return _unique_key(df, column_list, ignore_row_if, mostly)
 
 
-def _unique_key(df, columns, ignore="all_values_are_missing"):
+def _unique_key(df, columns, ignore="all_values_are_missing", mostly=None):
     _known(df, *columns)
-    return KeyRule(columns, _skip_when(columns, ignore), repeated_is_bad=True)
+    return KeyRule(columns, _skip_when(columns, ignore), repeated_is_bad=True, mostly=mostly)
 
 
 def _count_rule(df, column, totals, low, high, strict_min=False, strict_max=False, details="n"):

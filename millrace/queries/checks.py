@@ -178,6 +178,13 @@ check_query(
          "l_linenumber,l_suppkey,l_partkey", "l_linenumber is null and l_suppkey is null and l_partkey is null",
          "l_linenumber = l_suppkey or l_linenumber = l_partkey or l_suppkey = l_partkey"),
 )
+REPEATED = "o_orderkey % 50 = 0"
+check_query(
+    "chk_unique_mostly", DIRTY_ORDERS,
+    Case("column_values_to_be_unique", {"column": "o_orderkey"}, "o_orderkey", "o_orderkey is null", REPEATED, mostly=0.9),
+    Case("column_values_to_be_unique", {"column": "o_orderkey"}, "o_orderkey", "o_orderkey is null", REPEATED, mostly=0.99),
+    Case("compound_columns_to_be_unique", {"column_list": ["o_orderkey", "o_custkey"]}, "o_orderkey,o_custkey", "false", REPEATED, mostly=0.9),
+)
 check_query(
     "chk_multicol_sum", LINES,
     Case("multicolumn_sum_to_equal", {"column_list": ["l_discount", "l_tax"], "sum_total": 0.1}, "l_discount,l_tax",

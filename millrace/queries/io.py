@@ -45,12 +45,11 @@ def src_csv_compressed(spark, sf_dir):
     return read_csv(spark, path, schema=CUSTOMER_DDL)
 
 
-@query("src_csv_quoted", "SELECT doc_id, text, source FROM documents")
+@query("src_csv_quoted", "SELECT * FROM documents")
 def src_csv_quoted(spark, sf_dir):
     """Whole documents with quotes, commas and line breaks inside the values."""
-    df = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    path = _written(spark, sf_dir, "documents", "csv", {"quoteAll": True}, df)
-    return read_csv(spark, path, schema="doc_id long, text string, source string", multi_line=True)
+    path = _written(spark, sf_dir, "documents", "csv", {"quoteAll": True}, table(spark, sf_dir, "documents"))
+    return read_csv(spark, path, schema="doc_id long, text string, lang string, source string, n_chars long", multi_line=True)
 
 
 @query("proj_default_names", """SELECT c_custkey as column1, c_name as column2, c_nationkey as column3, c_mktsegment as column4 FROM customer""")
@@ -204,21 +203,22 @@ def sink_orc_roundtrip(spark, sf_dir):
     return read_orc(spark, _written(spark, sf_dir, "orders", "orc"))
 
 
-@query("sink_dated_append", """SELECT cast('20240301' as integer) as load_dt, o_orderkey, o_orderstatus FROM orders
-    UNION ALL SELECT 20240302, o_orderkey, o_orderstatus FROM orders UNION ALL SELECT 20240302, o_orderkey, o_orderstatus FROM orders""")
+@query("sink_dated_append", """SELECT cast('20240301' as integer) as load_dt, * FROM orders
+    UNION ALL SELECT 20240302, * FROM orders UNION ALL SELECT 20240302, * FROM orders""")
 def sink_dated_append(spark, sf_dir):
     """Day 1 is written twice with replace, day 2 twice with append."""
     path = scratch_dir(spark, "dated")
-    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    df = table(spark, sf_dir, "orders")
     for day, operation in (("20240301", "replace"), ("20240301", "replace"), ("20240302", "append"), ("20240302", "append")):
         write_dated(df, path, "parquet", operation, day)
     return spark.read.parquet(path)
 
 
-@query("sink_all_string", "SELECT cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, o_orderstatus, o_orderpriority FROM orders")
+@query("sink_all_string", """SELECT cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, o_orderstatus,
+    cast(o_totalprice as varchar) as o_totalprice, cast(o_orderdate as varchar) as o_orderdate, o_orderpriority FROM orders""")
 def sink_all_string(spark, sf_dir):
     path = scratch_dir(spark, "strings")
-    write_dated(table(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate"), path, "parquet", "replace", "20240301", strings=True)
+    write_dated(table(spark, sf_dir, "orders"), path, "parquet", "replace", "20240301", strings=True)
     return spark.read.parquet(path).drop("load_dt")
 
 

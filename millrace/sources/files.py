@@ -16,7 +16,7 @@ CHARSETS = {
     "utf8": "utf-8", "latin-1": "iso-8859-1", "latin1": "iso-8859-1", "latin_1": "iso-8859-1", "iso8859-1": "iso-8859-1",
     "ascii": "us-ascii", "utf_8": "utf-8", "utf16": "utf-16", "utf_16": "utf-16", "utf32": "utf-32",
 }
-DROP_IDS = 200_000
+EDGE_SPLITS = 200_000
 
 
 def charset(encoding: str | None) -> str:
@@ -95,7 +95,8 @@ def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> D
         lines = _load(spark.read.format("text"), path)
     else:
         # The text source knows UTF-8 only; CSV with one column and no quotes yields lines of any encoding.
-        reader = spark.read.format("csv").options(sep="\u0001", quote="", encoding=charset(encoding))
+        # U+FFFF is no character, so no text holds the separator.
+        reader = spark.read.format("csv").options(sep="\uffff", quote="", encoding=charset(encoding))
         lines = _load(reader.schema("value string"), path)
     return (
         lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
@@ -104,8 +105,8 @@ def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> D
     )
 
 
-def edge_line_ids(lines: DataFrame, head: int, foot: int) -> DataFrame:
-    """Ids of the first `head` and last `foot` lines of every file.
+def edge_splits(lines: DataFrame, head: int, foot: int) -> DataFrame:
+    """The splits that hold some of the first `head` or last `foot` lines of a file, with the ids to keep.
 
     Lines are counted per split (map-side); the window runs over one row per split, never over lines.
     """
@@ -118,22 +119,23 @@ def edge_line_ids(lines: DataFrame, head: int, foot: int) -> DataFrame:
     })
     top = F.greatest(F.lit(0), F.least(n, F.lit(head) - F.col("before")))
     tail = F.greatest(F.lit(0), F.least(n, F.lit(foot) - (F.col("total") - F.col("before") - n)))
-    nothing = F.array().cast("array<bigint>")
-    ids = F.array_union(
-        F.when(top > 0, F.sequence(first, first + top - 1)).otherwise(nothing),
-        F.when(tail > 0, F.sequence(first + n - tail, first + n - 1)).otherwise(nothing),
+    return sized.where((top > 0) | (tail > 0)).select(
+        "file", "start", (first + top).alias("keep_from"), (first + n - tail).alias("keep_to")
     )
-    return sized.where((top > 0) | (tail > 0)).select(F.explode(ids).alias("id"))
 
 
 def without_edge_lines(lines: DataFrame, head: int, foot: int) -> DataFrame:
-    """Anti-join on the few ids to drop, broadcast if their number is small. The lines do not move."""
+    """One row per split at the edge of a file says which ids to keep; while these rows are few they are
+    broadcast and the lines do not move, else both sides meet by split."""
     spark = lines.sparkSession
-    ids = edge_line_ids(lines, head, foot)
-    few = ids.limit(DROP_IDS + 1).collect()
-    if len(few) <= DROP_IDS:
-        ids = F.broadcast(spark.createDataFrame([(r["id"],) for r in few], "id long"))
-    return lines.join(ids, "id", "left_anti")
+    edges = edge_splits(lines, head, foot)
+    few = edges.limit(EDGE_SPLITS + 1).collect()
+    if len(few) <= EDGE_SPLITS:
+        edges = F.broadcast(spark.createDataFrame(few, edges.schema))
+    kept = lines.join(edges, ["file", "start"], "left").where(
+        F.col("keep_from").isNull() | ((F.col("id") >= F.col("keep_from")) & (F.col("id") < F.col("keep_to")))
+    )
+    return kept.select(*lines.columns)
 
 
 def _read_skipping(spark, path, options, header, skip_header, skip_footer, schema, infer) -> DataFrame:

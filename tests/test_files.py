@@ -24,7 +24,7 @@ def put(path, text, encoding="utf-8"):
 @pytest.mark.parametrize("broadcast", [0, 10**6])
 def test_skip_header_and_footer_per_file(spark, tmp_path, split_bytes, broadcast, monkeypatch):
     """Files cut into many splits; the edges may span splits; a file shorter than its edges."""
-    monkeypatch.setattr(src, "DROP_IDS", broadcast)
+    monkeypatch.setattr(src, "EDGE_SPLITS", broadcast)
     for f in range(3):
         lines = ["id,name"] + [f"skip{f},{i}" for i in range(4)]
         lines += [f"{f * 1000 + i},name {i}" + ("\n" if i % 7 == 0 else "") for i in range(200)]
@@ -200,3 +200,9 @@ def test_rename_that_answers_false_is_noticed(spark, tmp_path):
 
     with pytest.raises(PublishError):
         sink._moved(Fs(), "a", "b")
+
+
+def test_latin_lines_keep_control_characters(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("head\nx\x01y \xe9\nfoot\n".encode("latin-1"))
+    lines = src.without_edge_lines(src.numbered_lines(spark, str(tmp_path), "iso-8859-1"), 1, 1)
+    assert [r["value"] for r in lines.collect()] == ["x\x01y \xe9"]

@@ -68,3 +68,17 @@ def test_no_single_partition_window(spark, sf):
     run = run_checks(df, [{"seq_no": 1, "check": "column_values_to_be_increasing", "parameters": {"column": "v", "order_by": "event_id", "rows_per_bucket": 100}}])
     windows = [line for line in plan(run.flagged()).splitlines() if "Window [" in line]
     assert windows and all("_bucket" in line for line in windows)
+
+
+def test_compressible_table_is_not_broadcast(spark, tmp_path):
+    """Its file is small, its rows are not."""
+    from pyspark.sql import functions as F
+
+    from millrace.operators.skew import BROADCAST_BYTES, fits_broadcast, join_unique, plan_bytes
+
+    spark.range(90_000).select(F.col("id").alias("k"), F.expr("repeat('x', 1000)").alias("v")).write.parquet(f"{tmp_path}/wide")
+    wide, left = spark.read.parquet(f"{tmp_path}/wide"), spark.range(50).toDF("j")
+    assert plan_bytes(wide) < BROADCAST_BYTES and not fits_broadcast(wide)
+    plan = join_unique(left, wide, {"j": "k"})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert fits_broadcast(wide.select("k"))
