@@ -3,11 +3,10 @@
 Exact, and in four steps, so that suffix arrays are built only where they can find something:
 
 1. Anchors. Of every window of LENGTH - GRAM + 1 byte GRAMs, the one with the smallest hash is
-   an anchor (about one byte in 85). Equal strings of LENGTH bytes hold the same anchor at the same
-   place, so only grams that are anchors twice matter: a count by gram, then a semi-join.
-2. Surroundings. All strings of LENGTH bytes that hold an anchor lie within LENGTH - GRAM bytes before
-   it and LENGTH after its start. Equal surroundings are counted, not kept one by one; a gram whose
-   surroundings are all equal is settled.
+   an anchor (about one byte in 85) and owns the string. Equal strings have the same gram as owner at the
+   same place, so only grams that are anchors twice matter: a count by gram, then a semi-join.
+2. Surroundings. The strings that an anchor owns lie next to each other around it. Equal surroundings
+   are counted, not kept one by one; a gram whose surroundings are all equal is settled.
 3. Shards. The distinct surroundings of the other grams go to shards of about SHARD_BYTES. A shard
    builds its suffix array by Larsson-Sadakane refinement (only groups not yet told apart are sorted
    again, by the rank twice as far on), takes common prefixes by Kasai's algorithm along all
@@ -42,7 +41,7 @@ from millrace.session import store
 
 LENGTH = 200
 GRAM = 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SLICE_BYTES = 1 << 20
 _TOP = np.uint64(2**64 - 1)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -72,8 +71,12 @@ def _sliding(values: np.ndarray, width: int, take: np.ufunc, fill: int) -> np.nd
     return take(back[:n], ahead[width - 1 : n + width - 1])
 
 
-def anchors_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, offset, gram hash) of the anchors of some texts."""
+def anchors_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, offset, gram hash, first, last) of the anchors of some texts.
+
+    An anchor owns the strings of `length` bytes that start from `first` to `last`: those in which it is the
+    smallest gram, the leftmost of equals. Each string of a text has one owner.
+    """
     width = length - GRAM + 1
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     first = np.cumsum(sizes) - sizes
@@ -81,20 +84,38 @@ def anchors_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np
     long = np.flatnonzero(sizes >= length)
     none = np.zeros(0, np.int64)
     if not len(long):
-        return none, none, none.astype(np.uint64)
-    grams = _gram_hashes(whole) | np.uint64(1)
-    usable = np.zeros(len(whole) + 1, np.int8)  # windows that lie within one text
+        return none, none, none.astype(np.uint64), none, none
+    grams = _gram_hashes(whole)
+    usable = np.zeros(len(whole) + 1, np.int8)  # strings that lie within one text
     np.add.at(usable, first[long], 1)
     np.add.at(usable, first[long] + sizes[long] - length + 1, -1)
-    usable = np.cumsum(usable[:-1], dtype=np.int8).astype(bool)
+    usable = np.cumsum(usable[:-1], dtype=np.int8)[: len(grams)].astype(bool)
     least = _sliding(grams, width, np.minimum, int(_TOP))
-    least = np.where(usable[: len(least)], least, np.uint64(0))
-    # A gram is an anchor if it is the smallest of a usable window that starts at most width - 1 before it.
-    shifted = np.concatenate([np.zeros(width - 1, np.uint64), least])
-    at = np.flatnonzero(_sliding(shifted, width, np.maximum, 0)[: len(grams)] == grams)
-    which = np.searchsorted(first, at, "right") - 1
-    # Empty texts share their start with the next one; a start is owned by the last text that begins there.
-    return which, at - first[which], grams[at]
+    # Runs of strings with the same smallest value, within a text; then the leftmost gram that has it.
+    new = np.ones(len(grams), bool)
+    new[1:] = (least[1:] != least[:-1]) | (usable[1:] != usable[:-1])
+    new[first[long]] = True
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(grams)) - 1
+    heads, tails = heads[usable[heads]], tails[usable[heads]]
+    found = []
+    while len(heads):
+        value, at = least[heads], heads.copy()
+        far = np.flatnonzero(grams[at] != value)
+        step = np.zeros(len(at), np.int64)
+        while len(far):
+            step[far] += 1
+            far = far[grams[at[far] + step[far]] != value[far]]
+        at += step
+        last = np.minimum(tails, at)
+        found.append(np.stack([at, heads, last]))
+        more = tails > at  # an equal gram further right owns the rest
+        heads, tails = at[more] + 1, tails[more]
+    at, head, tail = np.concatenate(found, axis=1)
+    by = np.argsort(head)
+    at, head, tail = at[by], head[by], tail[by]
+    which = np.searchsorted(first, head, "right") - 1  # of texts that begin at one place, the last is not empty
+    return which, at - first[which], grams[at], head - first[which], tail - first[which]
 
 
 def _anchor_table(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -111,9 +132,9 @@ def _anchor_table(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
 
 
 def _anchor_batch(batch: pa.RecordBatch, texts: list[bytes], length: int) -> pa.RecordBatch:
-    which, at, grams = anchors_of(texts, length)
+    which, at, grams, start, last = anchors_of(texts, length)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    start, stop = np.maximum(at - (length - GRAM), 0), np.minimum(at + length, sizes[which] if len(at) else at)
+    stop = last + length
     digest = xxhash.xxh3_64_intdigest
     around = np.array(
         [digest(texts[w][a:b], p - a) for w, p, a, b in zip(which.tolist(), at.tolist(), start.tolist(), stop.tolist())], np.uint64
@@ -143,42 +164,55 @@ def _words(rows: np.ndarray) -> np.ndarray:
 def suffix_array(rows: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, words): all positions of the rows, sorted by group of the row and the bytes from there to its end.
 
-    Equal ones stay in the order of their places, as Kasai's algorithm needs it.
+    Equal ones are in the order of their places, as Kasai's algorithm needs it.
     """
     n, width = rows.shape
+    total = n * width
     words = _words(rows)
-    flat, owner, column = words.ravel(), np.repeat(group, width), np.tile(np.arange(width), n)
-    left = np.maximum(np.repeat(sizes, width) - column, 0)
-    short = np.minimum(left, 8)
-    order = np.lexsort((short, flat, owner))
-    new = np.ones(n * width, bool)
-    for kind in (flat, owner, short):
-        new[1:] &= kind[order[1:]] == kind[order[:-1]]
-    new[1:] = ~new[1:]
-    rank = np.empty(n * width, np.int64)
-    head = np.maximum.accumulate(np.where(new, np.arange(n * width), 0))  # a group's rank is its first place
+    flat, column = words.ravel(), np.tile(np.arange(width, dtype=np.int32), n)
+    left = np.maximum(np.repeat(sizes.astype(np.int32), width) - column, 0)
+    order = np.argsort(flat)
+    value = np.empty(total, np.int64)  # number of the word among the words
+    value[order] = np.cumsum(np.append(False, flat[order[1:]] != flat[order[:-1]]))
+    key = (np.repeat(group.astype(np.int64), width) * total + value) * 9 + np.minimum(left, 8)
+    order = np.argsort(key)
+    new = np.append(True, key[order[1:]] != key[order[:-1]])
+    rank = value
+    head = np.maximum.accumulate(np.where(new, np.arange(total), 0))  # a group's rank is its first place
     rank[order] = head
     step = 8
     while step < width:
-        last = np.append(new[1:], True)
-        slots = np.flatnonzero(~(new & last))  # places in groups of two or more
+        slots = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in groups of two or more
         if not len(slots):
             break
         items = order[slots]
-        far = np.where(left[items] > step, rank[np.minimum(items + step, n * width - 1)] + 1, 0)
-        key = rank[items] * (n * width + 1) + far
-        by = np.argsort(key, kind="stable")
+        far = np.where(left[items] > step, rank[np.minimum(items + step, total - 1)] + 1, 0)
+        key = rank[items] * (total + 1) + far
+        by = np.argsort(key)
         items, key = items[by], key[by]
         order[slots] = items
         new[slots] = np.append(True, key[1:] != key[:-1])
-        head = np.maximum.accumulate(np.where(new, np.arange(n * width), 0))
-        rank[items] = head[slots]
+        rank[items] = np.maximum.accumulate(np.where(new[slots], slots, 0))
         step *= 2
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+    order[slots] = order[slots][np.argsort(rank[order[slots]] * total + order[slots])]
     return order, words
 
 
-def common_prefixes(order: np.ndarray, words: np.ndarray, sizes: np.ndarray, group: np.ndarray, limit: int) -> np.ndarray:
-    """Of each position, the bytes it shares with the one before it in the array, up to `limit` (Kasai, all rows at once)."""
+def _equal_bytes(x: np.ndarray) -> np.ndarray:
+    """Leading zero bytes of words (8 of a zero)."""
+    high = x >> np.uint64(32)
+    part = np.where(high > 0, high, x & np.uint64(0xFFFFFFFF))
+    return np.where(high > 0, 0, 4) + (32 - np.frexp(part.astype(np.float64))[1]) // 8
+
+
+def common_prefixes(
+    order: np.ndarray, words: np.ndarray, sizes: np.ndarray, group: np.ndarray, limit: int, starts: np.ndarray
+) -> np.ndarray:
+    """Bytes that a position shares with the one before it in the array, up to `limit`, for the first `starts` of each row.
+
+    Kasai's algorithm, on all rows at once.
+    """
     n, width = words.shape
     before = np.empty(n * width, np.int64)
     before[order[1:]], before[order[0]] = order[:-1], -1
@@ -186,24 +220,21 @@ def common_prefixes(order: np.ndarray, words: np.ndarray, sizes: np.ndarray, gro
     have = np.zeros(n, np.int64)
     flat = words.ravel()
     everyone = np.arange(n)
-    for j in range(width):
-        row = everyone[sizes > j]
+    for j in range(max(0, starts.max())):
+        row = everyone[starts > j]
         here = row * width + j
         other = before[here]
         have = np.maximum(have - 1, 0)
         ok = (other >= 0) & (group[row] == group[np.maximum(other, 0) // width])
         have[row[~ok]] = 0
         row, here, other = row[ok], here[ok], other[ok]
-        room = np.minimum(np.minimum(sizes[row] - j, sizes[other // width] - other % width), limit)
+        room = np.clip(np.minimum(sizes[row] - j, sizes[other // width] - other % width), 0, limit)
         have[row] = np.minimum(have[row], room)
         live = np.arange(len(row))
         while len(live):
             more = have[row[live]]
             live, more = live[more < room[live]], more[more < room[live]]
-            x = flat[here[live] + more] ^ flat[other[live] + more]
-            same = np.full(len(live), 8)
-            for k in range(8, 0, -1):
-                same[(x >> np.uint64(64 - 8 * k)) != 0] = k - 1
+            same = _equal_bytes(flat[here[live] + more] ^ flat[other[live] + more])
             have[row[live]] = np.minimum(more + same, room[live])
             live = live[same == 8]
         shared[row, j] = have[row]
@@ -221,7 +252,7 @@ class Shard:
             rows[i, : len(text)] = np.frombuffer(text, np.uint8)
         group = np.unique(pdf["gram"].to_numpy(), return_inverse=True)[1]
         order, words = suffix_array(rows, sizes, group)
-        shared = common_prefixes(order, words, sizes, group, length)
+        shared = common_prefixes(order, words, sizes, group, length, sizes - length + 1)
         self.width = rows.shape[1]
         full = order[(order % self.width) <= sizes[order // self.width] - length]  # that hold a whole string
         self.row, self.at = full // self.width, full % self.width
@@ -319,15 +350,28 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame, text_keys: DataFrame) -> Dat
     texts = docs.select(*_keys(F.col("text")), "text")
     texts = texts.where(may_be_listed(texts, "key1", table)).join(lists, ["key1", "key2"])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for text, some in zip(pdf["text"], pdf["wanted"]):
-                raw = text.encode()
-                rows = [(w["gram"], w["around"], w["n"], w["variants"], w["row"], w["start"], raw[w["start"] : w["stop"]]) for w in some]
-                yield pd.DataFrame(rows, columns=["gram", "around", "n", "variants", "row", "start", "text"])
-
-    found = texts.select("text", "wanted").mapInPandas(cut, "gram long, around long, n long, variants long, row long, start int, text binary")
-    return found.dropDuplicates(["gram", "around"])  # copies of a text all answer
+    names = ["gram", "around", "n", "variants", "row", "start"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            keys = list(zip(batch.column("key1").to_pylist(), batch.column("key2").to_pylist()))
+            mine = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else before)]  # copies stand together; more would do no harm
+            before = keys[-1] if keys else before
+            batch = batch.take(pa.array(mine, pa.int64()))
+            lists = batch.column("wanted")
+            some = lists.flatten()
+            columns = {n: some.field(n) for n in (*names, "stop")}
+            of = np.repeat(np.arange(len(batch)), np.diff(lists.offsets.to_numpy()))
+            raw = [t.as_py().encode() for t in batch.column("text")]
+            parts = [raw[i][a:z] for i, a, z in zip(of.tolist(), columns["start"].to_pylist(), columns["stop"].to_pylist())]
+            for at in range(0, len(parts), 10_000):
+                cut_ = slice(at, at + 10_000)
+                yield pa.RecordBatch.from_arrays([*(columns[n][cut_] for n in names), pa.array(parts[cut_], pa.binary())], [*names, "text"])
+
+    return texts.select("key1", "key2", "text", "wanted").mapInArrow(
+        cut, "gram long, around long, n long, variants long, row long, start int, text binary"
+    )
 
 
 def _in_shards(windows: DataFrame, length: int, shard_bytes: int) -> DataFrame:

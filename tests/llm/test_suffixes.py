@@ -68,7 +68,7 @@ def test_suffix_array_and_prefixes():
     group = np.arange(12) % 3
     group[4] = group[3]
     order, words = suffixes.suffix_array(rows, sizes, group)
-    shared = suffixes.common_prefixes(order, words, sizes, group, 1000)
+    shared = suffixes.common_prefixes(order, words, sizes, group, 1000, sizes)
     real = [i for i in order if i % 90 < sizes[i // 90]]
     text = lambda i: rows[i // 90, i % 90 : sizes[i // 90]].tobytes()
     assert [(group[i // 90], text(i)) for i in real] == sorted((group[i // 90], text(i)) for i in real)
@@ -82,13 +82,14 @@ def test_suffix_array_and_prefixes():
         assert shared[i] == same
 
 
-def test_anchors_hold_every_long_string(copies):
+def test_each_string_has_one_owner(copies):
     texts = [(t or "").encode() for _, t in copies]
-    which, at, grams = suffixes.anchors_of(texts)
-    by_text = {}
-    for w, p in zip(which.tolist(), at.tolist()):
-        by_text.setdefault(w, []).append(p)
-    for w, text in enumerate(texts):
-        places = np.array(by_text.get(w, []))
-        for k in range(len(text) - 200 + 1):
-            assert ((places >= k) & (places + suffixes.GRAM <= k + 200)).any()
+    owned = [np.zeros(len(t), int) for t in texts]
+    grams = {}
+    for w, p, gram, first, last in zip(*(x.tolist() for x in suffixes.anchors_of(texts))):
+        owned[w][first : last + 1] += 1
+        assert first <= p <= last + 200 - suffixes.GRAM and last <= p
+        for k in range(first, last + 1):
+            assert grams.setdefault(texts[w][k : k + 200], (gram, p - k)) == (gram, p - k)
+    for t, n in zip(texts, owned):
+        assert (n[: max(0, len(t) - 199)] == 1).all() and not n[max(0, len(t) - 199) :].any()
