@@ -24,13 +24,14 @@ TASK = ["pipeline_id", "run_id", "name"]
 
 @dataclass
 class EventLog:
-    """Events of one task run, collected on the driver (a handful) and appended at its end."""
+    """Events of one task run, collected on the driver (a handful) and appended when asked to."""
 
     pipeline_id: int | None
     name: str
     run_id: str
     iteration: int = 1
     rows: list[tuple] = field(default_factory=list)
+    written: int = 0
 
     def add(self, audit_type: str, value, sequence: int | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -40,7 +41,10 @@ class EventLog:
         return spark.createDataFrame(self.rows, AUDIT_SCHEMA)
 
     def append_to(self, spark: SparkSession, path: str) -> None:
-        self.frame(spark).coalesce(1).write.mode("append").parquet(path)
+        """Append the events that are not in the table yet."""
+        new = spark.createDataFrame(self.rows[self.written:], AUDIT_SCHEMA)
+        new.coalesce(1).write.mode("append").parquet(path)
+        self.written = len(self.rows)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

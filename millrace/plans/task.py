@@ -14,7 +14,7 @@ from millrace.operators.report import CheckRun, run_checks
 from millrace.plans.endpoints import open_target, read_source
 from millrace.plans.features import apply_features
 from millrace.plans.runstate import EventLog
-from millrace.session import store
+from millrace.session import store, stored_until_end
 
 
 @dataclass
@@ -74,15 +74,21 @@ def run_task(
     """Run a task dictionary.
 
     A columnar source is scanned for the check metrics and once more for the write; key, order and
-    quantile checks add scans of their columns. A row source is read once and landed.
+    quantile checks add scans of their columns. With checks, a row source and a frame with features are
+    computed once and stored, so that both checks see the rows that are written; what was stored is
+    deleted at the end, so the frames of `pre` and `post` can no longer be read, their results can.
+    STARTED is in the audit table before the work begins.
     """
     task = load_task(raw)
     body = task["task"]
     events = EventLog(task.get("pipeline_id"), task.get("task_name") or "task", run_id or uuid.uuid4().hex, iteration)
     result = TaskResult("FAILED", events)
     events.add("STATUS", "STARTED")
+    if audit_path:
+        events.append_to(spark, audit_path)
     try:
-        _run(spark, body, connections or {}, events, result, lookup, key, user)
+        with stored_until_end(spark):
+            _run(spark, body, connections or {}, events, result, lookup, key, user)
         result.status = "COMPLETED"
     except Exception as err:  # a failed task is a result, with its cause
         result.error = err
@@ -106,15 +112,20 @@ def _run(spark, body, connections, events, result, lookup, key, user) -> None:
         sink.drop()
         return
     read = read_source(spark, source, _connection(connections, source))
+    df = apply_features(read, body.get("data_quality_features"), lookup, key)
     checked = is_yes(how.get("pre_check_enable")) or is_yes(how.get("post_check_enable"))
-    if checked and source["source_type"] in ROW_SOURCES:
-        read = store(read, "landed")
-    _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user)
+    if checked and (df is not read or _by_row(source)):
+        df = store(df, "task-rows")
+    _check_and_load(spark, body, how, checks, sink, df, events, result, user)
 
 
-def _check_and_load(spark, body, how, checks, sink, read, events, result, lookup, key, user) -> None:
+def _by_row(source: dict) -> bool:
+    text = source["source_type"] == "aws_s3_read" and source.get("file_type") in {"csv", "json", "xml"}
+    return text or source["source_type"] in ROW_SOURCES
+
+
+def _check_and_load(spark, body, how, checks, sink, df, events, result, user) -> None:
     target = body["target"]
-    df = apply_features(read, body.get("data_quality_features"), lookup, key)
 
     if is_yes(how.get("pre_check_enable")):
         result.pre = run_checks(df, checks, source=df, type="pre_check")

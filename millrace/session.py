@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,12 +55,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+_scopes = threading.local()  # a stream's batches run in a thread of their own
+
+
+@contextmanager
+def stored_until_end(spark: SparkSession) -> Iterator[None]:
+    """Deletes what `store` writes inside when the block ends, also by an error."""
+    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scopes.paths = _scopes.paths, outer
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once into the shared folder and go on from there.
 
     Cuts lineage, so that lost executors cost nothing downstream and every later pass sees the same
-    rows; as Parquet, so that it reads only the columns it needs.
+    rows; as Parquet, so that it reads only the columns it needs. The files stay until the block of
+    `stored_until_end` ends that the call is in, if any.
     """
     path = scratch_dir(df.sparkSession, label)
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

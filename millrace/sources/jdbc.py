@@ -43,10 +43,10 @@ def table_name(spec: dict) -> str:
     return ".".join(p for p in parts if p)
 
 
-def hash_slices(column: str, slices: int) -> list[str]:
+def hash_slices(column: str, slices: int, database: str = "") -> list[str]:
     """Disjoint predicates that cover all rows, nulls too. Even where a value range would be skewed."""
-    first = f"MOD(ABS({column}), {slices}) = 0 OR {column} IS NULL"
-    return [first, *[f"MOD(ABS({column}), {slices}) = {i}" for i in range(1, slices)]]
+    rest = f"ABS({column}) % {slices}" if database == "mssql" else f"MOD(ABS({column}), {slices})"  # SQL Server has no MOD
+    return [f"{rest} = 0 OR {column} IS NULL", *[f"{rest} = {i}" for i in range(1, slices)]]
 
 
 def read_jdbc(spark: SparkSession, database: str, source: dict, connection: dict) -> DataFrame:
@@ -65,7 +65,7 @@ def read_jdbc(spark: SparkSession, database: str, source: dict, connection: dict
     slices = int(source.get("partitions") or DEFAULT_PARTITIONS)
     if column and source.get("partition_by_hash"):
         url = options.pop("url")
-        df = spark.read.jdbc(url, table, predicates=hash_slices(column, slices), properties=options)
+        df = spark.read.jdbc(url, table, predicates=hash_slices(column, slices, database), properties=options)
     else:
         if column:
             low, high = (

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.report import run_checks
 from millrace.operators.rules import RowRule
+from millrace.session import stored_until_end
 from millrace.sinks.files import discard, exists
 from millrace.sinks.tables import TargetError, operation_name
 
@@ -33,6 +34,10 @@ def ingest_stream(stream: DataFrame, checks: list, target: str, checkpoint: str,
         raise ValueError(f"not a row check: {', '.join(other)}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with stored_until_end(spark):
+            write_batch(batch, batch_id)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         stream_id = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         folder = f"{target}/batch={stream_id}-{batch_id}"
         if batch_id == 0 and operation == "replace" and exists(spark, target) and not exists(spark, folder):

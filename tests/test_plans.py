@@ -306,6 +306,47 @@ def test_bulk(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/b").count() == 12
 
 
+def test_bulk_picks_files_and_keeps_the_target(spark, tmp_path):
+    for folder, name, n in (("a", "x_1.json", 1), ("a", "y_1.json", 2), ("a/sub", "x_2.json", 4)):
+        (tmp_path / folder).mkdir(exist_ok=True, parents=True)
+        (tmp_path / folder / name).write_text("\n".join(json.dumps({"v": j}) for j in range(n)))
+
+    def load(operation="replace", **source):
+        entry = {"subtask": "1", "source": {"file_path": f"{tmp_path}/a/", "file_type": "json", "schema_ddl": "v int", **source},
+                 "target": {"file_path": f"{tmp_path}/b", "file_type": "parquet", "operation": operation}}
+        return run_bulk(spark, [entry])[0][1]
+
+    assert load(files_filter_name="x*", subfolder_included="N") == 1
+    assert load(object_prefix_name="y", object_sufix_name="json") == 2
+    assert load(subfolder_included="Y", object_prefix_name="x") == 5
+    with pytest.raises(TargetError):
+        load("apend")
+    assert spark.read.parquet(f"{tmp_path}/b").count() == 5 and sorted(os.listdir(tmp_path)) == ["a", "b"]
+
+
+def test_task_leaves_nothing_and_logs_its_start(spark, tmp_path, monkeypatch):
+    """What the task stored is gone, and STARTED was there before the work."""
+    from millrace.plans import task as T
+
+    root = os.path.join(spark.conf.get("spark.checkpoint.dir"), "millrace")
+    (tmp_path / "in.csv").write_text("k,v\n1,a\n2,\n")
+    raw = {"task_name": "t", "pipeline_id": 1, "task": {
+        "source": {"source_type": "csv_read", "file_path": f"{tmp_path}/", "file_name": "in.csv"},
+        "target": {"target_type": "parquet_write", "file_path": f"{tmp_path}/", "file_name": "out", "operation": "replace"},
+        "data_quality_execution": {"pre_check_enable": "Y", "post_check_enable": "N"},
+        "data_quality": [{"seq_no": "1", "check": "column_values_to_be_unique", "parameters": {"column": "k"}, "active": "Y",
+                          "ignore_bad_records": "Y", "threshold_bad_records": 0, "type": "pre_check"}],
+    }}
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    seen, real = [], T._run
+    monkeypatch.setattr(T, "_run", lambda *a: (seen.extend(r["audit_value"] for r in R.read_events(spark, f"{tmp_path}/audit").collect()), real(*a)))
+    result = run_task(spark, raw, audit_path=f"{tmp_path}/audit")
+    assert result.error is None and seen == ["STARTED"]
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
+    events = R.read_events(spark, f"{tmp_path}/audit")
+    assert events.where("audit_type = 'STATUS'").count() == 2 and events.count() == len(result.events.rows)
+
+
 def test_stream_is_incremental_and_replays_once(spark, tmp_path):
     schema = "id long, v string"
     checks = [{"seq_no": 1, "check": "column_values_to_not_be_null", "parameters": {"column": "v"}}]
