@@ -64,7 +64,7 @@ def remove_spread_lines(
     both = lambda t: [F.xxhash64(t).alias("key1"), F.xxhash64(t, F.lit(1)).alias("key2")]
     lines = docs.select(*both(F.col(text)), F.posexplode(line_hashes(F.col(text), min_words)).alias("at", "hash"))
     hits = lines.where("hash is not null").join(spread, F.col("hash") == spread.line, "left_semi")
-    hits = hits.groupBy("key1", "key2").agg(F.collect_set("at").alias("at"))
+    hits = store(hits.groupBy("key1", "key2").agg(F.collect_set("at").alias("at")), "boilerplate-hits")  # so AQE can split copies
     rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("_text")).select("*", *both(F.col("_text")))
     rows = rows.join(hits, ["key1", "key2"], "left").withColumn("lines", F.split("_text", "\n"))
     left = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains("at", i)), "\n")
