@@ -13,10 +13,9 @@ from millrace.sinks.tables import rewrite_where
 
 # UPDATE and DELETE go to our operators, everything else to spark.sql as it is.
 OUTSIDE_TEXT = r"""(?=(?:[^'"]|'[^']*'|"[^"]*")*$)"""  # only whole texts follow
-WHERE = rf"(?:\s+WHERE\s+{OUTSIDE_TEXT}(.*))?$"
-DELETE = re.compile(rf"^\s*DELETE\s+FROM\s+(\S+){WHERE}", re.I | re.S)
-UPDATE = re.compile(rf"^\s*UPDATE\s+(\S+)\s+SET\s+(.*?){WHERE}", re.I | re.S)
-NEXT_CHANGE = re.compile(rf",\s*(?=`?\w+`?\s*=){OUTSIDE_TEXT}")
+DELETE = re.compile(r"\s*DELETE\s+FROM\s+(\S+)(.*)$", re.I | re.S)
+UPDATE = re.compile(r"\s*UPDATE\s+(\S+)\s+SET\s(.*)$", re.I | re.S)
+WHERE = re.compile(r"\bWHERE\b", re.I)
 NEXT_STATEMENT = re.compile(rf";\s*(?:\n|$){OUTSIDE_TEXT}")
 MODES = ("begin", "normal", "skip")
 
@@ -39,15 +38,50 @@ def statements_in_order(sql_list: list[dict]) -> list[tuple[int, str]]:
     return out
 
 
+def _top_level(text: str) -> str:
+    """The text with all that stands in quotes or brackets blanked out, of the same length."""
+    out, depth, quote, escaped = [], 0, "", False
+    for ch in text:
+        inside = bool(quote) or depth > 0 or ch in "([{'\"`"
+        if quote:
+            if escaped or ch == "\\":
+                escaped = not escaped and ch == "\\"
+            elif ch == quote:
+                quote = ""
+        elif ch in "'\"`":
+            quote = ch
+        elif ch in "([{":
+            depth += 1
+        elif ch in ")]}":
+            depth = max(0, depth - 1)
+        out.append("\0" if inside else ch)
+    return "".join(out)
+
+
+def _and_where(text: str) -> tuple[str, str | None]:
+    """What stands before the statement's own WHERE, and its condition."""
+    found = WHERE.search(_top_level(text))
+    return (text, None) if found is None else (text[: found.start()], text[found.end() :].strip())
+
+
+def _changes(text: str) -> dict[str, str]:
+    """`a = x, b = y` at the top level: column -> expression."""
+    plain, values, start = _top_level(text), {}, 0
+    for end in [m.start() for m in re.finditer(",", plain)] + [len(text)]:
+        equal = plain.index("=", start, end)
+        values[text[start:equal].strip(" `\t\r\n")] = text[equal + 1 : end].strip()
+        start = end + 1
+    return values
+
+
 def run_statement(spark: SparkSession, text: str) -> DataFrame:
     if m := DELETE.match(text):
-        table, where = m.groups()
+        table, (_, where) = m[1], _and_where(m[2])
         rewrite_where(spark, table, where, lambda df: delete_where(df, where))
         return spark.table(table).limit(0)
     if m := UPDATE.match(text):
-        table, changes, where = m.groups()
-        pairs = [c.split("=", 1) for c in NEXT_CHANGE.split(changes)]
-        values = {k.strip(" `\n"): v for k, v in pairs}
+        table, (changes, where) = m[1], _and_where(m[2])
+        values = _changes(changes)
         rewrite_where(spark, table, where, lambda df: update_where(df, values, where), list(values))
         return spark.table(table).limit(0)
     return spark.sql(text)

@@ -200,6 +200,29 @@ def test_update_and_delete_touch_matching_partitions_only(spark, tmp_path, as_ro
     assert got == want
 
 
+def test_update_reads_brackets_and_quotes():
+    from millrace.plans.sqltask import _and_where, _changes
+
+    cases = {
+        "a = if(b > 2, b = 4, false), `c d` = 'x, y = 1 where z'": {"a": "if(b > 2, b = 4, false)", "c d": "'x, y = 1 where z'"},
+        "a = (SELECT max(x), 1 FROM t WHERE x = 2),b=b>=1": {"a": "(SELECT max(x), 1 FROM t WHERE x = 2)", "b": "b>=1"},
+        "a = 'it\\'s, b = 1', b = \"q'\"": {"a": "'it\\'s, b = 1'", "b": "\"q'\""},
+    }
+    for text, want in cases.items():
+        before, where = _and_where(text + " WHERE k IN (SELECT k FROM t WHERE 1 = 1) AND v = ' where '")
+        assert _changes(before) == want and where == "k IN (SELECT k FROM t WHERE 1 = 1) AND v = ' where '"
+    assert _and_where(" a = 1") == (" a = 1", None)
+
+
+def test_update_with_functions_and_subqueries(spark):
+    spark.sql("DROP TABLE IF EXISTS upd")
+    spark.range(6).selectExpr("id", "id as b", "id > 9 as a").write.saveAsTable("upd")
+    from millrace.plans.sqltask import run_statement
+
+    run_statement(spark, "UPDATE upd SET a = if(b > 2, b = 4, false), b = (SELECT max(id) FROM range(8)) WHERE id >= 3")
+    assert sorted(tuple(r) for r in spark.table("upd").collect()) == [(0, 0, False), (1, 1, False), (2, 2, False), (3, 7, False), (4, 7, True), (5, 7, False)]
+
+
 def test_dependencies(spark, as_rows):
     flat = R.dependencies_of(spark, 1, {"a": 0, "b": 0, "c": ["a", "b"], "d": ["c"], "e": ["b"]})
     assert as_rows(flat)[:2] == [(1, "a", "0"), (1, "b", "0")] and flat.count() == 6
