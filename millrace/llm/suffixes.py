@@ -332,6 +332,7 @@ def _keys(text: Column) -> list[Column]:
 def _settled_and_open(anchors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(anchors of repeated grams, settled surroundings, surroundings that need a shard)."""
     counts = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("again"))
+    counts = store(counts, "repeated-grams")  # so AQE can split the anchors of a frequent gram
     repeated = store(anchors.join(counts, F.col("gram") == F.col("again"), "left_semi"), "repeated-anchors")
     variants = repeated.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "start", "stop")).alias("one"))
     variants = store(variants, "surroundings")
