@@ -6,7 +6,7 @@ line whose estimate is clearly above or below the limit is settled; those near i
 distinct count. Lines are then taken out by a join on the line hash and one on the text.
 
 Lines are what `\\n` separates, compared without spaces, tabs and carriage returns at their ends.
-Only lines of at least `min_words` words are looked at: shorter ones recur by chance.
+Every line with a word is looked at, and its sites alone decide; `min_words` may leave shorter lines out.
 
 Defined results: a null text stays null and an empty one empty; a null site counts as no site; a line
 repeated within a text counts once per site and is removed wherever it stands; a text of which no
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from millrace.session import store
 
 MIN_SITES = 10
-MIN_WORDS = 4
+MIN_WORDS = 4  # of op9_line_dedup and its SQL check
 LG_K = 12
 NEAR = 0.25  # relative distance from the limit within which estimates are not trusted
 
@@ -57,7 +57,7 @@ def spread_lines(docs: DataFrame, text: str, site: str, min_sites: int, min_word
 
 
 def remove_spread_lines(
-    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
+    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = 1
 ) -> DataFrame:
     """`doc` (the row as it was), `text` (without boilerplate lines), `n_lines`, `n_removed`."""
     spread = spread_lines(docs, text, site, min_sites, min_words)

@@ -150,7 +150,7 @@ FROM documents JOIN g USING (doc_id)"""
 @query("op9_line_dedup", LINES_SQL)
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = lines.remove_spread_lines(docs)
+    found = lines.remove_spread_lines(docs, min_words=lines.MIN_WORDS)
     return found.select("doc.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 

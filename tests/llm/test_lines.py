@@ -43,3 +43,13 @@ def test_odd_documents(odd_docs, no_docs):
     assert got.select("doc.*").columns == odd_docs.columns
     assert sorted(map(str, (r.doc.text for r in got.collect()))) == sorted(map(str, (r.text for r in got.collect())))
     assert lines.remove_spread_lines(no_docs).count() == 0
+
+
+def test_short_lines_count_too(spark):
+    rows = [(i, f"text number {i}\nAll rights reserved.\n版权所有\n{'nine' if i < 9 else 'else ' + str(i)}", f"s{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    of = {r.doc.doc_id: r for r in lines.remove_spread_lines(docs).collect()}
+    assert of[0].text == "text number 0\nnine" and of[11].text == "text number 11\nelse 11"
+    assert {r.n_removed for r in of.values()} == {2}
+    kept = lines.remove_spread_lines(docs, min_words=4).collect()
+    assert {r.n_removed for r in kept} == {0}
