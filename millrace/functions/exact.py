@@ -1,62 +1,134 @@
 """Sums and number texts that do not depend on how rows fall into partitions, at any magnitude.
 
-A number is taken apart into its whole part, decimal(38,0), and the rest, decimal(38,20); each is summed
-exactly. A double counts as its shortest decimal text. Numbers that fit neither (from 1E38 on) are
-summed as doubles, and such totals are compared with a relative tolerance of 1E-9.
+A number is taken apart into its whole part and the first 18 and next 20 digits after the point, all whole
+numbers in decimal(38,0); each is summed exactly. A decimal is cut in its own type, a double counts as its
+shortest decimal text. Numbers that do not fit (from 1E38 on, or with digits beyond the 38th after the point)
+are summed as doubles, and such totals are compared with a relative tolerance of 1E-9.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 FINE = "decimal(38,20)"
 WHOLE = "decimal(38,0)"
+REST = "decimal(38,38)"
+HEAD, TAIL = 18, 20  # digits after the point
 TOLERANCE = 1e-9
 
+Parts = tuple[Column, Column, Column]
+
+
+def _let(value: Column, function: Callable[[Column], Column]) -> Column:
+    """The function of a value that is written into the expression once."""
+    return F.transform(F.array(value), function)[0]
+
+
+def _whole(number: int) -> Column:
+    return F.lit(str(number)).cast(WHOLE)
+
+
+def _parts(value: Column) -> Parts:
+    """(whole part, first digits, next digits), each with the number's sign; no whole part if the number does not fit."""
+    kind, one = F.typeof(value), F.lit(1).cast("decimal(1,0)")
+    is_decimal = kind.startswith("decimal")
+    small, fine = value.try_cast(REST), value.try_cast(FINE)  # below 1, below 1E18
+    big = F.when((kind != "string") | ~value.cast("string").contains("."), value.try_cast(WHOLE))
+    whole = F.coalesce(F.when(small.isNotNull(), _whole(0)), (fine - fine % one).cast(WHOLE), big)
+    whole = F.when(small.isNull() | (small.cast("double") == value.try_cast("double")), whole)
+    whole = F.when(is_decimal, (value - value % one).try_cast(WHOLE)).otherwise(whole)
+    rest = F.when(is_decimal, (value % one).try_cast(REST)).otherwise(F.coalesce(small, (fine % one).cast(REST)))
+    text = F.abs(rest).cast("string")
+
+    def digits(start: int, n: int) -> Column:
+        found = F.substring(text, start, n)
+        number = F.when(found != "0" * n, found.cast(WHOLE))
+        return F.coalesce(F.when(rest < 0, -number).otherwise(number), _whole(0))
+
+    return whole, digits(3, HEAD), digits(3 + HEAD, TAIL)
+
+
+def _carried(whole: Column, head: Column, tail: Column) -> Parts:
+    """The same number with the digits not below 0 and within their places."""
+
+    def carry(number: Column, places: int) -> tuple[Column, Column]:
+        base = F.lit(str(10**places)).cast(f"decimal({places + 1},0)")
+        left = F.pmod(number, base).cast(WHOLE)
+        return ((number - left) / base).cast(WHOLE), left
+
+    over, tail = carry(tail, TAIL)
+    over, head = carry(head + over, HEAD)
+    return F.try_add(whole, over), head, tail
+
+
+def _text(whole: Column, head: Column, tail: Column) -> Column:
+    """Plain decimal text with six to 38 digits after the point."""
+
+    def shown(parts: Column) -> Column:
+        w, h, t = (parts[k] for k in "wht")
+        text = F.concat(w.cast("string"), F.lit("."), F.lpad(h.cast("string"), HEAD, "0"), F.lpad(t.cast("string"), TAIL, "0"))
+        return F.regexp_replace(text, r"(\.\d{6}\d*?)0+$", "$1")
+
+    def named(*parts: Column) -> Column:
+        return F.struct(*[p.alias(k) for p, k in zip(parts, "wht")])
+
+    def signed(parts: Column) -> Column:
+        w, h, t = (parts[k] for k in "wht")
+        plus, minus = named(*_carried(w, h, t)), named(*_carried(-w, -h, -t))
+        return F.when(plus["w"] < 0, F.concat(F.lit("-"), shown(minus))).otherwise(shown(plus))
+
+    return _let(named(whole, head, tail), signed)
+
 
 def number_text(value: Column) -> Column:
-    """Plain decimal text with six to twenty digits after the point; numbers beyond that as Spark prints them."""
-    fine, whole = value.try_cast(FINE).cast("string"), value.try_cast(WHOLE).cast("string")
-    short = F.regexp_replace(fine, r"(\.\d{6}\d*?)0+$", "$1")
-    return F.coalesce(short, F.concat(whole, F.lit(".000000")), value.cast("string"))
+    """Plain decimal text with six to 38 digits after the point; numbers that do not fit as Spark prints them."""
+    return _let(value, lambda v: F.coalesce(_text(*_parts(v)), v.cast("string")))
 
 
-def _sums(value: Column) -> tuple[Column, Column, Column]:
-    """(sum of whole parts, sum of the rests, whether both hold all values)."""
-    fine = value.try_cast(FINE)
-    whole = F.coalesce(F.floor(fine).cast(WHOLE), value.try_cast(WHOLE))
-    rest = (fine - F.floor(fine)).cast(FINE)
+def _sums(value: Column) -> tuple[Parts, Column]:
+    """(sums of the parts, whether they hold all values)."""
+    whole, head, tail = _parts(value)
     known = F.count_if(value.isNotNull() & whole.isNull()) == 0
-    sum_whole, sum_rest = F.try_sum(whole), F.coalesce(F.try_sum(rest), F.lit(0).cast(FINE))
-    return sum_whole, sum_rest, known & (sum_whole.isNotNull() | (F.count(value) == 0))
+    total = F.try_sum(whole)
+    return (total, F.try_sum(head), F.try_sum(tail)), known & (total.isNotNull() | (F.count(value) == 0))
+
+
+def _exact_text(value: Column) -> Column:
+    """The exact sum as text; null of no value or if one does not fit."""
+    parts, exact = _sums(value)
+    return F.when(exact, _text(*[p.cast(WHOLE) for p in parts]))
 
 
 def sum_text(value: Column) -> Column:
     """The exact sum as text; of no value, null."""
-    whole, rest, exact = _sums(value)
-    carry = F.floor(rest).cast(WHOLE)
-    whole, rest = F.try_add(whole, carry), (rest - F.floor(rest)).cast(FINE)
-    under = (whole < 0) & (rest > 0)  # -2 + 0.25 is -1.75
-    ahead = F.when(under, whole + 1).otherwise(whole).cast(WHOLE).cast("string")
-    digits = F.when(under, F.lit(1).cast("decimal(1,0)") - rest).otherwise(rest).cast(FINE).cast("string")
-    sign = F.when(under & (whole == -1), "-").otherwise("")
-    text = F.concat(sign, ahead, F.regexp_replace(F.regexp_extract(digits, r"(\.\d+)$", 1), r"(\.\d{6}\d*?)0+$", "$1"))
-    return F.when(exact, text).otherwise(F.sum(value.cast("double")).cast("string"))
+    return F.coalesce(_exact_text(value), F.sum(value.cast("double")).cast("string"))
 
 
 def sum_number(value: Column) -> Column:
     """The exact sum as the nearest double; of no value, null."""
-    whole, rest, exact = _sums(value)
-    return F.when(exact, whole.cast("double") + rest.cast("double")).otherwise(F.sum(value.cast("double")))
+    return F.coalesce(_exact_text(value).cast("double"), F.sum(value.cast("double")))
 
 
 def mean_text(value: Column) -> Column:
-    """The exact mean, to twenty digits after the point where it is below 1E18."""
-    whole, rest, exact = _sums(value)
-    total, n = F.try_add(whole.try_cast(FINE), rest), F.nullif(F.count(value), F.lit(0)).cast("decimal(20,0)")
-    fine = F.try_divide(total, n).try_cast(FINE)
-    return F.when(F.count(value) > 0, F.coalesce(F.when(exact, number_text(fine)), number_text(sum_number(value) / F.count(value))))
+    """The exact mean, to twenty digits after the point where it is below 1E18; to 37 if the sum has more and is below 1."""
+    n = F.nullif(F.count(value), F.lit(0)).cast("decimal(20,0)")
+
+    def mean(given: Column) -> Column:
+        text, n = given["text"], given["n"]
+        longer = F.when(F.length(F.substring_index(text, ".", -1)) > 20, text.try_cast("decimal(38,37)"))
+        fine = F.coalesce(
+            number_text(F.nullif(F.try_divide(longer, n), F.lit(0).cast("decimal(1,0)"))),
+            number_text(F.try_divide(text.try_cast(FINE), n).try_cast(FINE)),
+        )
+        lost = (fine.try_cast("double") == 0) & (text.try_cast("double") != 0)
+        return F.coalesce(F.when(~lost, fine), number_text(given["rough"] / n.cast("double")))
+
+    given = F.struct(_exact_text(value).alias("text"), n.alias("n"), sum_number(value).alias("rough"))
+    return F.when(F.count(value) > 0, _let(given, mean))
 
 
 def same_number(one: Column, other: Column, tolerance: float | None = None) -> Column:
@@ -72,8 +144,26 @@ def same_number(one: Column, other: Column, tolerance: float | None = None) -> C
 
 def row_sum_equals(values: list[Column], total: float | int | str) -> Column:
     """Whether the numbers of a row add up to `total`; null if one is missing."""
-    exact, rough = F.lit(0).cast(FINE), F.lit(0.0)
+    rough, wanted = F.lit(0.0), Decimal(str(total))
+    scaled = wanted.as_tuple()
+    fits = wanted.is_finite() and wanted.adjusted() < 38 and scaled.exponent >= -(HEAD + TAIL)
+    exact = F.lit(None).cast("boolean")
+    if fits:
+        digits = int("".join(map(str, scaled.digits))) * 10 ** (scaled.exponent + HEAD + TAIL)
+        rest, last = divmod(digits, 10**TAIL)
+        parts = [-n if scaled.sign == 0 else n for n in (*divmod(rest, 10**HEAD), last)]
+        sums = [_whole(n) for n in parts]
+        for v in values:
+            sums = [F.try_add(a, b) for a, b in zip(sums, _parts(v))]
+        exact = _let(
+            F.struct(*[p.cast(WHOLE).alias(k) for p, k in zip(sums, "wht")]),
+            lambda s: F.when(s["w"].isNotNull(), _zero(*_carried(s["w"], s["h"], s["t"]))),
+        )
     for v in values:
-        exact, rough = F.try_add(exact, v.try_cast(FINE)), rough + v.cast("double")
+        rough = rough + v.cast("double")
     near = F.abs(rough - F.lit(float(total))) <= TOLERANCE * F.greatest(F.abs(rough), F.lit(abs(float(total))))
-    return F.coalesce(exact == F.lit(str(total)).try_cast(FINE), near)
+    return F.coalesce(exact, near)
+
+
+def _zero(whole: Column, head: Column, tail: Column) -> Column:
+    return (whole == 0) & (head == 0) & (tail == 0)

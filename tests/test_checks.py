@@ -233,3 +233,33 @@ def test_quantiles_keep_their_type(spark, fetch):
     assert exact_quantiles(df.limit(2).selectExpr("k"), "k", [0.5], fetch)[0] == 2
     two = spark.createDataFrame([(big,), (big + 1,)], "k long")
     assert exact_quantiles(two, "k", [0.5])[1] == [Decimal(big) + Decimal("0.5")]
+
+
+def test_row_sums_of_large_and_small_numbers(spark):
+    big = 5 * 10**18
+    df = spark.createDataFrame([(big, 10**9), (big, 0), (2**62, 3)], "a long, b long")
+    from millrace.functions.exact import row_sum_equals
+
+    def sums(df, columns, total):
+        return [r[0] for r in df.select(row_sum_equals([F.col(c) for c in columns], total)).collect()]
+
+    assert sums(df, ["a", "b"], big) == [False, True, False]
+    assert sums(df, ["a", "b"], 2**62 + 3) == [False, False, True]
+    tiny = spark.createDataFrame([(1e-25, 1e-25), (1e-25, 3e-25), (1e-25, None)], "a double, b double")
+    assert sums(tiny, ["a", "b"], 4e-25) == [False, True, None]
+    wide = df.limit(1).selectExpr("cast('1000000000000000000.25' as decimal(38,18)) as a", "cast('-0.5' as decimal(38,30)) as b")
+    assert sums(wide, ["a", "b"], "999999999999999999.75") == [True] and sums(wide, ["a", "b"], 10**18) == [False]
+
+
+def test_totals_keep_fractions_of_large_and_tiny_numbers(spark):
+    from millrace.functions.exact import number_text, sum_text
+    from millrace.operators.reconcile import Recon, reconcile
+
+    df = spark.sql("select cast(v as decimal(38,18)) as v from values ('1000000000000000000.25'), ('2000000000000000000.5'), ('-0.125') t(v)")
+    text, low, high = df.agg(sum_text(F.col("v")), number_text(F.min("v")), number_text(F.max("v"))).first()
+    assert (text, low, high) == ("3000000000000000000.625000", "-0.125000", "2000000000000000000.500000")
+    for kind in ("double", "decimal(38,30)"):
+        one, four = (spark.sql(f"select cast({v} as {kind}) as v") for v in ("1E-25", "4E-25"))
+        recons = [Recon(i, k, "v", "v") for i, k in enumerate(("sum", "avg", "min", "max"))]
+        assert {r.result for r in reconcile(one, four, recons).collect()} == {"FAIL"}
+        assert {r.result for r in reconcile(four, four, recons).collect()} == {"PASS"}
