@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import fits_broadcast, join_unique
+from millrace.operators.skew import fits_broadcast, join_repeated, join_unique
 
 
 def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills: dict[str, str], how: str = "left") -> DataFrame:
@@ -29,11 +29,9 @@ def auto_correct(df: DataFrame, lookup: DataFrame, keys: dict[str, str], fills:
     filled = [
         F.coalesce(F.col(c), F.col(fill_names[c])).alias(c) if c in fills else F.col(c) for c in df.columns
     ]
+    if how == "inner":
+        return join_repeated(df, right, key_names).select(*filled)
     row = F.struct(*fill_names.values())
-    if how == "inner":  # a key of the lookup is one row of the join, however often it occurs
-        right = right.groupBy(*key_names.values()).agg(F.collect_list(row).alias("_rows"))
-        joined = join_unique(df, right, key_names, how="inner")
-        return joined.select(*df.columns, F.inline("_rows")).select(*filled)
     gaps = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in fill_names.values()])
     right = right.groupBy(*key_names.values()).agg(F.min(F.struct(gaps.alias("gaps"), row.alias("row"))).alias("_best"))
     right = right.select(*key_names.values(), "_best.row.*")

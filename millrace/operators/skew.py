@@ -3,6 +3,8 @@
 Small tables are broadcast after their rows have been measured. Otherwise the hottest keys, a bounded number,
 are joined by broadcasting only their rows of the table, and the rest goes through a shuffle in
 which no key is hot. Nothing is dropped: the two parts are disjoint and cover all rows.
+
+A table in which keys repeat is joined row by row, so that AQE can split a key that is hot on either side.
 """
 
 from __future__ import annotations
@@ -78,3 +80,8 @@ def join_unique(
     hot_right = right.join(few, _equal(right, few, {b: names[a] for a, b in on.items()}, True), "left_semi")
     hot_part = hot_left.join(F.broadcast(hot_right), _equal(hot_left, hot_right, on, null_safe), how)
     return hot_part.unionByName(cold_left.join(right.hint("merge"), _equal(cold_left, right, on, null_safe), how))
+
+
+def join_repeated(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Inner join of `left` with `right`, in which a key may occur any number of times. `on` as in `join_unique`."""
+    return left.join(F.broadcast(right) if fits_broadcast(right) else right.hint("merge"), _equal(left, right, on, False), "inner")

@@ -261,3 +261,26 @@ def test_both_fills_come_from_one_lookup_row(spark, monkeypatch, limit):
     assert got == {(1, "Aachen", 99), (2, "x", 5)}
     every = sorted(tuple(r) for r in auto_correct(df, lookup, {"k": "k2"}, {"city": "c", "zip": "z"}, "inner").collect())
     assert every == [(1, "Aachen", 99), (1, "Zwolle", 11), (2, "x", 1), (2, "x", 5)]
+
+
+def test_inner_lookup_splits_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    df = spark.range(200).selectExpr("id", "id % 50 as k", "case when id % 2 = 0 then 'own' end as v").repartition(8)
+    lookup = spark.range(6000).selectExpr("case when id % 3 = 0 then 7 else id end as key", "concat('value ', id) as val").repartition(8)
+    small = {"skewedPartitionThresholdInBytes": "1k", "skewedPartitionFactor": "1.2"}
+    settings = {f"spark.sql.adaptive.skewJoin.{k}": v for k, v in small.items()} | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = auto_correct(df, lookup, {"k": "key"}, {"v": "val"}, "inner")
+        got = sorted(tuple(r) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    values = {}
+    for i in range(6000):
+        values.setdefault(7 if i % 3 == 0 else i, []).append(f"value {i}")
+    assert got == sorted((i, i % 50, "own" if i % 2 == 0 else v) for i in range(200) for v in values.get(i % 50, []))
+    assert "collect_list" not in plan and "skew=true" in plan
