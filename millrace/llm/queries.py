@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, lines, materialise, packing, quality, simhash, suffixes, urls, warc
+from millrace.llm import alignment, chat, decontaminate, embeddings, lines, materialise, merkle, packing, quality, simhash, suffixes, urls, warc
 from millrace.llm.tokens import token_ids
 from millrace.session import scratch_dir
 
@@ -185,3 +185,72 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = materialise.materialise(table(spark, sf_dir, "documents"), folder, TOKENIZER)
     read = materialise.read_slots(manifest, folder, token_ids(TOKENIZER).dtype)
     return read.select("slot", "shard", "sequence", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+VECTORS_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {embeddings.COSINE}),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+
+@query("op11_embedding_near_dedup", VECTORS_SQL)
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+BYTE_TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENS = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links end at the same byte."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), BYTE_TOKENS, PIECE_TOKENS, linked="end")
+
+
+def _sql_leaf(n_chars: str) -> str:
+    named = ["doc_id", "source", "lang", n_chars, "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in named) + ")"
+
+
+CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda s, x: list_reduce([xor(s, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT)"""
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_sql_leaf("n_chars")} AS leaf,
+    {_sql_leaf(f"n_chars + CASE WHEN {CRC32} % 7 = 0 THEN 1 ELSE 0 END")} AS given FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+t(level, lang, pos, n, h) AS (
+  SELECT 0, lang, pos, n, leaf FROM p
+  UNION ALL SELECT level + 1, lang, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY level, lang, pos // 2),
+s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(level, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM s
+  UNION ALL SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 2),
+f(r, level, lang, pos, n, node, proof) AS (
+  SELECT r, 0, lang, pos, n, given, '' FROM p
+  UNION ALL SELECT f.r, f.level + 1, f.lang, f.pos // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.pos % 2 = 0 THEN f.node || coalesce(t.h, '') ELSE t.h || f.node END), f.proof || coalesce(t.h, '')
+  FROM f LEFT JOIN t ON t.lang IS NOT DISTINCT FROM f.lang AND t.level = f.level AND t.pos = xor(f.pos, 1) WHERE f.n > 1),
+g(r, level, pos, n, node, proof) AS (
+  SELECT f.r, 0, s.pos, s.n, f.node, f.proof FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL SELECT g.r, g.level + 1, g.pos // 2, (g.n + 1) // 2,
+    sha256(CASE WHEN g.pos % 2 = 0 THEN g.node || coalesce(u.h, '') ELSE u.h || g.node END), g.proof || coalesce(u.h, '')
+  FROM g LEFT JOIN u ON u.level = g.level AND u.pos = xor(g.pos, 1) WHERE g.n > 1)
+SELECT p.doc_id, p.leaf, s.h AS subroot, u.h AS root, sha256(g.proof) AS proof_sha256, g.node AS folded_root, g.node = u.h AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN g ON g.r = p.r AND g.n = 1 JOIN u ON u.n = 1"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh document, by a checksum of its id, is checked with one character more than it has."""
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), given={"n_chars": F.when(changed, n_chars + 1).otherwise(n_chars)})
