@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.config import AUDIT_COLUMNS
 from millrace.functions.columns import nan_to_null
-from millrace.functions.exact import FINE, mean_text, number_text, same_number, sum_text
+from millrace.functions.exact import FINE, FINE_TYPE, mean_text, name, number_text, same_number, sum_text
 
 RECON_KINDS = ("sum", "avg", "min", "max", "count")
 
@@ -28,24 +28,22 @@ def _is_number(df: DataFrame, column: str) -> bool:
     return name in {"byte", "short", "integer", "long", "float", "double"} or name.startswith("decimal")
 
 
-def _value(df: DataFrame, column: str) -> Column:
-    """Text that is no number counts as missing in sums and means."""
-    text = df.schema[column].dataType.typeName() == "string"
-    return F.col(column).try_cast(FINE) if text else F.col(column)
-
-
 def _total(df: DataFrame, kind: str, column: str, number: bool) -> Column:
-    """One side's total as text; smallest and largest values are found in the column's own type."""
+    """One side's total as text; smallest and largest values are found in the column's own type.
+
+    Text that is no number counts as missing, but for smallest and largest values of two text columns."""
     if kind == "count":
         return F.count(F.col(column)).cast("string")
+    if kind not in RECON_KINDS:
+        raise ValueError(f"reconciliation kind must be one of {', '.join(RECON_KINDS)}")
+    if kind in {"min", "max"} and not number:
+        return (F.min if kind == "min" else F.max)(F.col(column)).cast("string")
+    value, type_ = name(column), df.schema[column].dataType
+    if type_.typeName() == "string":
+        value, type_ = f"try_cast({value} as {FINE})", FINE_TYPE
     if kind == "sum":
-        return F.coalesce(sum_text(_value(df, column)), F.lit("0.000000"))
-    if kind == "avg":
-        return mean_text(_value(df, column))
-    if kind in {"min", "max"}:
-        value = (F.min if kind == "min" else F.max)(_value(df, column) if number else F.col(column))
-        return number_text(value) if number else value.cast("string")
-    raise ValueError(f"reconciliation kind must be one of {', '.join(RECON_KINDS)}")
+        return F.expr(f"coalesce({sum_text(value, type_)}, '0.000000')")
+    return F.expr(mean_text(value, type_) if kind == "avg" else number_text(f"{kind}({value})", type_))
 
 
 def reconcile_totals(source: DataFrame, target: DataFrame, recons: list[Recon]) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.exact import row_sum_equals, sum_number
+from millrace.functions.exact import name, row_sum_equals, sum_number
 
 CHECKS: dict[str, Callable] = {}
 
@@ -395,7 +395,7 @@ def _unique_in_record(df, column_list, ignore_row_if="all_values_are_missing", m
 def _multicol_sum(df, column_list, sum_total, ignore_row_if="all_values_are_missing", mostly=None):
     _known(df, *column_list)
     skip = _skip_when(column_list, ignore_row_if)
-    good = row_sum_equals([F.col(c) for c in column_list], sum_total)
+    good = row_sum_equals(column_list, [df.schema[c].dataType for c in column_list], sum_total)
     return RowRule(",".join(column_list), ~skip & ~_truth(good), skip, mostly)
 
 
@@ -515,20 +515,24 @@ def _end_rule(function):
         _known(df, column)
         numeric = df.schema[column].dataType.typeName() in {"double", "float", "integer", "long", "short", "byte"} or \
             df.schema[column].dataType.typeName().startswith("decimal")
-        return _total(df, column, function(column), min_value, max_value, strict_min, strict_max, as_text if numeric else _plain)
+        return _total(df, column, function(df, column), min_value, max_value, strict_min, strict_max, as_text if numeric else _plain)
 
     return build
 
 
-def _mean(column: str) -> Column:
-    return sum_number(F.col(column)) / F.nullif(F.count(column), F.lit(0))
+def _sum(df: DataFrame, column: str) -> Column:
+    return F.expr(sum_number(name(column), df.schema[column].dataType))
 
 
-check("column_min_to_be_between")(_end_rule(F.min))
-check("column_max_to_be_between")(_end_rule(F.max))
-check("column_sum_to_be_between")(_end_rule(lambda c: sum_number(F.col(c))))
+def _mean(df: DataFrame, column: str) -> Column:
+    return _sum(df, column) / F.nullif(F.count(column), F.lit(0))
+
+
+check("column_min_to_be_between")(_end_rule(lambda df, c: F.min(c)))
+check("column_max_to_be_between")(_end_rule(lambda df, c: F.max(c)))
+check("column_sum_to_be_between")(_end_rule(_sum))
 check("column_mean_to_be_between")(_end_rule(_mean))
-check("column_stdev_to_be_between")(_end_rule(F.stddev_samp))
+check("column_stdev_to_be_between")(_end_rule(lambda df, c: F.stddev_samp(c)))
 
 
 def _set_totals(df, column, value_set):
