@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.mutate import delete_where, update_where
-from millrace.sinks.tables import rewrite_where
-
-# UPDATE and DELETE go to our operators, everything else to spark.sql as it is.
-OUTSIDE_TEXT = r"""(?=(?:[^'"]|'[^']*'|"[^"]*")*$)"""  # only whole texts follow
-DELETE = re.compile(r"\s*DELETE\s+FROM\s+(\S+)(.*)$", re.I | re.S)
-UPDATE = re.compile(r"\s*UPDATE\s+(\S+)\s+SET\s(.*)$", re.I | re.S)
-WHERE = re.compile(r"\bWHERE\b", re.I)
-NEXT_STATEMENT = re.compile(rf";\s*(?:\n|$){OUTSIDE_TEXT}")
+from millrace.sinks.tables import is_file_table, rewrite_where
+
 MODES = ("begin", "normal", "skip")
 
 
@@ -28,63 +21,88 @@ class StatementResult:
     error: Exception | None = None
 
 
+def split_statements(text: str) -> list[str]:
+    """Cuts at semicolons that end a line; those in quotes and comments do not count."""
+    out, start, i = [], 0, 0
+    while i < len(text):
+        if text[i] in "'\"`":
+            quote, i = text[i], i + 1
+            while i < len(text) and text[i] != quote:
+                i += 2 if text[i] == "\\" and quote != "`" else 1
+        elif text.startswith("--", i):
+            i = _after(text, "\n", i) - 2
+        elif text.startswith("/*", i):
+            i = _after(text, "*/", i) - 1
+        elif text[i] == ";" and not text[i + 1 :].split("\n", 1)[0].strip():
+            out.append(text[start:i])
+            start = i + 1
+        i += 1
+    return [t.strip(" ;\n\t\r") for t in [*out, text[start:]] if t.strip(" ;\n\t\r")]
+
+
+def _after(text: str, mark: str, i: int) -> int:
+    found = text.find(mark, i)
+    return len(text) if found < 0 else found + len(mark)
+
+
 def statements_in_order(sql_list: list[dict]) -> list[tuple[int, str]]:
     """(seq_no, text) sorted, without trailing semicolons. One entry may hold several statements."""
-    out = []
-    for item in sorted(sql_list, key=lambda s: int(s["seq_no"])):
-        for text in NEXT_STATEMENT.split(item["sql_query"].strip()):
-            if text.strip(" ;\n"):
-                out.append((int(item["seq_no"]), text.strip(" ;\n")))
-    return out
-
-
-def _top_level(text: str) -> str:
-    """The text with all that stands in quotes or brackets blanked out, of the same length."""
-    out, depth, quote, escaped = [], 0, "", False
-    for ch in text:
-        inside = bool(quote) or depth > 0 or ch in "([{'\"`"
-        if quote:
-            if escaped or ch == "\\":
-                escaped = not escaped and ch == "\\"
-            elif ch == quote:
-                quote = ""
-        elif ch in "'\"`":
-            quote = ch
-        elif ch in "([{":
-            depth += 1
-        elif ch in ")]}":
-            depth = max(0, depth - 1)
-        out.append("\0" if inside else ch)
-    return "".join(out)
-
-
-def _and_where(text: str) -> tuple[str, str | None]:
-    """What stands before the statement's own WHERE, and its condition."""
-    found = WHERE.search(_top_level(text))
-    return (text, None) if found is None else (text[: found.start()], text[found.end() :].strip())
-
-
-def _changes(text: str) -> dict[str, str]:
-    """`a = x, b = y` at the top level: column -> expression."""
-    plain, values, start = _top_level(text), {}, 0
-    for end in [m.start() for m in re.finditer(",", plain)] + [len(text)]:
-        equal = plain.index("=", start, end)
-        values[text[start:equal].strip(" `\t\r\n")] = text[equal + 1 : end].strip()
-        start = end + 1
-    return values
+    ordered = sorted(sql_list, key=lambda s: int(s["seq_no"]))
+    return [(int(item["seq_no"]), text) for item in ordered for text in split_statements(item["sql_query"])]
+
+
+@dataclass
+class RowChange:
+    """An UPDATE or DELETE as Spark's own parser reads it."""
+
+    table: str
+    alias: str
+    where: Column | None
+    values: dict[str, Column] | None  # None: delete
+
+
+def read_change(spark: SparkSession, text: str) -> RowChange | None:
+    """None for any other statement. Text that does not parse raises; so does what could change every row unawares."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    kind = plan.getClass().getSimpleName()
+    if kind not in {"DeleteFromTable", "UpdateTable"}:
+        return None
+    table, alias = plan.table(), None
+    if table.getClass().getSimpleName() == "SubqueryAlias":
+        table, alias = table.child(), table.alias()
+    if table.getClass().getSimpleName() != "UnresolvedRelation":
+        raise ValueError(f"not a table that rows can be changed in: {text}")
+    parts = [table.multipartIdentifier().apply(i) for i in range(table.multipartIdentifier().size())]
+    column = lambda e: Column(spark._jvm.org.apache.spark.sql.classic.ExpressionUtils.column(e))
+    where, values = plan.condition(), None
+    if kind == "UpdateTable":
+        where, values = where.get() if where.isDefined() else None, {}
+        for i in range(plan.assignments().size()):
+            one = plan.assignments().apply(i)
+            names = [one.key().nameParts().apply(j) for j in range(one.key().nameParts().size())]
+            if names[:-1] and names[:-1] not in ([alias], parts, parts[-1:]):
+                raise ValueError(f"a field of a column cannot be set: {'.'.join(names)}")
+            if names[-1] in values:
+                raise ValueError(f"column {names[-1]} is set twice")
+            values[names[-1]] = column(one.value())
+    elif where.getClass().getSimpleName() == "Literal":
+        where = None if where.sql() == "true" else where
+    if where is None and alias is not None:  # `DELETE FROM t WHER` reads as an alias
+        raise ValueError(f"no condition, but {alias!r} after the table: {text}")
+    name = ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+    return RowChange(name, alias or parts[-1], None if where is None else column(where), values)
 
 
 def run_statement(spark: SparkSession, text: str) -> DataFrame:
-    if m := DELETE.match(text):
-        table, (_, where) = m[1], _and_where(m[2])
-        rewrite_where(spark, table, where, lambda df: delete_where(df, where))
-        return spark.table(table).limit(0)
-    if m := UPDATE.match(text):
-        table, (changes, where) = m[1], _and_where(m[2])
-        values = _changes(changes)
-        rewrite_where(spark, table, where, lambda df: update_where(df, values, where), list(values))
-        return spark.table(table).limit(0)
-    return spark.sql(text)
+    """UPDATE and DELETE on tables of files go to our operators, everything else to spark.sql as it is."""
+    change = read_change(spark, text)
+    if change is None or not is_file_table(spark, change.table):
+        return spark.sql(text)
+    if change.values is None:
+        rewrite_where(spark, change.table, change.where, lambda df: delete_where(df, change.where), alias=change.alias)
+    else:
+        rewrite_where(spark, change.table, change.where, lambda df: update_where(df, change.values, change.where), alias=change.alias)
+    return spark.table(change.table).limit(0)
 
 
 def run_sql_task(spark: SparkSession, task: dict, log: dict[int, str] | None = None) -> list[StatementResult]:

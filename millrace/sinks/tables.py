@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from millrace.sources.jdbc import connection_options, table_name
 
@@ -63,7 +62,7 @@ def write_table(df: DataFrame | None, table: str, operation: str, file_format: s
 def overwrite_in_place(df: DataFrame, table: str, dynamic: bool = False) -> None:
     """Replace the rows of a table by a frame that reads it: the frame is written out first."""
     spark = df.sparkSession
-    stage = f"{table}__{uuid.uuid4().hex[:8]}"
+    stage = f"{table.removesuffix('`')}__{uuid.uuid4().hex[:8]}{'`' * table.endswith('`')}"
     df.write.format("parquet").saveAsTable(stage)
     # insertInto takes the mode from the session only.
     name = "spark.sql.sources.partitionOverwriteMode"
@@ -76,35 +75,108 @@ def overwrite_in_place(df: DataFrame, table: str, dynamic: bool = False) -> None
     spark.sql(f"DROP TABLE {stage}")
 
 
-def rewrite_where(spark: SparkSession, table: str, where: str | None, change, changed: list[str] = ()) -> None:
-    """Copy-on-write of `change(rows)`. In a partitioned table only partitions that hold a matching row are
-    read again and rewritten; one that ends up empty is dropped. `changed` names the columns that change."""
+# ---------------------------------------------------------------- changed rows
+
+FILE_FORMATS = {"parquet", "orc"}
+JOURNAL = "_rewrite-"  # names with an underscore in front are no data to Spark
+
+
+def _definition(spark: SparkSession, table: str):
+    session = spark._jsparkSession.sessionState()
+    return session.catalog().getTableMetadata(session.sqlParser().parseTableIdentifier(table))
+
+
+def is_file_table(spark: SparkSession, table: str) -> bool:
+    """A plain table of files, which has no UPDATE and DELETE of its own."""
+    if not spark.catalog.tableExists(table):
+        raise TargetError(f"table {table} does not exist")
+    found = _definition(spark, table)
+    if found.tableType().name() == "VIEW":
+        raise TargetError(f"{table} is a view")
+    provider = found.provider().get().lower() if found.provider().isDefined() else ""
+    return provider in FILE_FORMATS | {"csv", "json", "text", "hive"}
+
+
+def rewrite_where(spark: SparkSession, table: str, where: Column | str | None, change, alias: str | None = None) -> int | None:
+    """Copy-on-write of `change(rows)`, by file: only files that hold a matching row are read again and written anew.
+
+    Returns their number; None if the whole table was written (no condition, a bucketed table, a text format). The new
+    files are complete, and a journal names them and the old ones, before any file of the table moves; a run that
+    dies after that is completed by the next change or by `recover`. In between, readers may see both.
+    """
+    recover(spark, table)
+    found = _definition(spark, table)
+    rows = spark.table(table).alias(alias or "t")
+    if where is None or found.provider().get().lower() not in FILE_FORMATS or found.bucketSpec().isDefined():
+        overwrite_in_place(change(rows), table)
+        return None
+    path = rows.metadataColumn("_metadata")["file_path"]
+    old = sorted(r[0] for r in rows.where(where).select(path.alias("path")).distinct().collect())  # names; the driver lists the files anyway
+    if not old:
+        return 0
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if not parts or where is None or set(parts) & set(changed):
-        overwrite_in_place(change(spark.table(table)), table)
-        return
-    df = spark.table(table)
-    # As many rows as the table has partitions; the join prunes the scan at run time.
-    found = df.where(where).select(*parts).distinct().collect()
-    if not found:
-        return
-    touched = spark.createDataFrame(found, df.select(*parts).schema)
-    same = [df[p].eqNullSafe(touched[p]) for p in parts]
-    after = change(df.join(F.broadcast(touched), reduce(lambda a, b: a & b, same), "left_semi"))
-    emptied = []
-    if not changed:
-        kept = {tuple(r) for r in after.select(*parts).distinct().collect()}
-        emptied = [r for r in found if tuple(r) not in kept]
-    overwrite_in_place(after, table, dynamic=True)
-    for row in emptied:
-        spec = ", ".join(f"`{p}` = {_literal(v)}" for p, v in zip(parts, row))
-        spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
-
-
-def _literal(value) -> str:
-    if value is None:
-        return "null"
-    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    folder = found.location().toString().rstrip("/")
+    mark = f"{folder}/{JOURNAL}{uuid.uuid4().hex}"
+    after = change(rows.where(path.isin(old)))  # prunes the listing, so other files are not opened
+    after.write.format(found.provider().get()).partitionBy(*parts).save(mark)
+    fs, new = _files(spark, mark)
+    names = [f for f in new if f.rsplit("/", 1)[-1].startswith("part-")]
+    out = fs.create(_path(spark, f"{mark}.part"), True)
+    out.write(bytearray(json.dumps({"old": old, "new": names}).encode()))
+    out.close()
+    if not fs.rename(_path(spark, f"{mark}.part"), _path(spark, f"{mark}.json")):
+        raise TargetError(f"cannot write the journal {mark}.json")
+    recover(spark, table)
+    return len(old)
+
+
+def _path(spark: SparkSession, uri: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """(file system, paths below a folder relative to it)."""
+    root = _path(spark, folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, at = [], fs.listFiles(root, True)
+    prefix = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
+    while at.hasNext():
+        found.append(at.next().getPath().toUri().getPath().removeprefix(prefix))
+    return fs, found
+
+
+def recover(spark: SparkSession, table: str) -> int:
+    """Completes changes whose journal is there: new files move in, old ones go. Returns how many there were."""
+    found = _definition(spark, table)
+    if not found.storage().locationUri().isDefined():
+        return 0
+    folder = found.location().toString().rstrip("/")
+    root = _path(spark, folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    journals = [s.getPath() for s in (fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, f"{JOURNAL}*.json")) or [])]
+    for journal in journals:
+        stream = fs.open(journal)
+        given = json.loads(bytes(stream.readAllBytes()).decode())
+        stream.close()
+        stage = spark._jvm.org.apache.hadoop.fs.Path(journal.toString().removesuffix(".json"))
+        for name in given["new"]:
+            here, there = (spark._jvm.org.apache.hadoop.fs.Path(x, name) for x in (stage, root))
+            if fs.exists(here):
+                fs.mkdirs(there.getParent())
+                if not fs.rename(here, there):
+                    raise TargetError(f"cannot move {here} into {table}")
+        for name in given["old"]:
+            gone = _path(spark, name)
+            fs.delete(gone, False)
+            if not gone.getParent().equals(fs.makeQualified(root)) and not fs.listStatus(gone.getParent()):
+                fs.delete(gone.getParent(), False)
+        fs.delete(stage, True)
+        fs.delete(journal, False)
+    if journals:
+        if found.partitionColumnNames().size():
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+    return len(journals)
 
 
 # ---------------------------------------------------------------- databases

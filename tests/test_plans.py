@@ -200,18 +200,87 @@ def test_update_and_delete_touch_matching_partitions_only(spark, tmp_path, as_ro
     assert got == want
 
 
-def test_update_reads_brackets_and_quotes():
-    from millrace.plans.sqltask import _and_where, _changes
+@pytest.fixture
+def changed_table(spark, request):
+    name = f"chg_{abs(hash(request.node.name)) % 10**8}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.range(0, 10, 1, 5).selectExpr("id", "cast(id as string) as s", "id % 2 = 0 as even").write.saveAsTable(name)
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("text,want", [
+    ("DELETE FROM {t} -- don't keep\n WHERE id = 2", {2}),
+    ("/* it's; */ DELETE FROM {t} x WHERE x.id IN (SELECT id FROM range(3)) OR s = '--7'", {0, 1, 2}),
+    ("DELETE FROM `{t}` WHERE s = 'a;b' OR s = \"5\" ;", {5}),
+    ("DELETE FROM {t} WHERE cast(null as boolean)", set()),
+    ("DELETE FROM {t} WHERE id = 99", set()),
+    ("DELETE FROM {t}", set(range(10))),
+])
+def test_delete_reads_comments_quotes_and_subqueries(spark, changed_table, text, want):
+    from millrace.plans.sqltask import run_statement
 
-    cases = {
-        "a = if(b > 2, b = 4, false), `c d` = 'x, y = 1 where z'": {"a": "if(b > 2, b = 4, false)", "c d": "'x, y = 1 where z'"},
-        "a = (SELECT max(x), 1 FROM t WHERE x = 2),b=b>=1": {"a": "(SELECT max(x), 1 FROM t WHERE x = 2)", "b": "b>=1"},
-        "a = 'it\\'s, b = 1', b = \"q'\"": {"a": "'it\\'s, b = 1'", "b": "\"q'\""},
-    }
-    for text, want in cases.items():
-        before, where = _and_where(text + " WHERE k IN (SELECT k FROM t WHERE 1 = 1) AND v = ' where '")
-        assert _changes(before) == want and where == "k IN (SELECT k FROM t WHERE 1 = 1) AND v = ' where '"
-    assert _and_where(" a = 1") == (" a = 1", None)
+    run_statement(spark, text.format(t=changed_table))
+    assert {r.id for r in spark.table(changed_table).collect()} == set(range(10)) - want
+
+
+@pytest.mark.parametrize("text", [
+    "DELETE FROM {t} WHER id = 2", "DELETE FROM {t} LIMIT 1", "DELETE FROM {t} WHER", "DELETE FROM {t} WHERE", "DELETE FROM {t} WHERE id = ",
+    "DELETE FROM {t} WHERE nothing = 1", "UPDATE {t} SET id = 1 WHER id = 2", "UPDATE {t} SET nothing = 1 WHERE id = 2", "UPDATE {t} x SET id = 1",
+    "UPDATE {t} SET id = 1, id = 2 WHERE id = 3", "UPDATE {t} SET s.a = 1 WHERE id = 1", "DELETE FROM none WHERE id = 1", "DELETE {t} WHERE id = 1",
+])
+def test_misspelt_changes_raise_and_keep_all_rows(spark, changed_table, text):
+    from millrace.plans.sqltask import run_statement
+
+    before = sorted(tuple(r) for r in spark.table(changed_table).collect())
+    files = sorted(spark.table(changed_table).inputFiles())
+    with pytest.raises(Exception):
+        run_statement(spark, text.format(t=changed_table))
+    spark.catalog.refreshTable(changed_table)
+    assert sorted(tuple(r) for r in spark.table(changed_table).collect()) == before
+    assert sorted(spark.table(changed_table).inputFiles()) == files
+
+
+def test_update_reads_comments_brackets_and_quotes(spark, changed_table):
+    from millrace.plans.sqltask import run_statement
+
+    run_statement(spark, f"UPDATE {changed_table} SET s = concat('a, b = ', if(id > 2, s, '(')), -- it's old, id = 5\n even = (SELECT max(id) FROM range(3)) = 2 WHERE id < 4")
+    want = [(i, "a, b = " + (str(i) if i > 2 else "("), True) if i < 4 else (i, str(i), i % 2 == 0) for i in range(10)]
+    assert sorted(tuple(r) for r in spark.table(changed_table).collect()) == want
+
+
+def test_only_files_with_a_matching_row_are_written_anew(spark, changed_table):
+    from millrace.operators.mutate import delete_where, update_where
+    from millrace.sinks.tables import rewrite_where
+
+    files = lambda: set(spark.table(changed_table).inputFiles())
+    before = files()
+    assert rewrite_where(spark, changed_table, "id in (2, 3)", lambda df: delete_where(df, "id in (2, 3)")) == 1
+    middle = files()
+    assert len(before - middle) == 1 and len(before & middle) == len(before) - 1
+    assert rewrite_where(spark, changed_table, "id = 99", lambda df: delete_where(df, "id = 99")) == 0 and files() == middle
+    assert rewrite_where(spark, changed_table, "id in (0, 9)", lambda df: update_where(df, {"s": "'x'"}, "id in (0, 9)")) == 2
+    assert len(files() & middle) == len(middle) - 2
+    assert sorted((r.id, r.s) for r in spark.table(changed_table).collect()) == [(i, "x" if i in (0, 9) else str(i)) for i in range(10) if i not in (2, 3)]
+
+
+def test_an_interrupted_change_is_completed(spark, changed_table, monkeypatch):
+    from millrace.operators.mutate import delete_where
+    from millrace.sinks import tables
+
+    whole = tables.recover
+    calls = []
+
+    def dies(spark, table):
+        calls.append(table)
+        return whole(spark, table) if len(calls) == 1 else None  # the journal is written, then the run ends
+
+    monkeypatch.setattr(tables, "recover", dies)
+    tables.rewrite_where(spark, changed_table, "id < 5", lambda df: delete_where(df, "id < 5"))
+    monkeypatch.undo()
+    assert spark.table(changed_table).count() == 10  # nothing has moved yet
+    assert tables.recover(spark, changed_table) == 1 and tables.recover(spark, changed_table) == 0
+    assert {r.id for r in spark.table(changed_table).collect()} == set(range(5, 10))
 
 
 def test_update_with_functions_and_subqueries(spark):
