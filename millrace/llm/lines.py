@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from millrace.session import store
 
 MIN_SITES = 10
-MIN_WORDS = 4  # of op9_line_dedup and its SQL check
+MIN_WORDS = 1  # a line without a word is no boilerplate
 LG_K = 12
 NEAR = 0.25  # relative distance from the limit within which estimates are not trusted
 
@@ -57,11 +57,11 @@ def spread_lines(docs: DataFrame, text: str, site: str, min_sites: int, min_word
 
 
 def remove_spread_lines(
-    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = 1
+    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
 ) -> DataFrame:
     """`doc` (the row as it was), `text` (without boilerplate lines), `n_lines`, `n_removed`."""
     spread = spread_lines(docs, text, site, min_sites, min_words)
-    both = lambda t: [F.xxhash64(t).alias("key1"), F.xxhash64(t, F.lit(1)).alias("key2")]
+    both = lambda t: [F.xxhash64(t).alias("key1"), F.xxhash64(F.lit(1), t).alias("key2")]
     lines = docs.select(*both(F.col(text)), F.posexplode(line_hashes(F.col(text), min_words)).alias("at", "hash"))
     hits = lines.where("hash is not null").join(spread, F.col("hash") == spread.line, "left_semi")
     hits = store(hits.groupBy("key1", "key2").agg(F.collect_set("at").alias("at")), "boilerplate-hits")  # so AQE can split copies

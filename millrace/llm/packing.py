@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import token_ids
+from millrace.operators.order import PART_BITS
 from millrace.session import store
 
 WINDOW = 4096
@@ -38,6 +38,7 @@ SHARD_TOKENS = 1_000_000
 PART_TOKENS = 8_000_000
 BATCH_BYTES = 4 << 20
 FAN = 64
+AHEAD = 32  # nearest documents that are put in order at once
 K1, B = 1.2, 0.75
 
 
@@ -50,6 +51,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: i
     end = np.array([end_id], tokens.dtype).tobytes()
     size = tokens.dtype.itemsize
     seen = np.zeros(max(tokens.tokenizer.get_vocab_size(), end_id + 1), np.int64)
+    terms = Terms(len(seen))
     kind, rows, held = None, [], 0
     for batch in batches:
         kind = batch.schema.field("id").type
@@ -61,8 +63,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: i
                 part = ids[start * size : (start + window) * size]
                 rows.append((keys[at].as_py(), start, len(part) // size, total, part))
             if total % window:
-                terms = np.frombuffer(part, tokens.dtype)
-                seen[np.unique(terms)] += 1
+                seen[terms.distinct(np.frombuffer(part, tokens.dtype))] += 1
             held += len(ids) + 100
             if held >= BATCH_BYTES:
                 yield _batch(rows, kind)
@@ -120,13 +121,33 @@ def weights(count: np.ndarray, length: int, mean: float, idf: np.ndarray) -> np.
     return idf * count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean))
 
 
+class Terms:
+    """Distinct terms of one text after the other, without sorting or hashing: the last place of each is marked in a table of the vocabulary."""
+
+    def __init__(self, size: int):
+        self.last, self.number, self.range = np.zeros(size, np.intp), np.zeros(size, np.intp), np.arange(1 << 13)
+
+    def distinct(self, ids: np.ndarray) -> np.ndarray:
+        if len(ids) > len(self.range):
+            self.range = np.arange(2 * len(ids))
+        at, place = ids.astype(np.intp), self.range[: len(ids)]
+        self.last[at] = place
+        return at[self.last[at] == place]
+
+    def counted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        term = self.distinct(ids)
+        self.number[term] = self.range[: len(term)]
+        return term, np.bincount(self.number[ids], minlength=len(term))
+
+
 class Index:
     """BM25 postings of one shard."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         terms, owners, values = [], [], []
+        self.terms = Terms(len(idf))
         for i, ids in enumerate(docs):
-            term, count = np.unique(ids, return_counts=True)
+            term, count = self.terms.counted(ids)
             terms.append(term)
             owners.append(np.full(len(term), i, np.int32))
             values.append(weights(count, len(ids), mean, idf[term]).astype(np.float32))
@@ -136,33 +157,44 @@ class Index:
         self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.unused = np.ones(len(docs), bool)
 
-    def near(self, seed: np.ndarray) -> np.ndarray:
-        """Unused documents from the nearest on; those without a common term last, in order."""
-        term = np.unique(seed)
+    def near(self, seed: np.ndarray) -> Iterator[int]:
+        """Unused documents from the nearest on; those without a common term last, in order.
+
+        The first ones fill a window in most cases, so the others are put in order only when they are asked for.
+        """
+        term = self.terms.distinct(seed)
         lo, n = self.first[term], self.first[term + 1] - self.first[term]
         place = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
         score = np.bincount(self.owner[place], self.value[place], minlength=len(self.unused))
-        order = np.argsort(-score, kind="stable")
-        return order[self.unused[order]]
+        left = np.flatnonzero(self.unused)
+        score = score[left]
+        least = np.partition(score, -AHEAD)[-AHEAD] if len(left) > AHEAD else -1.0
+        for some in (score >= least, score < least):
+            yield from left[some][np.argsort(-score[some], kind="stable")].tolist()
 
 
 class Packer:
-    """Fills windows; gives (sequence number, offset, document, start, ids) of each piece."""
+    """Fills windows; gives (sequence, offset, document, start, ids) of each piece.
+
+    A sequence is named by the document and place that it starts with, so names never depend on which task packs it.
+    """
 
     def __init__(self, window: int):
         self.window = window
-        self.sequence, self.filled = 0, 0
+        self.sequence, self.filled = None, 0
         self.open: list[tuple] = []  # pieces of the window being filled
         self.seed: np.ndarray | None = None
 
     def _put(self, doc: object, start: int, ids: np.ndarray) -> list[tuple]:
         """Adds a piece that fits; the pieces of the window, if it is full now."""
+        if not self.filled:
+            self.sequence = (doc, start)
         self.open.append((self.sequence, self.filled, doc, start, ids))
         self.filled += len(ids)
         if self.filled < self.window:
             return []
         done, self.open = self.open, []
-        self.sequence, self.filled, self.seed = self.sequence + 1, 0, None
+        self.filled, self.seed = 0, None
         return done
 
     def add(self, doc: object, ids: np.ndarray) -> list[tuple]:
@@ -182,11 +214,11 @@ class Packer:
         left = len(docs)
         while left:
             if self.seed is None:
-                nearest = np.flatnonzero(index.unused)[:1]
+                nearest = [int(index.unused.argmax())]
             else:
                 nearest = index.near(self.seed)
             seed = self.seed
-            for i in nearest.tolist():
+            for i in nearest:
                 index.unused[i] = False
                 left -= 1
                 yield from self.add(*docs[i])
@@ -199,11 +231,13 @@ class Packer:
         at, room = 0, cuts.pop(0) if cuts else 0
         for _, _, doc, start, ids in self.open:
             while len(ids):
+                if not at:
+                    self.sequence = (doc, start)
                 yield self.sequence, at, doc, start, ids[: room - at]
                 start, taken = start + min(len(ids), room - at), min(len(ids), room - at)
                 ids, at = ids[taken:], at + taken
                 if at == room:
-                    self.sequence, at, room = self.sequence + 1, 0, cuts.pop(0) if cuts else 0
+                    at, room = 0, cuts.pop(0) if cuts else 0
 
 
 # ---------------------------------------------------------------- the job
@@ -214,14 +248,18 @@ OUT = "start long, length long, ids binary, doc_tokens long, sequence_id long, o
 
 def _routed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, df: np.ndarray, mean: float, dtype: np.dtype, room: int) -> Iterator[pa.RecordBatch]:
     """Adds the two most telling terms of each rest, and a salt as large as the first one is frequent."""
+    terms = Terms(len(idf))
     for batch in batches:
         one, two, salt = [], [], []
         for ids, row in zip(batch.column("ids"), batch.column("row")):
-            term, count = np.unique(np.frombuffer(ids.as_buffer(), dtype), return_counts=True)
-            best = term[np.argsort(-weights(count, count.sum(), mean, idf[term]), kind="stable")[:2]]
-            one.append(int(best[0]))
-            two.append(int(best[-1]))
-            salt.append(row.as_py() % max(1, int(df[best[0]]) // room))
+            term, count = terms.counted(np.frombuffer(ids.as_buffer(), dtype))
+            weight = weights(count, count.sum(), mean, idf[term])
+            best = int(term[weight.argmax()])
+            one.append(best)
+            if len(term) > 1:
+                weight[weight.argmax()] = -1
+            two.append(int(term[weight.argmax()]))
+            salt.append(row.as_py() % max(1, int(df[best]) // room))
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(one, pa.int32()), pa.array(two, pa.int32()), pa.array(salt, pa.int64())],
             [*batch.schema.names, "term1", "term2", "salt"],
@@ -229,13 +267,12 @@ def _routed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, df: np.ndarray,
 
 
 def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, dtype: np.dtype, window: int, shard_tokens: int) -> Iterator[pa.RecordBatch]:
-    base = (TaskContext.get().partitionId() + 1) << 40  # whole windows are numbered from the other end, see pack()
     packer, docs, held, kind, out, size = Packer(window), [], 0, None, [], 0
 
     def rows(pieces: list[tuple]) -> pa.RecordBatch:
         table = [
-            (key, first + start, len(ids), ids.astype("<u4").tobytes(), total, base + seq, at)
-            for seq, at, (key, first, total), start, ids in pieces
+            (key, first + start, len(ids), ids.astype("<u4").tobytes(), total, opener[3] * window + place, at)
+            for (opener, place), at, (key, first, total, _), start, ids in pieces
         ]
         kinds = [kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         columns = list(zip(*table)) or [[]] * len(kinds)
@@ -246,9 +283,9 @@ def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, dty
         nonlocal docs, held, kind
         for batch in batches:
             kind = batch.schema.field("id").type
-            columns = [batch.column(n) for n in ("id", "start", "doc_tokens", "ids")]
-            for key, start, total, ids in zip(*columns):
-                docs.append(((key.as_py(), start.as_py(), total.as_py()), np.frombuffer(ids.as_py(), dtype)))
+            columns = [batch.column(n) for n in ("id", "start", "doc_tokens", "number", "ids")]
+            for key, start, total, number, ids in zip(*columns):
+                docs.append(((key.as_py(), start.as_py(), total.as_py(), number.as_py()), np.frombuffer(ids.as_py(), dtype)))
                 held += len(docs[-1][1])
                 if held >= shard_tokens:
                     yield from packer.shard(docs, idf, mean)
@@ -278,7 +315,8 @@ def pack(
     df = _summed(pieces.where("start < 0").select("ids"))
     rests = pieces.where((F.col("start") >= 0) & (F.col("length") < window))
     whole = pieces.where(F.col("length") == window)
-    count, total = rests.agg(F.count("*"), F.sum("length")).first()
+    part, place = F.shiftright("row", PART_BITS), F.col("row").bitwiseAND((1 << PART_BITS) - 1)
+    count, total, widest = rests.agg(F.count("*"), F.sum("length"), F.max(place)).first()
     total = total or 0
     mean = total / max(count, 1) or 1.0
     parts = max(1, math.ceil(total / part_tokens))
@@ -290,7 +328,9 @@ def pack(
         lambda b: _routed(b, held.value[0], held.value[1], mean, dtype, room), schema + ", term1 int, term2 int, salt long"
     )
     routed = routed.repartition(parts, "term1", "salt").sortWithinPartitions("term1", "term2", "row")
-    packed = routed.select("id", "start", "doc_tokens", "ids").mapInArrow(
+    # Rows are numbered without gaps between their partitions, so that a number times the window still fits a long.
+    number = F.shiftleft(part, int(widest or 0).bit_length()) + place
+    packed = routed.select("id", "start", "doc_tokens", number.alias("number"), "ids").mapInArrow(
         lambda b: _packed(b, held.value[0], mean, dtype, window, shard_tokens), f"id {kind}, {OUT}"
     )
 

@@ -326,7 +326,7 @@ SPANS = "gram long, around long, lo int, hi int"
 
 
 def _keys(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("key1"), F.xxhash64(text, F.lit(1)).alias("key2")]
+    return [F.xxhash64(text).alias("key1"), F.xxhash64(F.lit(1), text).alias("key2")]
 
 
 def _settled_and_open(anchors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

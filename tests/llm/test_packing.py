@@ -47,7 +47,28 @@ def test_odd_documents(odd_docs, no_docs):
     assert packing.pack(no_docs, TOKENIZER).count() == 0
 
 
-def test_index_is_bm25():
+@pytest.mark.parametrize("shard_tokens, part_tokens", [(1_000_000, 8_000_000), (700, 3000)])
+def test_sequence_ids_survive_any_partitioning(spark, text_of, shard_tokens, part_tokens):
+    docs = [(i, text_of(i % 40, 5 + 37 * i % 400)) for i in range(80)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    packed = packing.pack(df, TOKENIZER, window=256, shard_tokens=shard_tokens, part_tokens=part_tokens)
+    for partitions in (1, 3):
+        checked(docs, packed.coalesce(partitions).collect(), 256)
+
+
+def test_terms_equal_a_sorted_count():
+    rng, terms = np.random.default_rng(3), packing.Terms(500)
+    for n in (0, 1, 7, 300, 20_000):
+        ids = rng.integers(0, 500, n).astype("<u2")
+        term, count = terms.counted(ids)
+        order = np.argsort(term)
+        assert [x.tolist() for x in (term[order], count[order])] == [x.tolist() for x in np.unique(ids, return_counts=True)]
+        assert sorted(terms.distinct(ids).tolist()) == np.unique(ids).tolist()
+
+
+@pytest.mark.parametrize("ahead", [1, 2, 32])
+def test_index_is_bm25(monkeypatch, ahead):
+    monkeypatch.setattr(packing, "AHEAD", ahead)
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 30, n) for n in (5, 20, 9, 40, 12)]
     df = np.bincount(np.concatenate([np.unique(x) for x in docs]), minlength=31)
@@ -60,7 +81,7 @@ def test_index_is_bm25():
             np.log1p((5 - df[t] + 0.5) / (df[t] + 0.5)) * (x == t).sum() * 2.2 / ((x == t).sum() + 1.2 * (0.25 + 0.75 * len(x) / mean))
             for t in set(docs[3].tolist()) if t in x
         )
-    assert index.near(docs[3]).tolist() == sorted((i for i in score if i != 1), key=lambda i: -score[i])
+    assert list(index.near(docs[3])) == sorted((i for i in score if i != 1), key=lambda i: -score[i])
 
 
 def test_like_goes_with_like(spark):
