@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from millrace.config import fill_date_placeholders, is_yes
 from millrace.functions.columns import all_strings, project
 from millrace.sinks import files as sink
-from millrace.sinks.tables import TargetError, operation_name, require_columns, require_state, write_jdbc, write_table
+from millrace.sinks.tables import (
+    TargetError, drop_stage, operation_name, publish_table, require_columns, require_state, restore_table, stage_table, write_jdbc, write_table,
+)
 from millrace.sources import files as src
 from millrace.sources.jdbc import read_jdbc, table_name
 
@@ -105,6 +107,7 @@ class TableTarget:
         self.stage_table = f"{self.table}__stage_{uuid.uuid4().hex[:8]}"
 
     def check(self, columns: list[str]) -> None:
+        restore_table(self.spark, self.table)
         there = self.spark.catalog.tableExists(self.table)
         require_state(self.operation, there, self.table)
         if there and self.operation in {"append", "truncate"}:
@@ -116,24 +119,21 @@ class TableTarget:
     def stage(self, df: DataFrame) -> int:
         self.check(df.columns)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").saveAsTable(self.stage_table)
+        stage_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), self.table, name=self.stage_table)
         return seen.get["rows"]
 
     def staged(self) -> DataFrame:
         return self.spark.table(self.stage_table)
 
     def publish(self) -> None:
-        there = self.spark.catalog.tableExists(self.table)
-        if self.operation == "replace" or not there:
-            if there:
-                self.spark.sql(f"DROP TABLE {self.table}")
-            self.spark.sql(f"ALTER TABLE {self.stage_table} RENAME TO {self.table}")
+        if self.operation == "replace" or not self.spark.catalog.tableExists(self.table):
+            publish_table(self.spark, self.stage_table, self.table)
         else:
             write_table(self.staged(), self.table, self.operation)
             self.discard()
 
     def discard(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.stage_table}")
+        drop_stage(self.spark, self.stage_table)
 
 
 class JdbcTarget:

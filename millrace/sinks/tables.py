@@ -7,10 +7,15 @@ import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.sources.jdbc import connection_options, table_name
 
 
+FILE_FORMATS = {"parquet", "orc"}
+OLD = "old_"  # in the name of a table that a swap has put aside
+
+
 class TargetError(Exception):
     """The target is not in the state that the operation asks for."""
 
@@ -47,27 +52,111 @@ def write_table(df: DataFrame | None, table: str, operation: str, file_format: s
         spark.sql(f"DROP TABLE {table}")
     elif operation == "replace" or not there:
         # The new table is complete before the old one goes, and `df` may read the old one.
-        stage = f"{table}__{uuid.uuid4().hex[:8]}"
-        df.write.format(file_format).saveAsTable(stage)
-        if there:
-            spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+        publish_table(spark, stage_table(df, table, file_format), table)
     else:
         columns = spark.table(table).columns
         require_columns(columns, df.columns, table)
         require_columns(df.columns, columns, "written frame")
-        df.select(*columns).write.insertInto(table, overwrite=operation == "truncate")
+        if operation == "truncate":
+            overwrite_in_place(df.select(*columns), table)
+        else:
+            df.select(*columns).write.insertInto(table)
+
+
+def beside(table: str, mark: str = "") -> str:
+    """A new name in the table's database."""
+    return f"{table.removesuffix('`')}__{mark}{uuid.uuid4().hex[:8]}{'`' * table.endswith('`')}"
+
+
+def _takes_location(spark: SparkSession, table: str, schema, file_format: str) -> bool:
+    """Whether the table can be pointed at other files: a table of plain files in one folder, with these columns."""
+    if not spark.catalog.tableExists(table):
+        return False
+    found = _definition(spark, table)
+    provider = found.provider().get().lower() if found.provider().isDefined() else ""
+    plain = provider == file_format and provider in FILE_FORMATS and not found.partitionColumnNames().size() and not found.bucketSpec().isDefined()
+    return plain and [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]
+
+
+def stage_table(df: DataFrame, table: str, file_format: str = "parquet", name: str | None = None) -> str:
+    """Writes a second table beside `table`, in a folder of its own, which `publish_table` can hand over."""
+    spark, stage = df.sparkSession, name or beside(table)
+    writer = df.write.format(file_format)
+    if _takes_location(spark, table, df.schema, file_format):
+        folder = _definition(spark, table).location().toString().rstrip("/").split("__v_")[0]
+        writer = writer.option("path", f"{folder}__v_{uuid.uuid4().hex}")
+    writer.saveAsTable(stage)
+    return stage
 
 
-def overwrite_in_place(df: DataFrame, table: str, dynamic: bool = False) -> None:
-    """Replace the rows of a table by a frame that reads it: the frame is written out first."""
+def drop_stage(spark: SparkSession, stage: str) -> None:
+    """A stage that is not published, with its folder."""
+    if spark.catalog.tableExists(stage):
+        path = _path(spark, _definition(spark, stage).location().toString())
+        spark.sql(f"DROP TABLE {stage}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def publish_table(spark: SparkSession, stage: str, table: str) -> None:
+    """The stage becomes the table. Whatever fails, the old table can be read, or the new one.
+
+    If the table takes a location, one catalog change points it at the new folder; the old folder goes last. Other tables
+    are renamed, not dropped, until the new one has their name; `restore_table` undoes a swap that was cut off.
+    """
+    restore_table(spark, table)
+    found = _definition(spark, stage)
+    file_format = found.provider().get().lower() if found.provider().isDefined() else ""
+    if "__v_" in found.location().toString() and _takes_location(spark, table, spark.table(stage).schema, file_format):
+        old = _definition(spark, table).location().toString()
+        new = found.location().toString().replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {stage}")  # an external table: its files stay
+        path = _path(spark, old)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+        return
+    old = beside(table, OLD)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def restore_table(spark: SparkSession, table: str) -> bool:
+    """Gives a table back its name if a swap ended between its two renames."""
+    if spark.catalog.tableExists(table):
+        return False
+    database, _, name = table.replace("`", "").rpartition(".")
+    # Names in the catalog are lower case.
+    names = [t.name for t in spark.catalog.listTables(database or None, f"{name.lower()}__{OLD}*")]
+    if not names:
+        return False
+    spark.sql(f"ALTER TABLE {database + '.' if database else ''}{sorted(names)[-1]} RENAME TO {table}")
+    return True
+
+
+def overwrite_in_place(df: DataFrame, table: str) -> None:
+    """Replace the rows of a table by a frame that may read it; the definition stays. The frame is written out first."""
     spark = df.sparkSession
-    stage = f"{table.removesuffix('`')}__{uuid.uuid4().hex[:8]}{'`' * table.endswith('`')}"
+    if _definition(spark, table).provider().isDefined():
+        kept = spark.table(table).schema
+        typed = df.select(*[F.col(f"`{c}`").cast(f.dataType).alias(f.name) for c, f in zip(df.columns, kept)])
+        file_format = _definition(spark, table).provider().get().lower()
+        if _takes_location(spark, table, typed.schema, file_format):
+            publish_table(spark, stage_table(typed, table, file_format), table)
+            return
+    stage = beside(table)
     df.write.format("parquet").saveAsTable(stage)
     # insertInto takes the mode from the session only.
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic" if dynamic else "static")
+    spark.conf.set(name, "static")
     try:
         spark.table(stage).write.insertInto(table, overwrite=True)
     finally:
@@ -77,7 +166,6 @@ def overwrite_in_place(df: DataFrame, table: str, dynamic: bool = False) -> None
 
 # ---------------------------------------------------------------- changed rows
 
-FILE_FORMATS = {"parquet", "orc"}
 JOURNAL = "_rewrite-"  # names with an underscore in front are no data to Spark
 
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import pathlib
 
 import pytest
 
@@ -264,6 +265,61 @@ def test_only_files_with_a_matching_row_are_written_anew(spark, changed_table):
     assert sorted((r.id, r.s) for r in spark.table(changed_table).collect()) == [(i, "x" if i in (0, 9) else str(i)) for i in range(10) if i not in (2, 3)]
 
 
+def _rows(spark, table):
+    spark.catalog.refreshTable(table)
+    return sorted(tuple(r) for r in spark.table(table).collect())
+
+
+@pytest.mark.parametrize("other_columns", [False, True])
+@pytest.mark.parametrize("step", range(4))
+def test_a_failed_publish_leaves_a_whole_table(spark, changed_table, monkeypatch, step, other_columns):
+    """Each statement of the publish in turn fails, or the run ends right before it."""
+    from millrace.sinks import tables
+
+    old = _rows(spark, changed_table)
+    new = spark.range(3).selectExpr("id", "'n' as s", "true as even", *(["1 as more"] if other_columns else []))
+    stage = tables.stage_table(new, changed_table)
+    plain, seen = type(spark).sql, []
+
+    def sql(self, text, *rest, **named):
+        if text.startswith(("ALTER", "DROP")):
+            seen.append(text)
+            if len(seen) == step + 1:
+                raise RuntimeError("lost")
+        return plain(self, text, *rest, **named)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    try:
+        tables.publish_table(spark, stage, changed_table)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    tables.restore_table(spark, changed_table)
+    assert _rows(spark, changed_table) in (old, [tuple(r) for r in new.collect()])
+    tables.drop_stage(spark, stage) if step == 0 else None
+
+
+def test_a_swap_cut_off_is_undone(spark, changed_table):
+    from millrace.sinks import tables
+
+    old = _rows(spark, changed_table)
+    spark.sql(f"ALTER TABLE {changed_table} RENAME TO {changed_table}__{tables.OLD}1")
+    assert tables.restore_table(spark, changed_table) and not tables.restore_table(spark, changed_table)
+    assert _rows(spark, changed_table) == old
+
+
+def test_published_table_moves_once_and_leaves_no_folder(spark, changed_table):
+    from millrace.sinks.tables import write_table
+
+    root = pathlib.Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    for operation in ("replace", "truncate", "truncate"):
+        write_table(spark.table(changed_table).where("id > 6"), changed_table, operation)  # reads the table that it replaces
+        assert [r[0] for r in _rows(spark, changed_table)] == [7, 8, 9]
+        assert len([f for f in root.iterdir() if f.name.startswith(changed_table)]) == 1
+    spark.sql(f"INSERT INTO {changed_table} VALUES (1, 'x', true)")
+    assert spark.table(changed_table).count() == 4
+
+
 def test_an_interrupted_change_is_completed(spark, changed_table, monkeypatch):
     from millrace.operators.mutate import delete_where
     from millrace.sinks import tables
