@@ -1,20 +1,23 @@
-"""Dense row index and order checks, both on balanced range buckets."""
+"""Dense row index and order checks, both on ranges of similar size.
+
+A window without a partition key pulls all rows into one task, and a window on a key pulls a hot key
+into one task. Here rows are cut along the full sort key by Spark's range partitioning.
+"""
 
 from __future__ import annotations
 
 import itertools
-from functools import reduce
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import bucket_of, range_cuts, sort_form
 from millrace.operators.skew import plan_bytes
 from millrace.session import store
 
 PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 65_536
-
+ROWS_PER_SEGMENT = 500_000
 
 PART_BITS = 33  # monotonically_increasing_id: partition number above, place in the partition below
 
@@ -49,68 +52,59 @@ def flag_out_of_order(
     decreasing: bool = False,
     strictly: bool = False,
     rows_per_bucket: int | None = None,
-    cuts: list[tuple] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Adds a boolean: the row breaks the order against the last non-null value before it.
 
-    A partition that spans several buckets gets its carried value from a table with at most one
-    row per bucket and spanning partition.
+    Rows with equal order keys follow each other in the order that breaks least: rising for an increasing
+    check, falling for a decreasing one. So the answer does not depend on where rows lie, but that of rows
+    alike in keys and value any one may be the first. `rows` saves the count, if the caller knows it.
+
+    The rows are cut into segments along partition columns, order columns, value and the partition they
+    come from, so neither a hot partition nor a hot order key, nor copies of one row, fill a segment.
+    A segment is summed up by its last non-null value; summaries merge from left to right, whatever the cut,
+    and what a segment inherits enters it as one more row in front.
     """
     parts = partition_by or []
-    keys = [*parts, *order_by]
-    if cuts is None:
-        cuts = range_cuts(df, keys, rows_per_bucket)
-    bucketed = df.withColumn("_bucket", bucket_of(df, keys, cuts))
-    window = Window.partitionBy("_bucket", *parts).orderBy(*order_by)
-    before = F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
-    seen = bucketed.withColumn("_before", before)
-    if cuts:
-        seen = _carry(bucketed, seen, column, order_by, parts, cuts)
-    value, previous = F.col(column), F.col("_before")
+    value = F.col(column)
+    if rows is None:
+        rows = df.count()
+    segments = min(MAX_PARTITIONS, math.ceil(rows / (rows_per_bucket or ROWS_PER_SEGMENT)))
+    along = [*parts, *order_by, value.desc() if decreasing else value.asc()]
+    if segments <= 1:
+        cut, along = df.withColumn("_segment", F.lit(0)), along[len(parts):]
+    else:
+        cut, along = _segments(df, column, parts, along, segments), ["_at"]
+    window = Window.partitionBy("_segment", *parts).orderBy(*along)
+    previous = F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+    seen = cut.withColumn("_before", previous)
+    if segments > 1:
+        seen = seen.where("_at >= 0").drop("_at")
+    before = F.col("_before")
     if decreasing:
-        broken = value >= previous if strictly else value > previous
+        broken = value >= before if strictly else value > before
     else:
-        broken = value <= previous if strictly else value < previous
-    return seen.withColumn(flag, F.coalesce(broken, F.lit(False))).drop("_before", "_bucket")
-
-
-def _carry(bucketed, seen, column, order_by, parts, cuts):
-    """Fill `_before` at the head of a bucket with the last value of the same partition."""
-    types = dict(bucketed.dtypes)
-    spanning = bucketed.where(F.col(column).isNotNull())
-    if parts:
-        # Only a partition that a cut point lies in can cross a bucket edge.
-        form = [c.alias(f"_h{i}") for i, c in enumerate(sort_form(bucketed, parts))]
-        kinds = bucketed.select(*form).schema
-        heads = list(dict.fromkeys(c[: len(form)] for c in cuts))
-        table = F.broadcast(bucketed.sparkSession.createDataFrame(heads, kinds))
-        on = reduce(lambda x, y: x & y, [f.eqNullSafe(table[k]) for f, k in zip(form, kinds.names)])
-        spanning = spanning.join(table, on, "left_semi")
-    ends = spanning.groupBy("_bucket", *parts).agg(
-        F.max_by(column, F.struct(*order_by)).alias("_last")
-    ).collect()
-    state: dict[tuple, list] = {}
-    for row in ends:
-        state.setdefault(tuple(row[p] for p in parts), []).append((row["_bucket"], row["_last"]))
-    carried = []
-    for part, items in state.items():
-        items.sort()
-        known = dict(items)
-        last = None
-        for bucket in range(items[0][0], len(cuts) + 1):
-            if last is not None:
-                carried.append((bucket, *part, last))
-            last = known.get(bucket, last)
-            if parts and bucket > items[-1][0]:
-                break
-    if not carried:
-        return seen
-    names = ["_b", *[f"_p{i}" for i in range(len(parts))], "_carried"]
-    fields = ["_b int", *[f"_p{i} {types[p]}" for i, p in enumerate(parts)], f"_carried {types[column]}"]
-    table = bucketed.sparkSession.createDataFrame(carried, ", ".join(fields)).toDF(*names)
-    on = F.col("_bucket") == F.col("_b")
-    for i, p in enumerate(parts):
-        on = on & F.col(p).eqNullSafe(F.col(f"_p{i}"))
-    # At most MAX_BUCKETS rows per spanning partition, and each cut belongs to one partition.
-    joined = seen.join(F.broadcast(table), on, "left")
-    return joined.withColumn("_before", F.coalesce("_before", "_carried")).drop(*names)
+        broken = value <= before if strictly else value < before
+    return seen.withColumn(flag, F.coalesce(broken, F.lit(False))).drop("_before", "_segment")
+
+
+def _segments(df: DataFrame, column: str, parts: list[str], along: list, segments: int) -> DataFrame:
+    """The rows with `_segment` and `_at`, their place, and per segment a row with the place -1 that holds
+    the last non-null value before the segment with its partition.
+
+    The sorted rows are stored, so both passes see the same segments. The window without a key runs over
+    one row per segment, at most MAX_PARTITIONS.
+    """
+    # Equal rows are told apart by their partition, which stays the same if a lost task runs again.
+    along = [*along, F.col("_from")]
+    placed = df.withColumn("_from", F.spark_partition_id()).repartitionByRange(segments, *along)
+    placed = placed.sortWithinPartitions(*along).drop("_from")
+    stored = store(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    cut = stored.withColumn("_segment", F.shiftright("_at", PART_BITS))
+    held = list(dict.fromkeys([*parts, column]))
+    last = F.max_by(F.struct(*held), F.when(F.col(column).isNotNull(), F.col("_at")))
+    ends = cut.groupBy("_segment").agg(last.alias("_last"))
+    before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_last", F.last("_last", ignorenulls=True).over(before)).where("_last is not null")
+    carried = carried.select("_last.*", "_segment", F.lit(-1).cast("long").alias("_at"))
+    return cut.unionByName(carried, allowMissingColumns=True)

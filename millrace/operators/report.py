@@ -19,7 +19,6 @@ from millrace.operators import rules as R
 from millrace.operators.mapping import many_to_one_summary, one_to_one_summary
 from millrace.operators.order import flag_out_of_order
 from millrace.operators.quantiles import exact_quantiles
-from millrace.operators.ranges import range_cuts
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile_totals
 from millrace.operators.skew import HOT_KEYS, fits_broadcast, join_unique
 from millrace.session import store
@@ -68,7 +67,6 @@ class CheckRun:
     source: DataFrame | None = None
     audit_columns: bool = True
     rules: dict[int, object] = field(default_factory=dict)
-    _cuts: dict[tuple, list] = field(default_factory=dict)
     _repeated: dict[tuple, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -214,14 +212,13 @@ class CheckRun:
             frames.append(one.select(F.inline(F.array(fact))))
         return frames
 
+    @cached_property
+    def _rows(self) -> int:
+        return self.df.count()
+
     def _order_flag(self, df: DataFrame, rule: R.OrderRule, flag: str) -> DataFrame:
-        """Checks along the same order share their cut points."""
-        keys = (*rule.partition_by, *rule.order_by)
-        at = (keys, rule.rows_per_bucket)
-        if at not in self._cuts:
-            self._cuts[at] = range_cuts(self.df, list(keys), rule.rows_per_bucket)
         return flag_out_of_order(
-            df, rule.column, rule.order_by, rule.partition_by, flag, rule.decreasing, rule.strictly, cuts=self._cuts[at]
+            df, rule.column, rule.order_by, rule.partition_by, flag, rule.decreasing, rule.strictly, rule.rows_per_bucket, self._rows
         )
 
     def _other(self, row: CheckRow) -> DataFrame:

@@ -129,6 +129,21 @@ check_query(
     Case("column_values_to_be_decreasing", {"column": "value", "order_by": ["event_id"], "partition_by": ["user_id"], "rows_per_bucket": 2000}, "value",
          "value is null", "value > user_before", base=EVENTS_PREV),
 )
+TIED = Shape("events", "case when event_id % 2 = 0 then 0 else event_id % 1000 end as place", "user_id", "event_type",
+             "case when event_id % 11 = 0 then null when event_id % 4 = 0 then 0.5 else value end as value")
+TIED_PREV = f"""SELECT *, last_value(value ignore nulls) over (order by place, value rows between unbounded preceding and 1 preceding) as before,
+    last_value(value ignore nulls) over (order by place, value desc rows between unbounded preceding and 1 preceding) as above,
+    last_value(value ignore nulls) over (partition by event_type order by place, value rows between unbounded preceding and 1 preceding) as type_before
+    FROM ({TIED.sql}) x"""
+check_query(
+    "chk_increasing_ties", TIED,  # half of all rows share one place, half of those one value too
+    Case("column_values_to_be_increasing", {"column": "value", "order_by": "place", "rows_per_bucket": 1000}, "value", "value is null",
+         "value < before", threshold=1, base=TIED_PREV),
+    Case("column_values_to_be_decreasing", {"column": "value", "order_by": "place", "rows_per_bucket": 1000}, "value", "value is null",
+         "value > above", base=TIED_PREV),
+    Case("column_values_to_be_increasing", {"column": "value", "order_by": "place", "partition_by": "event_type", "strictly": True, "rows_per_bucket": 700},
+         "value", "value is null", "value <= type_before", base=TIED_PREV),
+)
 CONV = Shape("conversations", "conv_id", "role", "case when conv_id % 7 = 0 and turn = 2 then 0 else turn end as turn", "turn as place")
 check_query(
     "chk_increasing_turns", CONV,

@@ -1,59 +1,11 @@
-"""Range buckets, dense index, order checks and quantiles against brute force."""
+"""Dense index, order checks and quantiles against brute force."""
 
 import random
-import subprocess
-import sys
 
 import numpy as np
 import pytest
-from pyspark import cloudpickle
-
 from millrace.operators import quantiles as Q
 from millrace.operators.order import flag_out_of_order, row_index
-from millrace.operators.ranges import bucket_of, cut_search, range_cuts
-
-
-def test_buckets_follow_the_key(spark):
-    """Any types, nulls first, and balance inside a hot leading value."""
-    df = spark.range(10_000).selectExpr(
-        "case id % 4 when 0 then null when 1 then 'x' else 'é' end as a", "id % 2 = 0 as b", "cast(id * 7919 % 10007 as double) / 7 as c"
-    )
-    cuts = range_cuts(df, ["a", "b", "c"], rows_per_bucket=100)
-    out = df.withColumn("bucket", bucket_of(df, ["a", "b", "c"], cuts)).orderBy("a", "b", "c").collect()
-    buckets = [r["bucket"] for r in out]
-    assert buckets == sorted(buckets)
-    assert 50 < len(cuts) < 110
-    assert np.bincount(buckets).max() < 400
-
-
-@pytest.mark.parametrize("kind", [
-    "cast(id as bigint)", "cast(id - 500 as smallint)", "cast(id as decimal(20,3)) / 7", "date_add(date'1969-12-01', cast(id as int))",
-    "timestamp_micros(id * 123456789 - 10000000000)", "timestamp_ntz'1969-12-31 23:00:00.5' + make_interval(0,0,0,0,0,0,id * 7.25)",
-    "cast(id as string)", "case when id % 10 = 0 then double('NaN') when id % 10 = 1 then double('Infinity') else id div 5 - 100 end", "id % 2 = 0", "cast(id as float)",
-    "cast(id div 3 as decimal(12,2)) / 8", "cast(id div 3 as decimal(38,10))", "timestamp_ntz'2024-03-31 02:59:59' + make_interval(0,0,0,0,0,0,id div 2 / 1000)",
-])
-def test_bucket_order_by_type(spark, kind):
-    df = spark.range(1000).selectExpr(f"case when id % 9 = 0 then null else {kind} end as k", "id")
-    cuts = range_cuts(df, ["k", "id"], rows_per_bucket=25)
-    out = df.withColumn("bucket", bucket_of(df, ["k", "id"], cuts)).orderBy("k", "id").collect()
-    buckets = [r["bucket"] for r in out]
-    assert buckets == sorted(buckets) and max(buckets) > 20
-
-
-def test_search_needs_no_package_on_executors():
-    """Executors may have numpy and pyarrow only."""
-    code = (
-        "import sys, pickle, pyarrow as pa; f = pickle.loads(sys.stdin.buffer.read());"
-        "print(f(pa.array([0, 5, None, 9]), pa.array(['a', 'b', 'c', None])).to_pylist()); assert 'millrace' not in sys.modules"
-    )
-    search = cloudpickle.dumps(cut_search([(None, "d"), (5, "a"), (5, "b"), (7, None)]))
-    done = subprocess.run([sys.executable, "-c", code], input=search, capture_output=True, cwd="/", env={"PATH": "/usr/bin:/bin"})
-    assert done.stdout.decode().strip() == "[1, 3, 0, 4]", done.stderr.decode()
-
-
-def test_no_cuts_for_few_rows(spark):
-    assert range_cuts(spark.range(10), ["id"]) == []
-    assert range_cuts(spark.range(0), ["id"], 5) == []
 
 
 @pytest.mark.parametrize("buckets", [None, 1, 37])
@@ -108,6 +60,38 @@ def test_out_of_order_without_partition(spark, per_bucket):
     assert {(0, r["o"]) for r in got if r["bad"]} == brute(data, False, False)
 
 
+@pytest.mark.parametrize("per_segment", [None, 40, 200])
+@pytest.mark.parametrize("decreasing, strictly", [(False, False), (False, True), (True, False), (True, True)])
+def test_ties_follow_the_least_breaking_order(spark, per_segment, decreasing, strictly):
+    """Half of all rows share one order key, and most of those one value too."""
+    rnd = random.Random(11)
+    data = [(i, 7 if i % 2 else rnd.randint(0, 20), None if rnd.random() < 0.1 else 5 if i % 4 == 1 else rnd.randint(0, 9)) for i in range(2000)]
+    df = spark.createDataFrame(data, "i long, o int, v int").repartition(6)
+    got = flag_out_of_order(df, "v", ["o"], None, "bad", decreasing, strictly, per_segment).collect()
+    assert sorted(r["i"] for r in got) == list(range(2000))
+    last, want = None, []
+    for _, o, v in sorted((t for t in data if t[2] is not None), key=lambda t: (t[1], -t[2] if decreasing else t[2])):
+        if last is not None and not ((v < last if strictly else v <= last) if decreasing else (v > last if strictly else v >= last)):
+            want.append((o, v))
+        last = v
+    assert sorted((r["o"], r["v"]) for r in got if r["bad"]) == sorted(want)
+
+
+def test_segments_split_one_hot_order_key(spark, monkeypatch):
+    """190,000 of 200,000 rows alike: no segment holds more than a few shares. No Python in the plan."""
+    from millrace.operators import order
+
+    kept = {}
+    real = order.store
+    monkeypatch.setattr(order, "store", lambda df, label: kept.setdefault("df", real(df, label)))
+    df = spark.range(0, 200_000, 1, 40).selectExpr("if(id % 20 = 0, id, 1) as o", "1 as v")
+    got = flag_out_of_order(df, "v", ["o"], rows_per_bucket=10_000, strictly=True)
+    assert "Python" not in got._jdf.queryExecution().toString()
+    assert got.where("_out_of_order").count() == 199_999
+    sizes = [r["count"] for r in kept["df"].groupBy((kept["df"]["_at"] / 2**33).cast("int").alias("s")).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 30_000
+
+
 @pytest.mark.parametrize("fetch", [10, 200, 10**6])
 def test_exact_quantiles(spark, fetch, monkeypatch):
     monkeypatch.setattr(Q, "ACCURACY", 50)
