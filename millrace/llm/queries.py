@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import In
 
 from millrace.llm import alignment, chat, decontaminate, embeddings, lines, materialise, merkle, packing, quality, simhash, suffixes, urls, warc
 from millrace.llm.tokens import token_ids
@@ -56,7 +57,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.register(spark)
     path = scratch_dir(spark, "warc")
     warc.records_of(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
-    found = spark.read.format("warc").option("decode", "response").load(path).where(F.col("record_type").isin("response", "revisit"))
+    found = warc.read_archive(spark, path, [In(("record_type",), ("response", "revisit"))], decode=["response"])
     read = F.col("payload").isNotNull()
     number = lambda name: F.regexp_extract(name, r"^urn:page:(-?\d+)$", 1)
     return found.select(

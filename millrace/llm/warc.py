@@ -2,17 +2,19 @@
 
 Reading. `path` is a folder, one file or several (comma); files are dealt out in partitions of about
 `split_bytes`. Records are read header first. Predicates on `record_type` and the other header
-columns are pushed down (set `spark.sql.python.filterPushdown.enabled`) and tested on the header; the
+columns are given with the load (`read_archive`, or the option `predicates`) and tested on the header; the
 payload of an unwanted record is neither inflated nor decoded: its length is skipped, by the member
 size kept in the gzip extra field of our own files, or by Content-Length in plain ones. `decode`
 names the record types whose payload is wanted (default all; empty: none).
 
-Load the archive anew for each set of predicates: Spark 4.1 keeps the reader that was last given some, so
-a second query on the same DataFrame may be answered with the predicates of the first.
+With the option `pushdown` the predicates of a query's WHERE are taken as well (`register` allows it). It is
+off unless asked for, as Spark 4.1 keeps the reader that was last given some: a frame so loaded serves one
+query, a second one may be answered with the predicates of the first. Other frames serve any number.
 
 Writing. One gzip member per record, files of at most `file_bytes`. Tasks write under names of their
-own in `_temporary`; the commit, which Spark runs once, moves the files of the tasks that won, so a
-lost or repeated task leaves nothing behind in the archive.
+own in a folder of the write job; the commit, which Spark runs once, moves the files of the tasks that won and
+deletes that folder, so a lost or repeated task leaves nothing behind in the archive, and several jobs may
+append at once. A job that overwrites deletes what was committed before its own commit.
 
 Files are reached through `pyarrow.fs` (local, HDFS, S3, GCS), never by `open`.
 
@@ -24,6 +26,7 @@ raises an error.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -249,18 +252,36 @@ class Files(InputPartition):
         self.paths = paths
 
 
+def predicates_text(predicates: list[Filter]) -> str:
+    """Predicates on header columns as the option `predicates`."""
+    out = []
+    for f in predicates:
+        if not _supported(f):
+            raise ValueError(f"no predicate on the header: {f}")
+        turned = isinstance(f, Not)
+        f = f.child if turned else f
+        out.append([type(f).__name__, f.attribute[0], getattr(f, "value", None), turned])
+    return json.dumps(out)
+
+
+def _predicates(text: str) -> list[Filter]:
+    kinds = {kind.__name__: kind for kind in _TESTS}
+    found = []
+    for name, column, value, turned in json.loads(text):
+        kind = kinds[name]
+        test = kind((column,)) if kind in (IsNull, IsNotNull) else kind((column,), tuple(value) if kind is In else value)
+        found.append(Not(test) if turned else test)
+    return found
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.paths = [p for p in options.get("path", "").split(",") if p]
         self.split_bytes = int(options.get("split_bytes", 64 << 20))
         self.decode = None if "decode" not in options else {x for x in options["decode"].split(",") if x}
-        self.filters: list[Filter] = []
+        self.filters = _predicates(options.get("predicates", "[]"))
         self.names = [f.name for f in schema.fields]
 
-    def pushFilters(self, filters: list[Filter]):
-        self.filters = [f for f in filters if _supported(f)]
-        return [f for f in filters if not _supported(f)]
-
     def partitions(self) -> list[Files]:
         files = []
         for path in self.paths:
@@ -295,6 +316,12 @@ class WarcReader(DataSourceReader):
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+class PushingReader(WarcReader):
+    def pushFilters(self, filters: list[Filter]):
+        self.filters = self.filters + [f for f in filters if _supported(f)]
+        return [f for f in filters if not _supported(f)]
+
+
 @dataclass
 class Written(WriterCommitMessage):
     names: list[str]
@@ -306,10 +333,11 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path, self.overwrite = options["path"], overwrite
         self.file_bytes = int(options.get("file_bytes", 64 << 20))
+        self.folder = f"_temporary-{uuid.uuid4().hex}"  # of this job; tasks and the commit get a copy of the writer
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = _place(self.path)
-        fs.create_dir(f"{root}/_temporary", recursive=True)
+        fs.create_dir(f"{root}/{self.folder}", recursive=True)
         names: list[str] = []
         out = None
         for batch in iterator:
@@ -318,7 +346,7 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is not None:
                         out.close()
                     names.append(f"{uuid.uuid4().hex}.warc.gz")
-                    out = fs.open_output_stream(f"{root}/_temporary/{names[-1]}", compression=None)
+                    out = fs.open_output_stream(f"{root}/{self.folder}/{names[-1]}", compression=None)
                 out.write(_member(self._record(row)))
         if out is not None:
             out.close()
@@ -349,16 +377,16 @@ class WarcWriter(DataSourceArrowWriter):
                     fs.delete_file(x.path)
         names = [n for m in messages if m for n in m.names]
         for name in names:
-            fs.move(f"{root}/_temporary/{name}", f"{root}/{name}")
+            fs.move(f"{root}/{self.folder}/{name}", f"{root}/{name}")
         fs.create_dir(root, recursive=True)
-        if fs.get_file_info(f"{root}/_temporary").type != pafs.FileType.NotFound:
-            fs.delete_dir(f"{root}/_temporary")
+        self._clear(fs, root)
 
     def abort(self, messages: list[Written | None]) -> None:
-        fs, root = _place(self.path)
-        for m in messages:
-            for name in m.names if m else []:
-                fs.delete_file(f"{root}/_temporary/{name}")
+        self._clear(*_place(self.path))
+
+    def _clear(self, fs: pafs.FileSystem, root: str) -> None:
+        if fs.get_file_info(f"{root}/{self.folder}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{root}/{self.folder}")
 
 
 class Warc(DataSource):
@@ -370,7 +398,8 @@ class Warc(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader(dict(self.options), schema)
+        kind = PushingReader if self.options.get("pushdown", "false").lower() == "true" else WarcReader
+        return kind(dict(self.options), schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
         return WarcWriter(dict(self.options), overwrite)
@@ -381,6 +410,14 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def read_archive(spark: SparkSession, path: str, predicates: list[Filter] = (), decode: list[str] | None = None) -> DataFrame:
+    """The records that hold all `predicates`; only payloads of the types in `decode` (None: all) are decoded."""
+    reader = spark.read.format("warc").option("predicates", predicates_text(list(predicates)))
+    if decode is not None:
+        reader = reader.option("decode", ",".join(decode))
+    return reader.load(path)
+
+
 def records_of(pages: DataFrame, revisit_bytes: int = 1000) -> DataFrame:
     """Records of `pages` (page_id, url, html), rows of SCHEMA; equal payloads of `revisit_bytes` or more are kept once.
 

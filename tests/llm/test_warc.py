@@ -5,7 +5,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import EqualTo, In, IsNull, Not, StringContains
+from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNull, Not, StringContains, StringStartsWith
 
 from millrace.llm import warc
 from millrace.session import scratch_dir
@@ -44,10 +44,15 @@ def test_round_trip(spark, pages, archive):
 
 
 def test_pushed_predicates_skip_payloads(spark, archive):
-    found = spark.read.format("warc").load(archive).where("record_type = 'revisit' and target_uri like 'http://a%'")
+    pushing = lambda: spark.read.format("warc").option("pushdown", "true").load(archive)
+    found = pushing().where("record_type = 'revisit' and target_uri like 'http://a%'")
     assert [r.record_id for r in found.collect()] == ["urn:page:1"]
+    given = [EqualTo(("record_type",), "revisit"), StringStartsWith(("target_uri",), "http://a"), Not(IsNull(("refers_to",))), GreaterThan(("payload_length",), 5)]
+    assert [r.record_id for r in warc.read_archive(spark, archive, given).collect()] == ["urn:page:1"]
+    with pytest.raises(ValueError):
+        warc.read_archive(spark, archive, [EqualTo(("payload",), b"x")])
     asked, undone = [], []
-    files = warc.WarcReader({"path": archive}, warc.Warc({}).schema() and spark.read.format("warc").load(archive).schema)
+    files = warc.PushingReader({"path": archive}, warc.Warc({}).schema() and spark.read.format("warc").load(archive).schema)
     rest = list(files.pushFilters([EqualTo(("record_type",), "revisit"), EqualTo(("payload",), b"x"), Not(IsNull(("target_uri",))), Not(EqualTo(("date",), ""))]))
     assert len(files.filters) == 2 and len(rest) == 2
     for part in files.partitions():
@@ -59,13 +64,22 @@ def test_pushed_predicates_skip_payloads(spark, archive):
 
 
 def test_filters_mean_what_sql_means(spark, archive):
-    load = lambda: spark.read.format("warc").load(archive)
+    load = lambda: spark.read.format("warc").option("pushdown", "true").load(archive)
     plain = spark.createDataFrame(load().collect(), load().schema)
     for test in ["target_uri is null", "target_uri is not null and record_type in ('response', 'x')", "payload_length > 1000", "not (refers_to = 'a')",
                  "payload_length <= 5 or refers_to is null", "target_uri like '%c%'", "refers_to <=> null", "target_uri >= 'http://c'"]:
         assert load().where(test).count() == plain.where(test).count(), test
 
 
+def test_one_frame_serves_many_queries(spark, archive):
+    found = spark.read.format("warc").load(archive)
+    few, many = found.where("record_type = 'revisit'"), found.where("record_type = 'response'")
+    assert (few.count(), many.count(), found.count()) == (2, 10, 12)
+    assert few.unionAll(many).count() == 12
+    some = warc.read_archive(spark, archive, [EqualTo(("record_type",), "revisit")], decode=[])
+    assert some.where("target_uri like 'http://a%'").count() == 1 and some.count() == 2
+
+
 @pytest.mark.parametrize("kind", ["plain", "gzip members", "one gzip stream of many reads"])
 def test_files_of_others(tmp_path, kind):
     records = [warc.record_bytes({"WARC-Type": t, "WARC-Record-ID": f"<urn:{i}>"}, b"B" * n) for i, (t, n) in
@@ -100,7 +114,17 @@ def test_commit_keeps_only_winning_tasks(tmp_path):
     assert got == ["<won>"]
     gone = writer.write(batch("gone"))
     writer.abort([gone, None])
-    assert not [x for x in (tmp_path / "_temporary").iterdir()]
+    assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_two_writers_into_one_archive(tmp_path):
+    batch = lambda n: iter([pa.RecordBatch.from_pylist([{"record_type": "response", "record_id": n, "payload": b"x"}])])
+    first, second = (warc.WarcWriter({"path": f"file://{tmp_path}"}, overwrite=False) for _ in range(2))
+    done = [(w, [w.write(batch(f"{n}{i}")) for i in range(2)]) for n, w in (("a", first), ("b", second))]
+    for writer, messages in done:
+        writer.commit(messages)
+    got = sorted(f["warc-record-id"] for x in tmp_path.iterdir() for f, _ in warc.read_records(str(x)))
+    assert got == ["<a0>", "<a1>", "<b0>", "<b1>"]
 
 
 def test_no_pages(spark, pages):
