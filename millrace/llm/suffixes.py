@@ -354,11 +354,13 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame, text_keys: DataFrame) -> Dat
     names = ["gram", "around", "n", "variants", "row", "start"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
+        met: set[tuple[int, int]] = set()
         for batch in batches:
-            keys = list(zip(batch.column("key1").to_pylist(), batch.column("key2").to_pylist()))
-            mine = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else before)]  # copies stand together; more would do no harm
-            before = keys[-1] if keys else before
+            mine = []
+            for i, k in enumerate(zip(batch.column("key1").to_pylist(), batch.column("key2").to_pylist())):
+                if k not in met:  # of the copies of a text in one task only the first is cut
+                    met.add(k)
+                    mine.append(i)
             batch = batch.take(pa.array(mine, pa.int64()))
             lists = batch.column("wanted")
             some = lists.flatten()
@@ -436,7 +438,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     )
     repeated, settled, open_ = _settled_and_open(anchors)
     text_keys = table.select("row", "key1", "key2")
-    windows = store(_with_bytes(docs, open_, text_keys), "surroundings-bytes")
+    # Copies of a text lie in many tasks and each yields the same surroundings.
+    windows = store(_with_bytes(docs, open_, text_keys).dropDuplicates(["gram", "around"]), "surroundings-bytes")
     spans = store(settled.unionByName(_in_shards(windows, length, shard_bytes)), "spans-in-surroundings")
     spans = spans.select(F.col("gram").alias("g"), F.col("around").alias("a"), "lo", "hi")
     hits = repeated.join(spans, (F.col("gram") == F.col("g")) & (F.col("around") == F.col("a")))

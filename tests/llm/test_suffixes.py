@@ -52,6 +52,24 @@ def test_against_every_string(spark, copies, shard_bytes):
     assert got == naive(copies, 200)
 
 
+def test_copies_between_other_texts_give_each_window_once(spark, text_of, monkeypatch):
+    """A text that is a third of all rows, never beside a copy of itself, shares a passage with others."""
+    passage = text_of(900, 90)[:420]
+    hot = text_of(901, 60) + passage + text_of(902, 60)
+    rows = []
+    for i in range(150):
+        other = text_of(i, 60)
+        rows += [(3 * i, other), (3 * i + 1, hot), (3 * i + 2, passage + other if i < 3 else text_of(400 + i, 50))]
+    kept = {}
+    real = suffixes.store
+    monkeypatch.setattr(suffixes, "store", lambda df, label: kept.setdefault(label, real(df, label)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in suffixes.remove_repeats(docs).collect()), key=repr)
+    assert got == naive(rows, 200)
+    windows = kept["surroundings-bytes"]
+    assert 0 < windows.count() == windows.select("gram", "around").distinct().count() == windows.select("gram", "text").distinct().count()
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = sorted((tuple(r) for r in suffixes.remove_repeats(odd_docs).collect()), key=repr)
     assert got == naive([(r.doc_id, r.text) for r in odd_docs.collect()], 200)
