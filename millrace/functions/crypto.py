@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,12 +27,17 @@ def decrypt(column: Column | str, key: Column) -> Column:
 
 
 def key_from_hex(text: str) -> Column:
-    return F.unhex(F.lit(text))
+    """The key as the one value of a subquery: plans, explain and event logs name the subquery, never the key."""
+    return SparkSession.active().createDataFrame([(bytes.fromhex(text),)], "secret binary").scalar()
 
 
 def derived_key(key: Column, purpose: str) -> Column:
-    """A second key for another purpose, so that the cipher key itself is not hashed with values."""
-    return F.unhex(F.sha2(F.concat(key, F.lit(purpose).cast("binary")), 256))
+    """A second key for another purpose, so that the cipher key itself is not hashed with values.
+
+    A subquery as well, so it is derived once, not per row.
+    """
+    digest = F.unhex(F.sha2(F.concat(key, F.lit(purpose).cast("binary")), 256))
+    return SparkSession.active().range(1).select(digest.alias("secret")).scalar()
 
 
 def encrypt_columns(df: DataFrame, columns: list[str], key: Column, joinable: bool = True) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -270,14 +272,21 @@ def recover(spark: SparkSession, table: str) -> int:
 # ---------------------------------------------------------------- databases
 
 
-def jdbc_catalog(spark: SparkSession, database: str, connection: dict) -> str:
-    """Make the database a Spark catalog, for existence and DROP. Returns the catalog's name."""
-    name = "db_" + re.sub(r"\W", "_", connection.get("connection_name") or database)
+@contextmanager
+def jdbc_catalog(spark: SparkSession, database: str, connection: dict) -> Iterator[str]:
+    """The database as a Spark catalog, for existence and DROP. Its settings, password included, leave the session
+    with the block, and no other use shares the catalog's name."""
+    name = f"db_{uuid.uuid4().hex}"
     prefix = f"spark.sql.catalog.{name}"
-    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
-    for key, value in connection_options(database, connection).items():
-        spark.conf.set(f"{prefix}.{key}", value)
-    return name
+    settings = {f"{prefix}.{key}": value for key, value in connection_options(database, connection).items()}
+    settings[prefix] = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield name
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def jdbc_write_plan(operation: str, exists: bool, table: str) -> tuple[str, dict[str, str]]:
@@ -298,13 +307,13 @@ def write_jdbc(df: DataFrame | None, database: str, target: dict, connection: di
     """The modes on a database table. `partitions` bounds the number of open connections."""
     spark = df.sparkSession if df is not None else SparkSession.active()
     table = table_name(target)
-    catalog = jdbc_catalog(spark, database, connection)
-    mode, extra = jdbc_write_plan(target["operation"], spark.catalog.tableExists(f"{catalog}.{table}"), table)
-    if mode == "drop":
-        spark.sql(f"DROP TABLE {catalog}.{table}")
-        return
-    if mode == "append" and target.get("operation") == "append":
-        require_columns(spark.table(f"{catalog}.{table}").columns, df.columns, table)
+    with jdbc_catalog(spark, database, connection) as catalog:
+        mode, extra = jdbc_write_plan(target["operation"], spark.catalog.tableExists(f"{catalog}.{table}"), table)
+        if mode == "drop":
+            spark.sql(f"DROP TABLE {catalog}.{table}")
+            return
+        if mode == "append" and target.get("operation") == "append":
+            require_columns(spark.table(f"{catalog}.{table}").columns, df.columns, table)
     options = {**connection_options(database, connection), **extra, "dbtable": table}
     options["numPartitions"] = str(target.get("partitions") or 16)
     if target.get("batch_size"):

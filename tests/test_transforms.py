@@ -1,6 +1,7 @@
 """Lookups, masks, encryption, update and delete, tables and databases."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from millrace.operators.mapping import many_to_one_violations, one_to_one_summar
 from millrace.operators.skew import broadcast_if_small, hot_keys, join_unique
 from millrace.operators.mutate import delete_where, update_where
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile
-from millrace.sinks.tables import TargetError, jdbc_write_plan, operation_name, write_table
+from millrace.sinks.tables import TargetError, jdbc_catalog, jdbc_write_plan, operation_name, write_table
 from millrace.sources.jdbc import connection_options, hash_slices, read_jdbc, table_name
 
 KEY = "000102030405060708090a0b0c0d0e0f"
@@ -86,6 +87,32 @@ def test_masks(spark, as_rows):
     assert mask_from_config(df, {}).first() == df.first()
 
 
+def test_no_password_stays_in_the_session(spark, monkeypatch):
+    monkeypatch.setenv("MILLRACE_SECRET_PW_TEST", "s3cret!")
+    connection = {"hostname": "h", "port": 1, "database": "d", "username": "u", "connection_name": "pw_test"}
+    with jdbc_catalog(spark, "postgres", connection) as name:
+        assert "s3cret!" in {spark.conf.get(f"spark.sql.catalog.{name}.{k}") for k in connection_options("postgres", connection)}
+    assert "s3cret!" not in spark._jsparkSession.conf().getAll().toString()
+    with pytest.raises(RuntimeError), jdbc_catalog(spark, "postgres", connection):
+        raise RuntimeError
+    assert "s3cret!" not in spark._jsparkSession.conf().getAll().toString()
+
+
+def test_no_plan_prints_the_key(spark):
+    """Neither the plan before nor after it ran, nor that of a frame made from it."""
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "s string")
+    key = key_from_hex(KEY)
+    nonce = hashlib.sha256(bytes.fromhex(KEY) + b"nonce").hexdigest()
+    out = encrypt_columns(df, ["s"], key)
+    back = decrypt_columns(out, ["s"], key)
+    assert [r["s"] for r in back.collect()] == ["a", None, "b"]
+    for frame in (out, back, back.groupBy("s").count(), spark.range(1).select(encrypt("id", key).alias("c"))):
+        frame.collect()
+        text = frame._jdf.queryExecution().toString().lower()
+        for secret in (KEY.lower(), nonce):
+            assert secret not in text and str(list(bytes.fromhex(secret)))[1:-1] not in text
+
+
 def test_encryption(spark):
     df = spark.createDataFrame([("a",), ("a",), ("ü long text",), (None,), ("",)], "s string")
     key = key_from_hex(KEY)
