@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from millrace.config import fill_date_placeholders, is_yes
 from millrace.functions.columns import all_strings, project
 from millrace.sinks import files as sink
+from millrace.sinks.payload import payload_batches
 from millrace.sinks.tables import (
     TargetError, drop_stage, operation_name, publish_table, require_columns, require_state, restore_table, stage_table, write_jdbc, write_table,
 )
 from millrace.sources import files as src
 from millrace.sources.jdbc import read_jdbc, table_name
 
+BATCH_ROWS = 1000
+
 
 def _path(spec: dict) -> str:
     return (spec.get("file_path") or "") + (spec.get("file_name") or "")
@@ -98,6 +101,27 @@ class FileTarget:
             sink.discard(self.spark, self.stage_path)
 
 
+class PayloadTarget(FileTarget):
+    """Request bodies for a REST service: a line of text per batch, a JSON array of at most `batch_rows` records.
+
+    The bodies are landed for whatever delivers them; nothing is sent from here.
+    """
+
+    def __init__(self, spark, target, path, append):
+        super().__init__(spark, target, "text", path, append)
+        self.batch_rows = int(target.get("batch_rows") or BATCH_ROWS)
+
+    def stage(self, df: DataFrame) -> int:
+        self.schema = df.schema
+        seen = Observation()
+        bodies = payload_batches(df, self.batch_rows).observe(seen, F.sum("rows").alias("rows"))
+        bodies.select("payload").write.text(self.stage_path)
+        return seen.get["rows"] or 0
+
+    def staged(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).json(self.stage_path)
+
+
 class TableTarget:
     """A catalog table, staged as a second table."""
 
@@ -184,6 +208,11 @@ def _file_target(file_type):
     return make
 
 
+def _payload_target(spark, t, connection):
+    path = (connection or {}).get("landing_path", "") + fill_date_placeholders(_path(t))
+    return PayloadTarget(spark, t, path, _appends(spark, t, path))
+
+
 def _dated_target(spark, t, connection):
     """Object store: a folder per load day; Parquet columns are written as text."""
     base = (connection or {}).get("base_url", "")
@@ -204,6 +233,7 @@ WRITERS = {
     "xml_write": _file_target("xml"),
     "orc_write": _file_target("orc"),
     "aws_s3_write": _dated_target,
+    "rest_api_write": _payload_target,
     "table_write": lambda spark, t, c: TableTarget(spark, t),
     "mysql_write": _jdbc_target("mysql"),
     "postgres_write": _jdbc_target("postgres"),

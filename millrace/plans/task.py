@@ -15,6 +15,7 @@ from millrace.plans.endpoints import open_target, read_source
 from millrace.plans.features import apply_features
 from millrace.plans.runstate import EventLog
 from millrace.session import store, stored_until_end
+from millrace.sinks.files import MICROS
 
 
 @dataclass
@@ -57,7 +58,7 @@ def write_split(run: CheckRun, path: str, file_type: str = "csv") -> None:
     flagged = run.flagged(run.rejecting)
     status = F.when(F.size("_dq_failed") > 0, "bad").otherwise("good")
     out = flagged.withColumn("dq_status", status).drop("_dq_failed")
-    out.write.mode("overwrite").partitionBy("dq_status").options(header=True, escape='"').format(file_type).save(path)
+    out.write.mode("overwrite").partitionBy("dq_status").options(header=True, escape='"', **MICROS).format(file_type).save(path)
 
 
 def run_task(

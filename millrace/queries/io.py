@@ -13,7 +13,7 @@ from millrace.session import scratch_dir
 from millrace.sinks.files import write_dated, write_files
 from millrace.sinks.payload import payload_batches
 from millrace.sinks.tables import write_table
-from millrace.sources.files import read_csv, read_json, read_orc, read_parquet, read_prefix, read_xml
+from millrace.sources.files import read_csv, read_json, read_orc, read_parquet, read_payload, read_prefix, read_xml
 from millrace.sources.manifest import file_manifest
 from millrace.streaming.ingest import ingest_stream, read_ingested
 
@@ -52,10 +52,10 @@ def src_csv_quoted(spark, sf_dir):
     return read_csv(spark, path, schema="doc_id long, text string, lang string, source string, n_chars long", multi_line=True)
 
 
-@query("proj_default_names", """SELECT c_custkey as column1, c_name as column2, c_nationkey as column3, c_mktsegment as column4 FROM customer""")
+@query("proj_default_names", """SELECT c_custkey as column1, c_name as column2, c_nationkey as column3, c_acctbal as column4, c_mktsegment as column5
+    FROM customer""")
 def proj_default_names(spark, sf_dir):
-    df = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    path = _written(spark, sf_dir, "customer", "csv", {"header": False}, df)
+    path = _written(spark, sf_dir, "customer", "csv", {"header": False})
     names = read_csv(spark, path, header=False)
     return names.withColumn("column1", F.col("column1").cast("long"))
 
@@ -66,11 +66,9 @@ def src_parquet(spark, sf_dir):
     return read_parquet(spark, f"{sf_dir}/lineitem.parquet").where("l_shipdate >= timestamp_ntz'2000-01-01'").select("l_orderkey", "l_extendedprice")
 
 
-@query("src_json", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("src_json", "SELECT * FROM events")
 def src_json(spark, sf_dir):
-    df = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
-    path = _written(spark, sf_dir, "events", "json", df=df)
-    return read_json(spark, path, lines=True, schema="event_id long, user_id long, event_type string, value double, props string")
+    return read_json(spark, _written(spark, sf_dir, "events", "json"), lines=True, schema=EVENT_SCHEMA)
 
 
 @query("src_xml", "SELECT * FROM customer")
@@ -96,24 +94,24 @@ def src_object_prefix(spark, sf_dir):
     return read_prefix(spark, f"{root}/land", "csv", schema=CUSTOMER_DDL)
 
 
-@query("src_rest_payload", "SELECT c_custkey, c_name, c_nationkey FROM customer")
+@query("src_rest_payload", "SELECT * FROM customer")
 def src_rest_payload(spark, sf_dir):
     """Responses landed as arrays of records."""
     path = scratch_dir(spark, "payload")
-    batches = payload_batches(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"), 100, ["c_custkey"])
+    batches = payload_batches(table(spark, sf_dir, "customer"), 100, ["c_custkey"])
     batches.select("payload").write.text(path)
-    return read_json(spark, path, lines=True, schema="c_custkey long, c_name string, c_nationkey int")
+    return read_json(spark, path, lines=True, schema=CUSTOMER_DDL)
 
 
-@query("src_rest_wrapped", "SELECT c_custkey, c_name FROM customer")
+@query("src_rest_wrapped", "SELECT * FROM customer")
 def src_rest_wrapped(spark, sf_dir):
-    """Responses that hold their records under a field."""
+    """Responses that hold their records under a field, one per file, as they are landed."""
     path = scratch_dir(spark, "wrapped")
-    batches = payload_batches(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), 100, ["c_custkey"])
-    one_per_file = batches.select(F.concat(F.lit('{"data":'), "payload", F.lit("}")).alias("value"))
-    one_per_file.write.text(path)
-    wrapped = spark.read.schema("data array<struct<c_custkey: bigint, c_name: string>>").json(path)
-    return wrapped.select(F.inline("data"))
+    df = table(spark, sf_dir, "customer")
+    batches = payload_batches(df, 5000, ["c_custkey"])
+    responses = batches.select(F.concat(F.lit('{"data":'), "payload", F.lit("}")).alias("value"))
+    responses.write.option("maxRecordsPerFile", 1).text(path)
+    return read_payload(spark, path, "data", f"data array<{df.schema.simpleString()}>")
 
 
 @query("skip_header_footer", "SELECT * FROM customer")
@@ -245,6 +243,26 @@ def dq_split_write(spark, sf_dir):
     return spark.read.parquet(path).select("dq_status", "o_orderkey", "o_orderstatus")
 
 
+@query("task_rest_target", f"""SELECT o_orderkey, coalesce(o_orderstatus, 'none') as o_orderstatus, o_totalprice, order_day, o_custkey, o_orderpriority
+    FROM ({DIRTY_ORDERS.sql}) x""")
+def task_rest_target(spark, sf_dir):
+    """A task from files to request bodies with checks on both sides; the bodies are read back as landed responses."""
+    root = scratch_dir(spark, "rest")
+    df = DIRTY_ORDERS.frame(spark, sf_dir)
+    write_files(df.withColumn("o_orderstatus", F.coalesce("o_orderstatus", F.lit("none"))), f"{root}/in", "orc")
+    check = {"check": "column_values_to_not_be_null", "parameters": {"column": "o_orderstatus"}}
+    done = run_task(spark, {"task_name": "to_rest", "task": {
+        "source": {"source_type": "orc_read", "file_path": f"{root}/in"},
+        "target": {"target_type": "rest_api_write", "file_path": f"{root}/out", "operation": "replace", "batch_rows": 700},
+        "data_quality_execution": {"pre_check_enable": "Y", "post_check_enable": "Y"},
+        "data_quality": [{**check, "seq_no": 1, "type": "pre_check"}, {**check, "seq_no": 2, "type": "post_check"}],
+    }})
+    if done.error is not None:
+        raise done.error
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, order_day string, o_orderpriority string"
+    return read_json(spark, f"{root}/out", lines=True, schema=schema)
+
+
 # ---------------------------------------------------------------- write modes
 
 
@@ -256,11 +274,11 @@ def _database(spark) -> str:
     return name
 
 
-_MODE_ORDERS = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+_MODE_ORDERS = "SELECT * FROM orders"
 
 
 def _mode_orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return table(spark, sf_dir, "orders")
 
 
 @query("write_mode_create", _MODE_ORDERS)
@@ -274,11 +292,12 @@ def write_mode_create(spark, sf_dir):
 def write_mode_append(spark, sf_dir):
     name = f"{_database(spark)}.target"
     write_table(_mode_orders(spark, sf_dir), name, "create if not exist")
-    write_table(_mode_orders(spark, sf_dir).select("o_totalprice", "o_orderstatus", "o_orderkey"), name, "append")
+    df = _mode_orders(spark, sf_dir)
+    write_table(df.select(*reversed(df.columns)), name, "append")
     return spark.table(name)
 
 
-@query("write_mode_truncate", "SELECT o_orderkey, o_orderstatus, o_totalprice + 1 as o_totalprice FROM orders")
+@query("write_mode_truncate", "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders")
 def write_mode_truncate(spark, sf_dir):
     name = f"{_database(spark)}.target"
     df = _mode_orders(spark, sf_dir)
@@ -287,7 +306,7 @@ def write_mode_truncate(spark, sf_dir):
     return spark.table(name)
 
 
-@query("write_mode_replace", "SELECT o_orderkey, o_orderstatus, 'new' as extra FROM orders")
+@query("write_mode_replace", "SELECT * EXCLUDE (o_totalprice), 'new' as extra FROM orders")
 def write_mode_replace(spark, sf_dir):
     name = f"{_database(spark)}.target"
     df = _mode_orders(spark, sf_dir)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import all_strings
 
 FORMATS = ("csv", "parquet", "json", "xml", "orc")
+#: Text formats write milliseconds unless told otherwise, and the rest of a time would be lost.
+MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def write_files(df: DataFrame, path: str, file_type: str, mode: str = "overwrite", options: dict | None = None) -> int:
@@ -21,9 +23,9 @@ def write_files(df: DataFrame, path: str, file_type: str, mode: str = "overwrite
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(file_type)
     defaults = {
-        "csv": {"header": True, "escape": '"'},
-        "json": {"ignoreNullFields": False},
-        "xml": {"rootTag": "data", "rowTag": "row"},
+        "csv": {"header": True, "escape": '"', **MICROS},
+        "json": {"ignoreNullFields": False, **MICROS},
+        "xml": {"rootTag": "data", "rowTag": "row", **MICROS},
     }.get(file_type, {})
     writer.options(**{**defaults, **(options or {})}).save(path)
     return seen.get["rows"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import nan_to_null
 from millrace.operators.order import row_index
+from millrace.sinks.files import MICROS
 
 
 def payload_batches(df: DataFrame, batch_rows: int, order_by: list[str] | None = None) -> DataFrame:
@@ -16,7 +17,7 @@ def payload_batches(df: DataFrame, batch_rows: int, order_by: list[str] | None =
     its partition, which needs no sort. Either way a batch cannot grow with copies or hot keys.
     """
     clean = nan_to_null(df)
-    record = F.to_json(F.struct(*clean.columns), {"ignoreNullFields": "false"})
+    record = F.to_json(F.struct(*clean.columns), {"ignoreNullFields": "false", **MICROS})
     if order_by:
         numbered = row_index(clean, order_by, "_i")
         batch = F.floor(F.col("_i") / batch_rows).cast("long")

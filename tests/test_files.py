@@ -206,3 +206,12 @@ def test_latin_lines_keep_control_characters(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes("head\nx\x01y \xe9\nfoot\n".encode("latin-1"))
     lines = src.without_edge_lines(src.numbered_lines(spark, str(tmp_path), "iso-8859-1"), 1, 1)
     assert [r["value"] for r in lines.collect()] == ["x\x01y \xe9"]
+
+
+@pytest.mark.parametrize("file_type", ["csv", "json", "xml"])
+def test_text_formats_keep_microseconds(spark, tmp_path, file_type):
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:09:58.778549' as a, timestamp'1969-12-31 23:59:59.000001' as b, cast(null as timestamp) as c")
+    write_files(df, f"{tmp_path}/x", file_type)
+    options = {"header": True, "rowTag": "row"}
+    back = spark.read.schema(df.schema).options(**options).format(file_type).load(f"{tmp_path}/x")
+    assert back.collect() == df.collect()
