@@ -18,7 +18,7 @@ from millrace.functions.columns import nan_to_null
 from millrace.operators import rules as R
 from millrace.operators.mapping import many_to_one_summary, one_to_one_summary
 from millrace.operators.order import flag_out_of_order
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import exact_quantiles_of
 from millrace.operators.reconcile import Recon, compare_column_count, compare_schema, reconcile_totals
 from millrace.operators.skew import HOT_KEYS, fits_broadcast, join_unique
 from millrace.session import store
@@ -116,7 +116,7 @@ class CheckRun:
         for row, rule in self._of(R.SchemaRule):
             facts.append(_fact(row, rule.column, n, None, None, rule.ok, rule.details))
         for row, rule in self._of(R.QuantileRule):
-            m, success, details = self._quantile(rule, n)
+            m, success, details = self._quantile(row, rule, n)
             facts.append(_fact(row, rule.column, n, m, None, success, details))
         for row in self.active:
             ok = None
@@ -134,13 +134,25 @@ class CheckRun:
             return self.df.limit(0).agg(*totals).select(F.inline(F.array(empty))).where(F.lit(False))
         return self.df.agg(*totals).select(F.inline(F.array(*facts)))
 
-    def _quantile(self, rule: R.QuantileRule, n: Column):
-        if rule.approximate:
-            column = F.col(rule.column).cast("double")
-            known, values = self.df.agg(F.count(column), F.percentile_approx(column, rule.probs, 10_000)).first()
-            values = values or [None] * len(rule.probs)
-        else:
-            known, values = exact_quantiles(self.df, rule.column, rule.probs)
+    @cached_property
+    def _quantile_values(self) -> dict[int, tuple]:
+        """(known rows, values) by check; the checks share their scans, whatever their columns."""
+        members = self._of(R.QuantileRule)
+        exact = [(row.seq_no, rule) for row, rule in members if not rule.approximate]
+        rough = [(row.seq_no, rule) for row, rule in members if rule.approximate]
+        out = dict(zip((i for i, _ in exact), exact_quantiles_of(self.df, [(r.column, r.probs) for _, r in exact])))
+        if rough:
+            totals = []
+            for _, rule in rough:
+                column = F.col(rule.column).cast("double")
+                totals += [F.count(column), F.percentile_approx(column, rule.probs, 10_000)]
+            got = list(self.df.agg(*[t.alias(f"a{k}") for k, t in enumerate(totals)]).first())
+            for k, (i, rule) in enumerate(rough):
+                out[i] = (got[2 * k], got[2 * k + 1] or [None] * len(rule.probs))
+        return out
+
+    def _quantile(self, row: CheckRow, rule: R.QuantileRule, n: Column):
+        known, values = self._quantile_values[row.seq_no]
         ok = all(
             v is None or ((lo is None or v >= lo) and (hi is None or v <= hi)) for v, (lo, hi) in zip(values, rule.ranges)
         )

@@ -93,8 +93,7 @@ def test_segments_split_one_hot_order_key(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("fetch", [10, 200, 10**6])
-def test_exact_quantiles(spark, fetch, monkeypatch):
-    monkeypatch.setattr(Q, "ACCURACY", 50)
+def test_exact_quantiles(spark, fetch):
     rnd = np.random.default_rng(3)
     values = np.concatenate([rnd.normal(size=2000), np.full(1500, 0.25), -np.exp(rnd.normal(size=500) * 4)])
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(6)
@@ -106,3 +105,45 @@ def test_exact_quantiles(spark, fetch, monkeypatch):
 
 def test_quantiles_of_nothing(spark):
     assert Q.exact_quantiles(spark.range(0).selectExpr("cast(id as double) as x"), "x", [0.5]) == (0, [None])
+
+
+@pytest.mark.parametrize("hold", [8, Q.HOLD])
+def test_quantiles_of_wide_decimals_that_share_a_double(spark, hold):
+    from decimal import Decimal
+
+    base = 12345678901234567890123456789012345678
+    texts = [str(base + (i * 7919) % 1000 * (1 if i % 3 else 10**9)) for i in range(701)]
+    for scale in (0, 2, 18):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+        df = df.selectExpr(f"cast(concat(left(t, {38 - scale}), '.', right(t, {scale})) as decimal(38,{scale})) as d")
+        values = sorted(Decimal(f"{t[:38 - scale]}.{t[38 - scale:]}") for t in texts)
+        n, got = Q.exact_quantiles(df, "d", [0.0, 0.25, 0.5, 1.0], hold)
+        assert (n, got) == (701, [values[0], values[175], values[350], values[-1]])
+
+
+def test_quantiles_of_ties_short_decimals_infinity_and_nan(spark):
+    from decimal import Decimal
+
+    df = spark.range(0, 30_000, 1, 7).selectExpr(
+        "if(id < 29990, 5, id) as tie", "case when id = 0 then double('-inf') when id = 1 then double('inf') when id = 2 then double('nan') else double(id) end as x",
+        "if(id < 29990, 5, id) as `a ``b`",
+    )
+    got = Q.exact_quantiles_of(df, [("tie", [0.5, 1.0]), ("x", [0.0, 0.5, 1.0]), ("a `b", [0.999])], 50)
+    assert got[0] == (30_000, [5, 29_999])
+    assert got[1] == (29_999, [-np.inf, 15_001.0, np.inf])  # -inf, 3, 4, ...
+    assert got[2] == (30_000, [5])
+    small = spark.range(1000).selectExpr("cast(id / 1000 as decimal(18,18)) as d")
+    assert Q.exact_quantiles(small, "d", [0.25], 20)[1] == [Decimal("0.24975")]
+
+
+def test_all_ranks_of_all_columns_share_their_scans(spark, monkeypatch):
+    scans = []
+    real = Q._scan
+    monkeypatch.setattr(Q, "_scan", lambda df, sqls: scans.append(len(sqls)) or real(df, sqls))
+    df = spark.range(0, 400_000, 1, 8).selectExpr("id * 7919 % 400000 as a", "double(id) / 3 as b", "-id as c")
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = Q.exact_quantiles_of(df, [("a", probs), ("b", probs), ("c", [0.5])])
+    assert len(scans) == 3  # sketches, counts, the value itself
+    assert [float(v) for v in got[0][1]] == pytest.approx([p * 399_999 for p in probs])
+    assert got[1][1] == pytest.approx([p * 399_999 / 3 for p in probs])
+    assert float(got[2][1][0]) == -199_999.5
