@@ -1,7 +1,7 @@
 """All checks of a task as one report, and the rows they reject.
 
 Row, total, schema and quantile checks share one aggregate over the table, whatever their number.
-Key checks add one grouped scan per column set, order checks one window per order. The report is
+Key checks add one grouped scan per column set, sets from a table one join, order checks one window per order. The report is
 a union of one-row frames, so it is a single Spark job; nothing but its rows reaches the driver.
 """
 
@@ -68,6 +68,7 @@ class CheckRun:
     audit_columns: bool = True
     rules: dict[int, object] = field(default_factory=dict)
     _repeated: dict[tuple, DataFrame] = field(default_factory=dict)
+    _members: dict[int, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self):
         seen = [c.seq_no for c in self.checks]
@@ -85,7 +86,7 @@ class CheckRun:
 
     @cached_property
     def facts(self) -> DataFrame:
-        frames = [self._fused(), *self._keys(), *self._orders(), *self._custom()]
+        frames = [self._fused(), *self._keys(), *self._sets(), *self._orders(), *self._custom()]
         return reduce(DataFrame.unionByName, [f for f in frames if f is not None])
 
     def _of(self, kind):
@@ -210,6 +211,61 @@ class CheckRun:
         ok = F.coalesce(rule.success(got), F.lit(True))
         return one.select(F.inline(F.array(_fact(row, rule.column, F.col("_n"), F.col("_m"), None, ok, rule.details(got)))))
 
+    def _set(self, row: CheckRow, rule: R.SetRule) -> DataFrame:
+        """The members of a set, stored, so that the report and the split see the same ones."""
+        if row.seq_no not in self._members:
+            self._members[row.seq_no] = store(rule.members, "members")
+        return self._members[row.seq_no]
+
+    def _sets(self) -> list[DataFrame]:
+        """Sets that come from a table. A small set that only rows are held against is broadcast and the rows
+        do not move; else both sides meet with one row per value, so no value is hot."""
+        frames = []
+        for row, rule in self._of(R.SetRule):
+            members = self._set(row, rule).withColumn("_listed", F.lit(True))
+            value = F.col(rule.column)
+            rows, how = self.df.select(rule.column), "full"
+            if rule.test in {"in", "not_in", "within"}:
+                members, how = members.where("_member is not null"), "left"
+            if how == "left" and fits_broadcast(members):
+                rows, members = rows.withColumn("cnt", F.lit(1)), F.broadcast(members)
+            else:
+                rows, members = rows.groupBy(rule.column).agg(F.count(F.lit(1)).alias("cnt")), members.hint("merge")
+            met = rows.join(members, value == F.col("_member"), how)
+            inside, known = F.col("_listed").isNotNull(), value.isNotNull()
+
+            def total(when: Column, name: str) -> Column:
+                return F.coalesce(F.sum(F.when(when, F.col("cnt"))), F.lit(0)).alias(name)
+
+            one = met.agg(
+                F.coalesce(F.sum("cnt"), F.lit(0)).alias("_n"), total(~known & F.col("cnt").isNotNull(), "_m"),
+                total(known & inside, "_in"), total(known & ~inside, "_out"),
+                F.count_if(known & inside).alias("_found"), F.count_if(inside).alias("_size"),
+            )
+            n, m, out = F.col("_n"), F.col("_m"), F.col("_out")
+            if rule.by_row:
+                u = out if rule.test == "in" else F.col("_in")
+                fine = u == 0
+                if rule.mostly is not None:
+                    fine = fine | F.coalesce((n - m - u) / F.nullif(n - m, F.lit(0)) >= rule.mostly, F.lit(True))
+                fact = _fact(row, rule.column, n, m, u, fine, None, by_row=True)
+            else:
+                whole = F.col("_found") == F.col("_size")
+                ok = {"within": out == 0, "contain": whole, "equal": whole & (out == 0)}[rule.test]
+                text = F.concat(F.lit("rows outside "), out.cast("string")) if how == "left" else \
+                    R.set_details(F.col("_found"), F.col("_size"), out)
+                fact = _fact(row, rule.column, n, m, None, ok, text)
+            frames.append(one.select(F.inline(F.array(fact))))
+        return frames
+
+    def _flag_set(self, df: DataFrame, row: CheckRow, rule: R.SetRule, mark: str) -> DataFrame:
+        members = self._set(row, rule).where("_member is not null").select(F.col("_member").alias(f"_k{mark}"))
+        listed = members.withColumn(f"_listed{mark}", F.lit(True))
+        out = join_unique(df, listed, {rule.column: f"_k{mark}"})
+        inside = F.col(f"_listed{mark}").isNotNull()
+        broken = F.col(rule.column).isNotNull() & (inside if rule.test == "not_in" else ~inside)
+        return out.withColumn(mark, broken).drop(f"_k{mark}", f"_listed{mark}")
+
     def _orders(self) -> list[DataFrame]:
         frames = []
         for row, rule in self._of(R.OrderRule):
@@ -324,6 +380,9 @@ class CheckRun:
             elif isinstance(rule, R.KeyRule) and rule.repeated_is_bad:
                 out = self._flag_repeated(out, rule, mark)
                 marks.append(F.when(F.col(mark), F.lit(row.seq_no)))
+            elif isinstance(rule, R.SetRule) and rule.by_row:
+                out = self._flag_set(out, row, rule, mark)
+                marks.append(F.when(F.col(mark), F.lit(row.seq_no)))
             elif isinstance(rule, R.OrderRule):
                 out = self._order_flag(out, rule, mark)
                 marks.append(F.when(F.col(mark), F.lit(row.seq_no)))
@@ -369,7 +428,7 @@ class CheckRun:
 
 
 def run_checks(df: DataFrame, checks: list, source: DataFrame | None = None, type: str | None = None, audit_columns: bool = True) -> CheckRun:
-    """Bind a check list to a frame. Lazy, but for exact quantiles and range cut points.
+    """Bind a check list to a frame. Lazy, but for exact quantiles, sets from a table and range cut points.
 
     NaN counts as missing, as it does in pandas, so it is null from here on.
     """

@@ -6,6 +6,7 @@ Rule kinds, by what they need from Spark:
   KeyRule     value counts of some columns (one grouped scan per column set)
   OrderRule   the row before along an order
   QuantileRule exact quantiles
+  SetRule     a set of values that comes from a table; one count per value
   SchemaRule  column names and types only
 Value checks skip nulls. Percent = unexpected / non-null rows.
 """
@@ -19,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import nan_to_null
 from millrace.functions.exact import name, row_sum_equals, sum_number
 
 CHECKS: dict[str, Callable] = {}
@@ -105,6 +107,20 @@ class QuantileRule:
     approximate: bool = False
 
 
+@dataclass
+class SetRule:
+    """Values against a set with one column. `test` is in or not_in (by row), within, contain or equal (by value)."""
+
+    column: str
+    members: DataFrame
+    test: str
+    mostly: float | None = None
+
+    @property
+    def by_row(self) -> bool:
+        return self.test in {"in", "not_in"}
+
+
 @dataclass
 class SchemaRule:
     column: str
@@ -181,14 +197,48 @@ def _null(df, column, mostly=None):
 
 @check("column_values_to_be_in_set")
 def _in_set(df, column, value_set, mostly=None):
+    if not _listed(value_set):
+        return _set_of(df, column, value_set, "in", mostly)
     return _value_rule(df, column, ~_in(df, column, value_set), mostly)
 
 
 @check("column_values_to_not_be_in_set")
 def _not_in_set(df, column, value_set, mostly=None):
+    if not _listed(value_set):
+        return _set_of(df, column, value_set, "not_in", mostly)
     return _value_rule(df, column, _in(df, column, value_set), mostly)
 
 
+def _listed(value_set) -> bool:
+    """A list written in the task; else the set is a frame or says where to find one."""
+    return not isinstance(value_set, (DataFrame, dict))
+
+
+def _set_of(df: DataFrame, column: str, value_set: DataFrame | dict, test: str, mostly=None) -> SetRule:
+    """`value_set` is a frame of one column, or {"table": ..., "column": ...}, or {"path": ..., "format": ..., "column": ...}
+    (Parquet if no format is given).
+
+    The distinct values of the set, in the type of the checked column as `_member`; one that does not
+    fit that type is kept with a null and its text, as no row can hold it. Nulls and NaN are left out.
+    """
+    _known(df, column)
+    if isinstance(value_set, dict):
+        extra = set(value_set) - {"table", "path", "format", "column"}
+        if extra or ("table" in value_set) == ("path" in value_set) or "column" not in value_set:
+            raise ValueError("a value set names a column and either a table or a path with a format")
+        spark = df.sparkSession
+        if "table" in value_set:
+            value_set = spark.table(value_set["table"]).select(value_set["column"])
+        else:
+            value_set = spark.read.format(value_set.get("format") or "parquet").load(value_set["path"]).select(value_set["column"])
+    if len(value_set.columns) != 1:
+        raise ValueError("a value set has one column")
+    raw = nan_to_null(value_set.toDF("_raw")).where("_raw is not null")
+    member = F.col("_raw").try_cast(df.schema[column].dataType)
+    misfit = F.when(member.isNull(), F.col("_raw").cast("string"))
+    return SetRule(column, raw.select(member.alias("_member"), misfit.alias("_misfit")).distinct(), test, mostly)
+
+
 def _in(df: DataFrame, column: str, value_set: list) -> Column:
     """`isin` turns into a hash lookup; the set is part of a task file, so it stays small."""
     _known(df, column)
@@ -535,36 +585,52 @@ check("column_mean_to_be_between")(_end_rule(_mean))
 check("column_stdev_to_be_between")(_end_rule(lambda df, c: F.stddev_samp(c)))
 
 
+def _found(df: DataFrame, column: str, values: list) -> Column:
+    """How many members of the list occur: at most the list itself is gathered."""
+    of, kinds = df.schema[column].dataType.typeName(), {type(v) for v in values}
+    same = (of == "string" and kinds == {str}) or (of in {"byte", "short", "integer", "long"} and kinds == {int}) \
+        or (of == "double" and kinds <= {int, float})
+    if same:
+        return F.size(F.collect_set(F.when(F.col(column).isin(values), F.col(column)))).cast("long")
+    found = F.lit(0)  # types differ, so that several values may equal one member
+    for v in values:
+        found = found + F.coalesce(F.max(F.when(F.col(column) == F.lit(v), 1).otherwise(0)), F.lit(0))
+    return found
+
+
 def _set_totals(df, column, value_set):
-    """Which members of the set occur (at most the set itself) and how many rows lie outside."""
+    """Which members of the list occur and how many rows lie outside."""
     _known(df, column)
     values = [v for v in value_set if v is not None]
     inside = F.col(column).isin(values)
-    found = F.count_if(no()) if not values else None
-    for v in values:
-        one = F.max(F.when(F.col(column) == F.lit(v), 1).otherwise(0))
-        found = one if found is None else found + one
-    return {"outside": F.count_if(F.col(column).isNotNull() & ~inside), "found": F.coalesce(found, F.lit(0))}, len(set(values))
+    found = _found(df, column, values) if values else F.coalesce(F.count_if(no()), F.lit(0))
+    return {"outside": F.count_if(F.col(column).isNotNull() & ~inside), "found": found}, len(set(values))
+
+
+def set_details(found: Column, size: Column, outside: Column) -> Column:
+    return F.concat_ws(" ", F.lit("found"), found.cast("string"), F.lit("of"), size.cast("string"),
+                       F.lit("rows outside"), outside.cast("string"))
 
 
-def _set_rule(test):
+def _set_rule(kind, test):
     def build(df, column, value_set):
+        if not _listed(value_set):
+            return _set_of(df, column, value_set, kind)
         totals, size = _set_totals(df, column, value_set)
         return TotalRule(
             column,
             totals,
             lambda t: test(t, size),
-            lambda t: F.concat_ws(" ", F.lit("found"), t["found"].cast("string"), F.lit("of"), F.lit(str(size)),
-                                  F.lit("rows outside"), t["outside"].cast("string")),
+            lambda t: set_details(t["found"], F.lit(size), t["outside"]),
             F.col(column).isNull(),
         )
 
     return build
 
 
-check("column_distinct_values_to_be_in_set")(_set_rule(lambda t, n: t["outside"] == 0))
-check("column_distinct_values_to_contain_set")(_set_rule(lambda t, n: t["found"] == n))
-check("column_distinct_values_to_equal_set")(_set_rule(lambda t, n: (t["outside"] == 0) & (t["found"] == n)))
+check("column_distinct_values_to_be_in_set")(_set_rule("within", lambda t, n: t["outside"] == 0))
+check("column_distinct_values_to_contain_set")(_set_rule("contain", lambda t, n: t["found"] == n))
+check("column_distinct_values_to_equal_set")(_set_rule("equal", lambda t, n: (t["outside"] == 0) & (t["found"] == n)))
 
 
 @check("table_row_count_to_equal")

@@ -42,6 +42,52 @@ check_query(
     Case("column_values_to_be_in_set", {"column": STATUS, "value_set": ["O", "P", "F", "BAD"]}, STATUS, NO_STATUS,
          "o_orderstatus not in ('O','P','F','BAD')"),
 )
+# Customer keys as a set: every seventh is put out of reach, every fifth is doubled.
+KEY_SET = Shape("customer", "case when c_custkey % 7 = 0 then -c_custkey else c_custkey end as k", twice="c_custkey % 5 = 0")
+IN_KEYS = f"SELECT o.*, k.k is not null as listed FROM ({DIRTY_ORDERS.sql}) o LEFT JOIN (SELECT DISTINCT k FROM ({KEY_SET.sql}) y) k ON o.o_custkey = k.k"
+KEY_TOTALS = (
+    f"(SELECT count(DISTINCT o.o_custkey) FROM ({DIRTY_ORDERS.sql}) o JOIN ({KEY_SET.sql}) k ON o.o_custkey = k.k)",
+    f"(SELECT count(DISTINCT k) FROM ({KEY_SET.sql}) y)",
+)
+TABLE_SET_CASES = [
+    Case("column_values_to_be_in_set", {"column": "o_custkey"}, "o_custkey", "o_custkey is null", "not listed", threshold=20, base=IN_KEYS),
+    Case("column_values_to_not_be_in_set", {"column": "o_custkey"}, "o_custkey", "o_custkey is null", "listed", base=IN_KEYS),
+    Case("column_values_to_be_in_set", {"column": "o_custkey"}, "o_custkey", "o_custkey is null", "not listed", mostly=0.5, base=IN_KEYS),
+    Case("column_distinct_values_to_be_in_set", {"column": "o_custkey"}, "o_custkey", "o_custkey is null", base=IN_KEYS,
+         ok="count(*) filter (where not listed) = 0", details="'rows outside ' || count(*) filter (where not listed)"),
+    *[
+        Case(f"column_distinct_values_to_{test}_set", {"column": "o_custkey"}, "o_custkey", "o_custkey is null", base=IN_KEYS,
+             ok=f"{KEY_TOTALS[0]} = {KEY_TOTALS[1]}{more}",
+             details=f"'found ' || {KEY_TOTALS[0]} || ' of ' || {KEY_TOTALS[1]} || ' rows outside ' || count(*) filter (where not listed)")
+        for test, more in (("contain", ""), ("equal", " and count(*) filter (where not listed) = 0"))
+    ],
+]
+
+
+def _table_set_checks(spark, sf_dir):
+    controls = [c.control(i) for i, c in enumerate(TABLE_SET_CASES, 1)]
+    for control in controls:
+        control["parameters"] = {**control["parameters"], "value_set": KEY_SET.frame(spark, sf_dir)}
+    return run_checks(DIRTY_ORDERS.frame(spark, sf_dir), controls)
+
+
+@query("chk_in_set_table", cases_sql(TABLE_SET_CASES, DIRTY_ORDERS.sql))
+def chk_in_set_table(spark, sf_dir):
+    """Values against all customer keys, by row and by value."""
+    return _table_set_checks(spark, sf_dir).report
+
+
+@query("dq_split_set_table", f"SELECT {', '.join(e.split(' as ')[-1] for e in DIRTY_ORDERS.exprs)} FROM ({IN_KEYS}) d WHERE listed")
+def dq_split_set_table(spark, sf_dir):
+    """Good rows: those whose customer is in the set; the path form of a set is used."""
+    spec = {"path": f"{sf_dir}/customer.parquet", "column": "c_custkey"}
+    keys = KEY_SET.frame(spark, sf_dir)
+    return run_checks(DIRTY_ORDERS.frame(spark, sf_dir), [
+        {"seq_no": 1, "check": "column_values_to_be_in_set", "parameters": {"column": "o_custkey", "value_set": keys}},
+        {"seq_no": 2, "check": "column_values_to_be_in_set", "parameters": {"column": "o_custkey", "value_set": spec}},
+    ]).good()
+
+
 check_query(
     "chk_not_in_set", DIRTY_ORDERS,
     Case("column_values_to_not_be_in_set", {"column": STATUS, "value_set": ["BAD"]}, STATUS, NO_STATUS, "o_orderstatus = 'BAD'"),

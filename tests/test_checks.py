@@ -292,3 +292,58 @@ def test_usual_numbers_take_the_quick_way(spark):
         assert df.where("not " + _quick(c, df.schema[c].dataType)[0]).count() == 0
     odd = spark.createDataFrame([(v,) for v in (1e-7, 1e300, float("nan"), float("inf"), -0.1, 1 / 3)], "v double").coalesce(1)
     assert [r[0] for r in odd.select(F.expr(_quick("v", odd.schema["v"].dataType)[0])).collect()] == [False, False, False, False, True, False]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_sets_from_a_table(spark, tmp_path, monkeypatch, small):
+    from millrace.operators import skew
+
+    if not small:
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(skew, "HOT_SAMPLE", 1.0)
+    rows = [(i, "hot" if i < 900 else "rare" if i < 1000 else "off" if i < 1010 else None, float(i % 3)) for i in range(1020)]
+    df = spark.createDataFrame(rows, "id long, t string, x double").repartition(5)
+    names = spark.createDataFrame([("hot",), ("hot",), ("rare",), ("never",), (None,)], "name string")
+    names.write.parquet(str(tmp_path / "names"))
+    spark.sql("DROP TABLE IF EXISTS set_names")
+    names.write.saveAsTable("set_names")
+    sets = [names, {"path": str(tmp_path / "names"), "column": "name"}, {"table": "set_names", "column": "name"}]
+    checks = ["column_values_to_be_in_set", "column_values_to_not_be_in_set", "column_distinct_values_to_be_in_set",
+              "column_distinct_values_to_contain_set", "column_distinct_values_to_equal_set"]
+    controls = [{"seq_no": i, "check": c, "parameters": {"column": "t", "value_set": sets[i % 3]}} for i, c in enumerate(checks)]
+    run = run_checks(df, controls)
+    got = [(r["element_count"], r["missing_count"], r["unexpected_count"], r["result"], r["details"]) for r in run.report.orderBy("seq_no").collect()]
+    assert got == [
+        (1020, 10, 10, "FAIL", None), (1020, 10, 1000, "FAIL", None), (1020, 10, None, "FAIL", "rows outside 10"),
+        (1020, 10, None, "FAIL", "found 2 of 3 rows outside 10"), (1020, 10, None, "FAIL", "found 2 of 3 rows outside 10"),
+    ]
+    assert sorted(r["id"] for r in run_checks(df, controls[:1]).bad().collect()) == list(range(1000, 1010))
+    assert sorted(r["id"] for r in run_checks(df, controls[1:2]).good().collect()) == list(range(1000, 1020))
+    # a set of texts against numbers: what is no number is a member that no row holds; nan is none
+    mixed = spark.createDataFrame([("0",), ("1.0",), ("1",), ("x",)], "v string")
+    nans = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (float("nan"),)], "v double")
+    of = lambda check, value_set: run_checks(df, [{"seq_no": 1, "check": check, "parameters": {"column": "x", "value_set": value_set}}]).results[0]
+    assert of("column_distinct_values_to_contain_set", mixed)["details"] == "found 2 of 3 rows outside 340"
+    assert of("column_distinct_values_to_equal_set", nans)["result"] == "PASS"
+    assert of("column_values_to_be_in_set", mixed)["unexpected_count"] == 340
+    empty = nans.limit(0)
+    assert of("column_distinct_values_to_contain_set", empty)["result"] == "PASS"
+    assert of("column_values_to_be_in_set", empty)["unexpected_count"] == 1020
+    assert run_checks(df.limit(0), controls).results[3]["result"] == "FAIL"
+
+
+def test_value_sets_that_name_no_column_are_refused(spark):
+    df = spark.range(3)
+    for value_set in ({"table": "t"}, {"column": "c"}, {"table": "t", "path": "p", "column": "c"}, spark.range(3).selectExpr("id", "id as b")):
+        with pytest.raises(ValueError):
+            run_checks(df, [{"seq_no": 1, "check": "column_values_to_be_in_set", "parameters": {"column": "id", "value_set": value_set}}])
+
+
+def test_long_lists_need_one_aggregate(spark):
+    df = spark.range(0, 5000, 1, 4).selectExpr("id", "cast(id as string) as t", "double(id) as x")
+    checks = [
+        {"seq_no": i, "check": "column_distinct_values_to_contain_set", "parameters": {"column": c, "value_set": values}}
+        for i, (c, values) in enumerate([("id", list(range(0, 4000, 2))), ("t", [str(v) for v in range(2000)]), ("x", [1, 2.0, 2, 9999.5])])
+    ]
+    run = run_checks(df, checks)
+    assert [r["details"] for r in run.results] == ["found 2000 of 2000 rows outside 3000", "found 2000 of 2000 rows outside 3000", "found 2 of 3 rows outside 4998"]
