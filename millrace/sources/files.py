@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.config import blank_to_none
 from millrace.functions.columns import default_names, project
+from millrace.operators.skew import fits_broadcast
+from millrace.session import store
 
 # File extension looked for per file type.
 EXTENSIONS = {"csv": ".csv", "json": ".json", "parquet": ".parquet", "xml": ".xml", "orc": ".orc"}
@@ -16,7 +18,6 @@ CHARSETS = {
     "utf8": "utf-8", "latin-1": "iso-8859-1", "latin1": "iso-8859-1", "latin_1": "iso-8859-1", "iso8859-1": "iso-8859-1",
     "ascii": "us-ascii", "utf_8": "utf-8", "utf16": "utf-16", "utf_16": "utf-16", "utf32": "utf-32",
 }
-EDGE_SPLITS = 200_000
 
 
 def charset(encoding: str | None) -> str:
@@ -83,26 +84,42 @@ def read_csv(
     return project(df, select, alias)
 
 
+def _fixed_splits(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings in which files are always cut into the same splits.
+
+    Spark sizes the splits of small inputs by the number of cores that are there when a job starts, and
+    by settings that may have changed since. The caller's session is left as it is.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    if own.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return own
+
+
 def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Non-blank lines with their file, the start of their split and an id that grows along the split.
+    """Non-blank lines with their file, the start of their split, whether that is a first or last one of
+    the file, and an id that grows along the split.
 
-    The ids are used in two passes, so both must cut files into the same splits. For small inputs
-    Spark sizes splits by the number of cores; that number is pinned here.
+    The ids are used in two passes, so both must cut files into the same splits: the files are read in
+    a session of their own.
     """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    fixed = _fixed_splits(spark)
     if charset(encoding) == "utf-8":
-        lines = _load(spark.read.format("text"), path)
+        lines = _load(fixed.read.format("text"), path)
     else:
         # The text source knows UTF-8 only; CSV with one column and no quotes yields lines of any encoding.
         # U+FFFF is no character, so no text holds the separator.
-        reader = spark.read.format("csv").options(sep="\uffff", quote="", encoding=charset(encoding))
+        reader = fixed.read.format("csv").options(sep="\uffff", quote="", encoding=charset(encoding))
         lines = _load(reader.schema("value string"), path)
-    return (
-        lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-        .where(F.trim("value") != "")
-        .withColumn("id", F.monotonically_increasing_id())
-    )
+    at = "_metadata.file_block_start"
+    ends = f"{at} = 0 or {at} + _metadata.file_block_length >= _metadata.file_size"
+    lines = lines.selectExpr("value", "_metadata.file_path as file", f"{at} as start", f"{ends} as at_end").where("trim(value) != ''")
+    # An empty frame of the caller's session in front: what is made of the lines belongs to that session.
+    none = spark.range(1).limit(0).selectExpr(*[f"cast(null as {t}) as {c}" for c, t in lines.dtypes])
+    return none.unionAll(lines).withColumn("id", F.monotonically_increasing_id())
 
 
 def edge_splits(lines: DataFrame, head: int, foot: int) -> DataFrame:
@@ -110,7 +127,7 @@ def edge_splits(lines: DataFrame, head: int, foot: int) -> DataFrame:
 
     Lines are counted per split (map-side); the window runs over one row per split, never over lines.
     """
-    splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    splits = lines.groupBy("file", "start", "at_end").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
     up_to = Window.partitionBy("file").orderBy("start")
     n, first = F.col("n"), F.col("first")
     sized = splits.withColumns({
@@ -120,22 +137,27 @@ def edge_splits(lines: DataFrame, head: int, foot: int) -> DataFrame:
     top = F.greatest(F.lit(0), F.least(n, F.lit(head) - F.col("before")))
     tail = F.greatest(F.lit(0), F.least(n, F.lit(foot) - (F.col("total") - F.col("before") - n)))
     return sized.where((top > 0) | (tail > 0)).select(
-        "file", "start", (first + top).alias("keep_from"), (first + n - tail).alias("keep_to")
+        "file", "start", "at_end", (first + top).alias("keep_from"), (first + n - tail).alias("keep_to")
     )
 
 
 def without_edge_lines(lines: DataFrame, head: int, foot: int) -> DataFrame:
-    """One row per split at the edge of a file says which ids to keep; while these rows are few they are
-    broadcast and the lines do not move, else both sides meet by split."""
-    spark = lines.sparkSession
-    edges = edge_splits(lines, head, foot)
-    few = edges.limit(EDGE_SPLITS + 1).collect()
-    if len(few) <= EDGE_SPLITS:
-        edges = F.broadcast(spark.createDataFrame(few, edges.schema))
-    kept = lines.join(edges, ["file", "start"], "left").where(
+    """One stored row per split at the edge of a file says which ids to keep. If these rows are measured to
+    fit, they are broadcast and no line moves; else only the lines of first and last splits meet them by
+    split, unless an edge reaches into a split between."""
+    edges = store(edge_splits(lines, head, foot), "edges")
+    moved, rest = lines, None
+    if fits_broadcast(edges):
+        edges = F.broadcast(edges)
+    else:
+        if edges.where("not at_end").isEmpty():
+            moved, rest = lines.where("at_end"), lines.where("not at_end")
+        edges = edges.hint("merge")
+    kept = moved.join(edges.drop("at_end"), ["file", "start"], "left").where(
         F.col("keep_from").isNull() | ((F.col("id") >= F.col("keep_from")) & (F.col("id") < F.col("keep_to")))
     )
-    return kept.select(*lines.columns)
+    kept = kept.select(*lines.columns)
+    return kept if rest is None else kept.unionAll(rest)
 
 
 def _read_skipping(spark, path, options, header, skip_header, skip_footer, schema, infer) -> DataFrame:

@@ -10,6 +10,7 @@ from millrace.functions.columns import default_names, project
 from millrace.sinks import files as sink
 from millrace.sinks.files import PublishError, publish, write_dated, write_files
 from millrace.sinks.payload import payload_batches
+from millrace.operators import skew
 from millrace.sources import files as src
 from millrace.sources.manifest import file_manifest, manifest_of_subtask
 
@@ -21,10 +22,10 @@ def put(path, text, encoding="utf-8"):
 
 
 @pytest.mark.parametrize("split_bytes", ["64", "300", "134217728"])
-@pytest.mark.parametrize("broadcast", [0, 10**6])
+@pytest.mark.parametrize("broadcast", [0, 10**8])
 def test_skip_header_and_footer_per_file(spark, tmp_path, split_bytes, broadcast, monkeypatch):
     """Files cut into many splits; the edges may span splits; a file shorter than its edges."""
-    monkeypatch.setattr(src, "EDGE_SPLITS", broadcast)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", broadcast)
     for f in range(3):
         lines = ["id,name"] + [f"skip{f},{i}" for i in range(4)]
         lines += [f"{f * 1000 + i},name {i}" + ("\n" if i % 7 == 0 else "") for i in range(200)]
@@ -33,13 +34,35 @@ def test_skip_header_and_footer_per_file(spark, tmp_path, split_bytes, broadcast
     put(tmp_path / "f9.csv", "id,name\nonly,one\n")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    settings = spark.conf.getAll
     try:
         df = src.read_csv(spark, str(tmp_path / "f*.csv"), skip_header=4, skip_footer=3)
         got = sorted((r["id"], r["name"]) for r in df.collect())
+        assert spark.conf.getAll == settings
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == [(f * 1000 + i, f"name {i}") for f in range(3) for i in range(200)]
     assert df.dtypes == [("id", "bigint"), ("name", "string")]
+    # The splits are those of the time of the read, and the frame belongs to the caller's session.
+    assert sorted((r["id"], r["name"]) for r in df.collect()) == got
+    df.createOrReplaceTempView("skipped_lines")
+    assert spark.sql("SELECT count(*) FROM skipped_lines").first()[0] == 600
+    spark.catalog.dropTempView("skipped_lines")
+
+
+@pytest.mark.parametrize("head", [1, 60])
+def test_without_broadcast_only_end_splits_move(spark, tmp_path, monkeypatch, head):
+    """An edge of one line leaves the splits between alone; one of 60 lines reaches into them."""
+    put(tmp_path / "a.txt", "".join(f"line {i:04}\n" for i in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        lines = src.numbered_lines(spark, str(tmp_path / "a.txt"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+    kept = src.without_edge_lines(lines, head, 1)
+    assert sorted(r["value"] for r in kept.collect()) == [f"line {i:04}" for i in range(head, 999)]
+    assert ("Union" in kept._jdf.queryExecution().optimizedPlan().toString()) == (head == 1)
 
 
 def test_csv_options(spark, tmp_path, as_rows):
