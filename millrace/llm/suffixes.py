@@ -162,39 +162,44 @@ def _words(rows: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(rows: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, words): all positions of the rows, sorted by group of the row and the bytes from there to its end.
+    """(order, words): all bytes of the rows by their places, sorted by group of the row and the bytes from there to its end.
 
-    Equal ones are in the order of their places, as Kasai's algorithm needs it.
+    Equal ones are in the order of their places, as Kasai's algorithm needs it. Suffixes that end within the
+    bytes compared so far are equal for good and are not sorted again.
     """
     n, width = rows.shape
     total = n * width
     words = _words(rows)
-    flat, column = words.ravel(), np.tile(np.arange(width, dtype=np.int32), n)
-    left = np.maximum(np.repeat(sizes.astype(np.int32), width) - column, 0)
-    order = np.argsort(flat)
-    value = np.empty(total, np.int64)  # number of the word among the words
-    value[order] = np.cumsum(np.append(False, flat[order[1:]] != flat[order[:-1]]))
-    key = (np.repeat(group.astype(np.int64), width) * total + value) * 9 + np.minimum(left, 8)
-    order = np.argsort(key)
-    new = np.append(True, key[order[1:]] != key[order[:-1]])
-    rank = value
-    head = np.maximum.accumulate(np.where(new, np.arange(total), 0))  # a group's rank is its first place
-    rank[order] = head
-    step = 8
-    while step < width:
-        slots = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in groups of two or more
-        if not len(slots):
-            break
+    left = np.maximum(np.repeat(sizes.astype(np.int32), width) - np.tile(np.arange(width, dtype=np.int32), n), 0)
+    real = np.flatnonzero(left)  # rows are padded to one width
+    some = words.ravel()[real]
+    order = np.argsort(some)
+    value = np.empty(len(real), np.int64)  # number of the word among the words
+    value[order] = np.cumsum(np.append(False, some[order[1:]] != some[order[:-1]]))
+    key = ((group.astype(np.int64) * total)[real // width] + value) * 9 + np.minimum(left[real], 8)
+    by = np.argsort(key)
+    order, key = real[by], key[by]
+    new = np.append(True, key[1:] != key[:-1])
+    rank = np.zeros(total, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(real)), 0))  # a group's rank is its first place
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in groups of two or more
+    equal, step = [], 8
+    while len(slots) and step < width:
         items = order[slots]
+        more = left[items] >= step
+        equal.append(slots[~more])
+        slots, items = slots[more], items[more]
         far = np.where(left[items] > step, rank[np.minimum(items + step, total - 1)] + 1, 0)
         key = rank[items] * (total + 1) + far
         by = np.argsort(key)
         items, key = items[by], key[by]
         order[slots] = items
-        new[slots] = np.append(True, key[1:] != key[:-1])
-        rank[items] = np.maximum.accumulate(np.where(new[slots], slots, 0))
+        head = np.append(True, key[1:] != key[:-1])[: len(slots)]
+        rank[items] = np.maximum.accumulate(np.where(head, slots, 0))
+        slots = slots[~(head & np.append(head[1:], True)[: len(slots)])]
         step *= 2
-    slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+    slots = np.concatenate([*equal, slots])
+    slots.sort()
     order[slots] = order[slots][np.argsort(rank[order[slots]] * total + order[slots])]
     return order, words
 
