@@ -18,8 +18,10 @@ from millrace.session import store
 PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 65_536
 ROWS_PER_SEGMENT = 500_000
+SPREAD = 64  # range partitions of an order check, until these hold ROWS_PER_SEGMENT rows each
 
 PART_BITS = 33  # monotonically_increasing_id: partition number above, place in the partition below
+PLACE = (1 << PART_BITS) - 1
 
 
 def row_index(df: DataFrame, order_by: list[str], name: str = "index", buckets: int | None = None) -> DataFrame:
@@ -39,7 +41,7 @@ def row_index(df: DataFrame, order_by: list[str], name: str = "index", buckets:
     starts = itertools.accumulate((rows for _, rows in sizes), initial=0)
     table = df.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "_part int, _start long")
     placed = stored.join(F.broadcast(table), part == F.col("_part"))  # at most MAX_PARTITIONS rows
-    within = F.col("_at").bitwiseAND((1 << PART_BITS) - 1)
+    within = F.col("_at").bitwiseAND(PLACE)
     return placed.withColumn(name, F.col("_start") + within).drop("_at", "_part", "_start")
 
 
@@ -63,18 +65,19 @@ def flag_out_of_order(
     The rows are cut into segments along partition columns, order columns, value and the partition they
     come from, so neither a hot partition nor a hot order key, nor copies of one row, fill a segment.
     A segment is summed up by its last non-null value; summaries merge from left to right, whatever the cut,
-    and what a segment inherits enters it as one more row in front.
+    and what a segment inherits enters it as one more row in front. `rows_per_bucket` sets the rows of a
+    segment, not the number of range partitions: Spark samples rows on the driver for each of these.
     """
     parts = partition_by or []
     value = F.col(column)
     if rows is None:
         rows = df.count()
-    segments = min(MAX_PARTITIONS, math.ceil(rows / (rows_per_bucket or ROWS_PER_SEGMENT)))
+    segments = math.ceil(rows / (rows_per_bucket or ROWS_PER_SEGMENT))
     along = [*parts, *order_by, value.desc() if decreasing else value.asc()]
     if segments <= 1:
         cut, along = df.withColumn("_segment", F.lit(0)), along[len(parts):]
     else:
-        cut, along = _segments(df, column, parts, along, segments), ["_at"]
+        cut, along = _segments(df, column, parts, along, segments, rows), ["_at"]
     window = Window.partitionBy("_segment", *parts).orderBy(*along)
     previous = F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
     seen = cut.withColumn("_before", previous)
@@ -88,23 +91,39 @@ def flag_out_of_order(
     return seen.withColumn(flag, F.coalesce(broken, F.lit(False))).drop("_before", "_segment")
 
 
-def _segments(df: DataFrame, column: str, parts: list[str], along: list, segments: int) -> DataFrame:
+def _segments(df: DataFrame, column: str, parts: list[str], along: list, segments: int, rows: int) -> DataFrame:
     """The rows with `_segment` and `_at`, their place, and per segment a row with the place -1 that holds
     the last non-null value before the segment with its partition.
 
-    The sorted rows are stored, so both passes see the same segments. The window without a key runs over
-    one row per segment, at most MAX_PARTITIONS.
+    The sorted rows are stored, so both passes see the same segments. A range partition is one segment, or
+    is cut into segments by place if more are wanted than partitions. The window without a key runs over
+    one row per range partition, at most MAX_PARTITIONS.
     """
+    partitions = min(segments, MAX_PARTITIONS, max(SPREAD, math.ceil(rows / ROWS_PER_SEGMENT)))
     # Equal rows are told apart by their partition, which stays the same if a lost task runs again.
     along = [*along, F.col("_from")]
-    placed = df.withColumn("_from", F.spark_partition_id()).repartitionByRange(segments, *along)
+    placed = df.withColumn("_from", F.spark_partition_id()).repartitionByRange(partitions, *along)
     placed = placed.sortWithinPartitions(*along).drop("_from")
     stored = store(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    cut = stored.withColumn("_segment", F.shiftright("_at", PART_BITS))
+    place = F.col("_at").bitwiseAND(PLACE)
+    if partitions < segments:
+        place = place % math.ceil(rows / segments)
+    cut = stored.withColumn("_segment", F.col("_at") - place)  # the place of its first row
     held = list(dict.fromkeys([*parts, column]))
     last = F.max_by(F.struct(*held), F.when(F.col(column).isNotNull(), F.col("_at")))
     ends = cut.groupBy("_segment").agg(last.alias("_last"))
-    before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_last", F.last("_last", ignorenulls=True).over(before)).where("_last is not null")
+    if partitions < segments:
+        ends = ends.withColumn("_part", F.shiftright("_segment", PART_BITS))
+        last = F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_segment")))
+        heads = _carried(ends.groupBy("_part").agg(last.alias("_last")), "_part").withColumn("_segment", F.lit(-1).cast("long"))
+        carried = _carried(ends.unionByName(heads), "_segment", "_part").where("_segment >= 0")
+    else:
+        carried = _carried(ends, "_segment")
     carried = carried.select("_last.*", "_segment", F.lit(-1).cast("long").alias("_at"))
     return cut.unionByName(carried, allowMissingColumns=True)
+
+
+def _carried(ends: DataFrame, along: str, *within: str) -> DataFrame:
+    """`_last` becomes the last one that is not null before the row; rows without one are left out."""
+    before = Window.partitionBy(*within).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    return ends.withColumn("_last", F.last("_last", ignorenulls=True).over(before)).where("_last is not null")

@@ -92,6 +92,29 @@ def test_segments_split_one_hot_order_key(spark, monkeypatch):
     assert len(sizes) >= 15 and max(sizes) < 30_000
 
 
+@pytest.mark.parametrize("decreasing, strictly", [(False, False), (True, True)])
+def test_small_segments_do_not_multiply_range_partitions(spark, monkeypatch, decreasing, strictly):
+    """2,000 segments wanted: Spark samples for far fewer partitions. Nulls fill whole range partitions."""
+    from millrace.operators import order
+
+    kept = {}
+    real = order.store
+    monkeypatch.setattr(order, "store", lambda df, label: kept.setdefault("df", real(df, label)))
+    rnd = random.Random(17)
+    data = []
+    for o in range(40_000):
+        v = None if 8_000 < o < 14_000 or rnd.random() < 0.2 else rnd.randint(0, 50)
+        data.append((1 if o < 30_000 else rnd.choice([2, 3, None]), o, v))
+    df = spark.createDataFrame(data, "p int, o long, v int").repartition(4)
+    got = flag_out_of_order(df, "v", ["o"], ["p"], "bad", decreasing, strictly, 20)
+    assert got.columns == ["p", "o", "v", "bad"]
+    rows = got.collect()
+    assert sorted((r["o"], r["p"], r["v"]) for r in rows) == [(o, p, v) for p, o, v in data]
+    assert {(r["p"], r["o"]) for r in rows if r["bad"]} == brute(data, decreasing, strictly)
+    parts = kept["df"].selectExpr("shiftright(_at, 33) as part").distinct().count()
+    assert 15 <= parts <= 100
+
+
 @pytest.mark.parametrize("fetch", [10, 200, 10**6])
 def test_exact_quantiles(spark, fetch):
     rnd = np.random.default_rng(3)

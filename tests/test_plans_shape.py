@@ -1,5 +1,7 @@
 """What the physical plans must look like, whatever the data size."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from millrace.functions.mask import mask_alpha
@@ -71,6 +73,14 @@ def test_no_single_partition_window(spark, sf):
     assert len(windows) == 2 and len(single) == 1 and "last(_last" in single[0]  # over one row per segment
 
 
+def test_single_partition_window_has_no_row_per_small_segment(spark):
+    df = spark.range(1000).selectExpr("id as o", "id % 7 as v")
+    run = run_checks(df, [{"seq_no": 1, "check": "column_values_to_be_increasing", "parameters": {"column": "v", "order_by": "o", "rows_per_bucket": 2}}])
+    windows = [line for line in plan(run.flagged()).splitlines() if "Window [" in line]
+    single = [line for line in windows if re.search(r"windowspecdefinition\(\w+#\d+L? ASC", line)]
+    assert len(single) == 1 and "windowspecdefinition(_part#" in single[0]  # over one row per range partition
+
+
 def test_compressible_table_is_not_broadcast(spark, tmp_path):
     """Its file is small, its rows are not."""
     from pyspark.sql import functions as F
