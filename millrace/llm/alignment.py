@@ -7,7 +7,10 @@ into pairs, as many as there are boundaries. Links are the pairs that overlap (`
 end at the same byte (`end`).
 
 At scale: each slice of texts (a bounded number of characters, or one longer text) becomes one row with the tokens'
-links as packed ids and the slice's own table of id pairs, counted. These tables are summed over the corpus; a
+links as packed ids and the slice's own table of id pairs, counted. A slice is encoded some texts at a time and aligned in
+windows that end where both sides have a token end, of one text or many, so beside the ids and links of the slice a worker
+holds what one window needs (a longer text is encoded whole). Texts come to the workers in short pieces, as Spark bounds
+the rows of what it sends at once, not their length. The tables of pairs are summed over the corpus; a
 pair meets the sums once per slice, not once per link, and comes back to its slice, which then reads its links
 again. Hot pairs are combined on the map side, and a join row is one pair of one slice. The highest count per
 second id is a table with one row per vocabulary entry.
@@ -38,6 +41,9 @@ from millrace.llm.tokens import _byte_chars
 from millrace.session import store
 
 SLICE_CHARS = 4_000_000
+PIECE_CHARS = 512  # of a row sent to a worker
+PART_CHARS = 1 << 18  # encoded at once, or one longer text
+WINDOW_TOKENS = 1 << 16  # of the first side, or as many as lie between two shared ends
 #: Fixed value: the split pattern of byte-level vocabularies.
 BYTE_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "▁"  # stands for a space in the pieces of a sentencepiece model
@@ -69,8 +75,8 @@ class ByteLevel:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.plain:
-            return [self.merges.encode_to_numpy(t, disallowed_special=()).astype(np.int64) for t in texts]
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return [self.merges.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -85,7 +91,7 @@ class Pieces:
         ]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+        return [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)]
 
 
 def opened(kind: type, path: str):
@@ -146,43 +152,80 @@ def align(a: np.ndarray, b: np.ndarray, length_a: np.ndarray, length_b: np.ndarr
     return Aligned(a, b, *groups, x, y)
 
 
+def windows(length_a: np.ndarray, length_b: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> Iterator[tuple[slice, slice]]:
+    """The tokens of both sides in order, cut where both have an end: `size` of the first side or up to the next shared end."""
+    at_a = at_b = 0
+    wide = size
+    while at_a < len(a):
+        to_a = min(at_a + wide, len(a))
+        end_a = np.cumsum(length_a[a[at_a:to_a]])
+        # No more tokens than bytes, unless some are empty; those count in `take` too.
+        take, end_b = wide, np.zeros(0, np.int64)
+        while True:
+            end_b = np.cumsum(length_b[b[at_b : at_b + take]])
+            if at_b + take >= len(b) or end_b[-1] > end_a[-1]:
+                break
+            take *= 2
+        if to_a == len(a):
+            to_b = len(b)
+        else:
+            place = np.searchsorted(end_b, end_a, side="right")
+            shared = np.flatnonzero((place > 0) & (end_b[np.maximum(place, 1) - 1] == end_a))
+            if not len(shared):
+                wide *= 2
+                continue
+            to_a, to_b = at_a + int(shared[-1]) + 1, at_b + int(place[shared[-1]])
+        yield slice(at_a, to_a), slice(at_b, to_b)
+        at_a, at_b, wide = to_a, to_b, size
+
+
 class Slice:
     """Texts that are aligned together."""
 
-    def __init__(self, left: ByteLevel, right: Pieces, linked: str):
-        self.left, self.right, self.linked = left, right, linked
+    def __init__(self, left: ByteLevel, right: Pieces, linked: str, kind: pa.DataType):
+        self.left, self.right, self.linked, self.kind = left, right, linked, kind
         self.length_a, self.length_b = (np.array(list(map(len, t.spelled)), np.int64) for t in (left, right))
         # Each id as text, followed by the sign that ends it: next id, other side, next group.
         self.shown = [[f"{i}{sign}".encode() for i in range(max(len(left.spelled), len(right.spelled))) for sign in ",|;"]][0]
 
-    def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        some = [i for i, t in enumerate(texts) if t]
-        none = np.zeros(0, np.int64)
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        none = np.zeros(0, np.uint32)
         a, b = [none] * len(texts), [none] * len(texts)
-        wanted = [" " + texts[i] for i in some]
-        for i, text, x, y in zip(some, wanted, self.left.encode(wanted), self.right.encode([t[1:] for t in wanted])):
-            raw = text.encode()
-            if all(b"".join(map(t.spelled.__getitem__, ids.tolist())) == raw for t, ids in ((self.left, x), (self.right, y))):
-                a[i], b[i] = x, y
+        for some in _parts(texts, PART_CHARS):
+            wanted = [" " + texts[i] for i in some]
+            for i, text, x, y in zip(some, wanted, self.left.encode(wanted), self.right.encode([t[1:] for t in wanted])):
+                raw = text.encode()
+                if _spells(self.left.spelled, x, raw) and _spells(self.right.spelled, y, raw):
+                    a[i], b[i] = x, y
         return a, b
 
-    def row(self, keys: list, texts: list[str | None]) -> dict:
+    def row(self, keys: list, texts: list[str]) -> pa.RecordBatch:
         a, b = self.tokens(texts)
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(texts)) for x in (a, b))
-        found = align(np.concatenate(a), np.concatenate(b), self.length_a, self.length_b, self.linked)
         last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-        groups_to = np.concatenate([[0], found.group_a + 1])[last_a]
-        n_groups = np.diff(np.concatenate([[0], np.maximum.accumulate(groups_to)]))
-        links_to = np.searchsorted(found.link_a, last_a, side="left")
-        pairs = (found.a[found.link_a] << 32) | found.b[found.link_b]
-        known, places, times = np.unique(pairs, return_inverse=True, return_counts=True)
-        return {
-            "id": keys, "n_a": n_a.tolist(), "n_b": n_b.tolist(), "n_groups": n_groups.tolist(),
-            "links_to": links_to.tolist(), "groups_sha256": self._digests(found, last_a, last_b, groups_to),
-            "links": places.astype("<u4").tobytes(), "pairs": known.tolist(), "times": times.tolist(),
+        a, b = np.concatenate(a), np.concatenate(b)
+        groups_to, links_to, digests = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), _Digests(n_a, last_a + last_b)
+        groups, links, pairs, tables = 0, 0, [], []
+        for of_a, of_b in windows(self.length_a, self.length_b, a, b, WINDOW_TOKENS):
+            found = align(a[of_a].astype(np.int64), b[of_b].astype(np.int64), self.length_a, self.length_b, self.linked)
+            ended = slice(*np.searchsorted(last_a, [of_a.start, of_a.stop], side="right"))  # texts whose last token is here
+            groups_to[ended] = groups + found.group_a[last_a[ended] - of_a.start - 1] + 1
+            links_to[ended] = links + np.searchsorted(found.link_a, last_a[ended] - of_a.start, side="left")
+            groups, links = groups + int(found.group_a[-1]) + 1, links + len(found.link_a)
+            pairs.append((found.a[found.link_a] << 32) | found.b[found.link_b])
+            tables.append(np.unique(pairs[-1], return_counts=True))
+            digests.add(self._signs(found), ended)
+        known, times = _summed(tables)
+        places = [np.searchsorted(known, x).astype("<u4").tobytes() for x in pairs]
+        row = {
+            "n_a": n_a, "n_b": n_b, "n_groups": np.diff(groups_to, prepend=0), "links_to": links_to, "pairs": known, "times": times,
+            "id": pa.array(keys, self.kind), "groups_sha256": pa.array(digests.made, pa.string()),
         }
+        lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in row.items()}
+        return pa.RecordBatch.from_pydict({**lists, "links": pa.array([b"".join(places)], pa.binary())}, _fields(self.kind))
 
-    def _digests(self, found: Aligned, last_a: np.ndarray, last_b: np.ndarray, groups_to: np.ndarray) -> list[str]:
+    def _signs(self, found: Aligned) -> list[bytes]:
+        """The tokens of both sides as they are shown, group by group."""
         n_a, n_b = len(found.a), len(found.b)
         # A token's place: those of its side before it, and those of the other side in earlier groups (for b, in its own too).
         place_a = np.arange(n_a) + np.searchsorted(found.group_b, found.group_a, side="left")
@@ -191,12 +234,59 @@ class Slice:
         ends = [np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in (found.group_a, found.group_b)]
         code[place_a] = 3 * found.a + ends[0]
         code[place_b] = 3 * found.b + 2 * ends[1]
-        signs = list(map(self.shown.__getitem__, code.tolist()))
-        stops = (last_a + last_b).tolist()
-        return [
-            hashlib.sha256(b"".join(signs[lo:hi])[:-1]).hexdigest() if hi > lo else ""
-            for lo, hi in zip([0, *stops], stops)
-        ]
+        return list(map(self.shown.__getitem__, code.tolist()))
+
+
+class _Digests:
+    """Digests of texts whose tokens come window by window; `stops` counts the tokens of both sides up to the end of each."""
+
+    def __init__(self, n: np.ndarray, stops: np.ndarray):
+        self.some, self.stops, self.made = n > 0, stops, [""] * len(n)
+        self.at, self.open = 0, hashlib.sha256()
+
+    def add(self, signs: list[bytes], ended: slice) -> None:
+        """The next tokens, and the texts that end with one of them."""
+        done = 0
+        for i in (np.flatnonzero(self.some[ended]) + ended.start).tolist():
+            to = int(self.stops[i]) - self.at
+            self.open.update(b"".join(signs[done:to])[:-1])
+            self.made[i], self.open, done = self.open.hexdigest(), hashlib.sha256(), to
+        self.open.update(b"".join(signs[done:]))
+        self.at += len(signs)
+
+
+def _parts(texts: list[str], chars: int) -> Iterator[list[int]]:
+    """Places of the texts that have letters, some at a time."""
+    some, held = [], 0
+    for i, text in enumerate(texts):
+        if text:
+            some.append(i)
+            held += len(text)
+            if held >= chars:
+                yield some
+                some, held = [], 0
+    if some:
+        yield some
+
+
+def _spells(spelled: list[bytes], ids: np.ndarray, raw: bytes) -> bool:
+    at = 0
+    for lo in range(0, len(ids), WINDOW_TOKENS):
+        said = b"".join(map(spelled.__getitem__, ids[lo : lo + WINDOW_TOKENS].tolist()))
+        if raw[at : at + len(said)] != said:
+            return False
+        at += len(said)
+    return at == len(raw)
+
+
+def _summed(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One table of values and counts, by value, from several."""
+    if not tables:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    known, places = np.unique(np.concatenate([x for x, _ in tables]), return_inverse=True)
+    times = np.zeros(len(known), np.int64)
+    np.add.at(times, places, np.concatenate([n for _, n in tables]))
+    return known, times
 
 
 def _fields(kind: pa.DataType) -> pa.Schema:
@@ -204,21 +294,45 @@ def _fields(kind: pa.DataType) -> pa.Schema:
     return pa.schema([("id", pa.list_(kind)), *counts, ("groups_sha256", pa.list_(pa.string())), ("links", pa.binary())])
 
 
-def _slices(batches: Iterator[pa.RecordBatch], left: str, right: str, linked: str, chars: int) -> Iterator[pa.RecordBatch]:
-    work = None
+def _pieces(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """id, place, piece: each text in pieces that follow each other; one row without a piece if it is null or empty."""
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+    return docs.select(F.col(key).alias("id"), F.posexplode_outer(cut).alias("place", "piece"))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, str]]:
+    """Keys and whole texts from their pieces."""
+    key, held = None, []
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        pieces = batch.column("piece").cast(pa.large_string())
+        to = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        raw = memoryview(pieces.buffers()[2] or b"")
+        first = np.flatnonzero(batch.column("place").fill_null(0).to_numpy() == 0)
+        stops = to[np.append(first, len(pieces))].tolist()
+        held.append(bytes(raw[to[0] : stops[0]]))
+        for begun, lo, hi in zip(batch.column("id").take(pa.array(first)), stops, stops[1:]):
+            if key is not None:
+                yield key, b"".join(held).decode()
+            key, held = begun, [bytes(raw[lo:hi])]
+    if key is not None:
+        yield key, b"".join(held).decode()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], left: str, right: str, linked: str, chars: int) -> Iterator[pa.RecordBatch]:
+    work, keys, texts, held = None, [], [], 0
+    for key, text in _texts(batches):
         if work is None:
-            work = Slice(opened(ByteLevel, left), opened(Pieces, right), linked)
-            schema, keys, texts, held = _fields(batch.schema.field("id").type), [], [], 0
-        for key, text in zip(batch.column("id"), batch.column("text")):
-            keys.append(key.as_py())
-            texts.append(text.as_py())
-            held += len(texts[-1] or "") + 50
-            if held >= chars:
-                yield pa.RecordBatch.from_pylist([work.row(keys, texts)], schema)
-                keys, texts, held = [], [], 0
-    if work is not None and keys:
-        yield pa.RecordBatch.from_pylist([work.row(keys, texts)], schema)
+            work = Slice(opened(ByteLevel, left), opened(Pieces, right), linked, key.type)
+        keys.append(key.as_py())
+        texts.append(text)
+        held += len(text) + 50
+        if held >= chars:
+            yield work.row(keys, texts)
+            keys, texts, held = [], [], 0
+    if keys:
+        yield work.row(keys, texts)
 
 
 # ---------------------------------------------------------------- counts
@@ -265,8 +379,7 @@ def align_tokens(
     kind = docs.schema[key].dataType.simpleString()
     counts = ", ".join(f"{c} array<long>" for c in ("n_a", "n_b", "n_groups", "links_to", "pairs", "times"))
     schema = f"id array<{kind}>, {counts}, groups_sha256 array<string>, links binary"
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    slices = rows.mapInArrow(lambda b: _slices(b, left, right, linked, chars), schema)
+    slices = _pieces(docs, key, text).mapInArrow(lambda b: _slices(b, left, right, linked, chars), schema)
     slices = store(slices.withColumn("slice", F.monotonically_increasing_id()), "token-links")
     known = _entries(slices).select("slice", "place", "pair").join(pair_counts(slices), "pair").select(F.col("slice").alias("of"), "place", "count", "best")
     links = slices.select("slice", "id", "n_a", "n_b", "n_groups", "links_to", "groups_sha256", "links")

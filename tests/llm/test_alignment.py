@@ -1,10 +1,14 @@
 import bisect
 import collections
 import hashlib
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import alignment
@@ -127,3 +131,58 @@ def test_a_dropped_boundary_joins_groups():
     assert a.tolist() == [0, 0, 1, 1] and b.tolist() == [0, 0, 1]
     x, y = alignment.overlaps(np.array([2, 5, 7, 9]), np.array([3, 5, 9]))
     assert list(zip(x.tolist(), y.tolist())) == [(0, 0), (1, 0), (1, 1), (2, 2), (3, 2)]
+
+
+def rows_of(texts, chars=4_000_000, linked="end", size=3):
+    """The rows of the slices, from pieces in batches of `size`."""
+    pieces = [(i, at // 5, t[at : at + 5] or None) for i, t in enumerate(texts) for at in range(0, max(len(t), 1), 5)]
+    names = {"id": pa.int64(), "place": pa.int32(), "piece": pa.string()}
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pieces[i : i + size]), names.values())], list(names))
+        for i in range(0, len(pieces), size)
+    ]
+    return list(alignment._slices(iter(batches), LEFT, RIGHT, linked, chars))
+
+
+@pytest.mark.parametrize("linked", ["end", "overlap"])
+@pytest.mark.parametrize("tokens,part,size", [(1, 1, 1), (7, 50, 4), (300, 5000, 1000)])
+def test_windows_and_parts_leave_the_rows_as_they_are(monkeypatch, text_of, linked, tokens, part, size):
+    texts = ["", *ODD, "", *[text_of(i, 40) for i in range(4)], "a▁b", text_of(9, 700), ""]
+    whole = rows_of(texts, linked=linked, size=10**6)
+    monkeypatch.setattr(alignment, "WINDOW_TOKENS", tokens)
+    monkeypatch.setattr(alignment, "PART_CHARS", part)
+    assert len(whole) == 1 and rows_of(texts, linked=linked, size=size) == whole
+
+
+def test_windows_end_where_both_sides_do():
+    length = np.arange(10)
+    a, b = np.array([2, 3, 4, 1, 5, 2]), np.array([5, 1, 3, 6, 2])  # shared ends at 5, 9, 15, 17
+    found = [(a[x].tolist(), b[y].tolist()) for x, y in alignment.windows(length, length, a, b, 2)]
+    assert found == [([2, 3], [5]), ([4], [1, 3]), ([1, 5], [6]), ([2], [2])]
+    assert list(alignment.windows(length, length, a[:0], b[:0], 2)) == []
+
+
+@pytest.mark.parametrize("joined,most", [(False, 60), (True, 100)])
+def test_memory_of_a_slice(spark, tokenizers, text_of, joined, most):
+    """Many texts, and one long text; a worker held 140 and 213 bytes for each character of a slice."""
+    texts = [text_of(i, 400) for i in range(500)]
+    texts = [" ".join(texts)] if joined else texts
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    pieces = alignment._pieces(docs, "doc_id", "text").toArrow().combine_chunks().to_batches()
+    alignment.opened(alignment.ByteLevel, LEFT), alignment.opened(alignment.Pieces, RIGHT)
+    tracemalloc.start()
+    (row,) = alignment._slices(iter(pieces), LEFT, RIGHT, "end", 4_000_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row["n_a"][0].as_py() == [len(tokens(tokenizers, t)[0]) for t in texts]
+    assert peak < most * sum(map(len, texts))
+
+
+def test_texts_are_sent_in_short_pieces(spark):
+    texts = [None, "", "x", "é\n\r\u2028🙂" * 1000, "\0" * 512, "y" * 513, "z" * 200_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    pieces = alignment._pieces(docs, "doc_id", "text")
+    assert pieces.agg(F.max(F.char_length("piece"))).first()[0] == alignment.PIECE_CHARS
+    for batch in (1, 7, 10_000):
+        batches = pieces.toArrow().combine_chunks().to_batches(max_chunksize=batch)
+        assert [(k.as_py(), t) for k, t in alignment._texts(iter(batches))] == [(i, t or "") for i, t in enumerate(texts)]
