@@ -47,6 +47,8 @@ WINDOW_TOKENS = 1 << 16  # of the first side, or as many as lie between two shar
 #: Fixed value: the split pattern of byte-level vocabularies.
 BYTE_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "▁"  # stands for a space in the pieces of a sentencepiece model
+#: Rows are megabytes long; by default Parquet looks at the size of a page or group after 100 rows only.
+ROW_BY_ROW = {"parquet.page.size.row.check.min": 1, "parquet.block.size": 1 << 24}
 _OPEN: dict[tuple, object] = {}
 
 
@@ -380,7 +382,7 @@ def align_tokens(
     counts = ", ".join(f"{c} array<long>" for c in ("n_a", "n_b", "n_groups", "links_to", "pairs", "times"))
     schema = f"id array<{kind}>, {counts}, groups_sha256 array<string>, links binary"
     slices = _pieces(docs, key, text).mapInArrow(lambda b: _slices(b, left, right, linked, chars), schema)
-    slices = store(slices.withColumn("slice", F.monotonically_increasing_id()), "token-links")
+    slices = store(slices.withColumn("slice", F.monotonically_increasing_id()), "token-links", **ROW_BY_ROW)
     known = _entries(slices).select("slice", "place", "pair").join(pair_counts(slices), "pair").select(F.col("slice").alias("of"), "place", "count", "best")
     links = slices.select("slice", "id", "n_a", "n_b", "n_groups", "links_to", "groups_sha256", "links")
     out = f"id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, n_links long, n_best long, count_sum long"

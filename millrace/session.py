@@ -71,15 +71,15 @@ def stored_until_end(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+def store(df: DataFrame, label: str, **options: int) -> DataFrame:
     """Write a frame once into the shared folder and go on from there.
 
     Cuts lineage, so that lost executors cost nothing downstream and every later pass sees the same
     rows; as Parquet, so that it reads only the columns it needs. The files stay until the block of
-    `stored_until_end` ends that the call is in, if any.
+    `stored_until_end` ends that the call is in, if any. `options` are those of the Parquet writer.
     """
     path = scratch_dir(df.sparkSession, label)
     if getattr(_scopes, "paths", None) is not None:
         _scopes.paths.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,12 +6,14 @@ import tracemalloc
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import alignment
+from millrace.session import store
 
 LEFT, RIGHT = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 NAMES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -186,3 +188,15 @@ def test_texts_are_sent_in_short_pieces(spark):
     for batch in (1, 7, 10_000):
         batches = pieces.toArrow().combine_chunks().to_batches(max_chunksize=batch)
         assert [(k.as_py(), t) for k, t in alignment._texts(iter(batches))] == [(i, t or "") for i, t in enumerate(texts)]
+
+
+def test_long_rows_are_stored_in_short_groups(spark, monkeypatch):
+    """Parquet compresses a page in buffers outside the heap; pages and groups of these rows were never cut."""
+    found = {}
+    monkeypatch.setattr(alignment, "store", lambda df, label, **options: found.setdefault(label, store(df, label, **options)))
+    monkeypatch.setattr(alignment, "ROW_BY_ROW", alignment.ROW_BY_ROW | {"parquet.block.size": 1 << 16})
+    docs = spark.createDataFrame([(i, f"{i} word " * 700) for i in range(30)], "doc_id long, text string").coalesce(1)
+    assert len(alignment.align_tokens(docs, LEFT, RIGHT, chars=4000).collect()) == 30
+    (file,) = found["token-links"].inputFiles()
+    held = pq.ParquetFile(file.removeprefix("file://")).metadata
+    assert held.num_rows == 30 and held.num_row_groups > 1
