@@ -161,8 +161,7 @@ def windows(length_a: np.ndarray, length_b: np.ndarray, a: np.ndarray, b: np.nda
     while at_a < len(a):
         to_a = min(at_a + wide, len(a))
         end_a = np.cumsum(length_a[a[at_a:to_a]])
-        # No more tokens than bytes, unless some are empty; those count in `take` too.
-        take, end_b = wide, np.zeros(0, np.int64)
+        take = wide  # tokens of the second side, until they reach as far
         while True:
             end_b = np.cumsum(length_b[b[at_b : at_b + take]])
             if at_b + take >= len(b) or end_b[-1] > end_a[-1]:
@@ -258,7 +257,7 @@ class _Digests:
 
 
 def _parts(texts: list[str], chars: int) -> Iterator[list[int]]:
-    """Places of the texts that have letters, some at a time."""
+    """Places of the texts that are not empty, some at a time."""
     some, held = [], 0
     for i, text in enumerate(texts):
         if text:
